@@ -157,11 +157,18 @@ def required_columns(spark, sf):
     return Q.required_columns(FE.feature_table(base.tx(spark, sf)))
 
 
+def _missing_sql() -> str:
+    missing = [m for m in P.GOVERNANCE_REQUIRED_FEATURES if m not in P.FEATURE_COLUMNS]
+    if not missing:
+        return ""
+    msg = f"Missing required features: {missing!r}".replace("'", "''")
+    return f"'{msg}', "
+
+
 @register("data_quality_gate", with_features_and(f"ft AS ({FEATURE_TABLE_SQL})", (
     "select 'data_quality' as policy, len(v) = 0 as passed, round(c, 6) as completeness, v as violations, n as records_checked "
     "from (select c, n, list_filter([case when c < 0.95 then printf('Data completeness %.2f%% below threshold 95.00%%', c*100) end, "
-    + "".join(f"'Missing required features: {[m for m in P.GOVERNANCE_REQUIRED_FEATURES if m not in P.FEATURE_COLUMNS]!r}', ".replace("'", "''", 0)
-              for _ in [0] if [m for m in P.GOVERNANCE_REQUIRED_FEATURES if m not in P.FEATURE_COLUMNS]) +
+    + _missing_sql() +
     "case when r > 10.0 then printf('Class imbalance ratio %.1fx exceeds policy 10x', r) end], lambda x: x is not null) as v "
     "from (select (" + " + ".join(f"count({c})/count(*)" for c in P.FEATURE_COLUMNS) + f")/{float(len(P.FEATURE_COLUMNS))} as c, "
     "count(*) as n, (case when count(*) filter (where is_fraud = 0) = 0 then 1 else count(*) filter (where is_fraud = 0) end) "
