@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_to
+
 from ..operators import evaluation as E
 from . import base
 from .registry import register, rounded
@@ -37,7 +39,7 @@ METRICS_SQL = _metrics_sql(f"select {CM} from scored")
     "(select transaction_id, is_fraud from transactions) l on p.transaction_id = l.transaction_id"))
 def labelled_predictions(spark, sf):
     """Labels joined to predictions on the transaction id."""
-    preds = base.scored(spark, sf).select("transaction_id", "prediction", F.round("score", 6).alias("score"))
+    preds = base.scored(spark, sf).select("transaction_id", "prediction", round_to(F.col("score"), 6).alias("score"))
     labels = base.tx(spark, sf).select("transaction_id", "is_fraud")
     return preds.join(labels, "transaction_id")
 

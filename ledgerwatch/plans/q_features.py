@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_to
+
 from .. import params as P
 from ..operators import features as FE
 from . import base
@@ -140,7 +142,7 @@ def risk_tier(spark, sf):
 def rule_scoring(spark, sf):
     """M6 with the rule model: prediction, probability to 4 places, tier, version."""
     s = base.scored(spark, sf)
-    return s.select("transaction_id", "prediction", F.round("score", 4).alias("fraud_probability"),
+    return s.select("transaction_id", "prediction", round_to(F.col("score"), 4).alias("fraud_probability"),
                     risk_tier_col(F.col("score")).alias("risk_level"), F.lit("rule-v1.0").alias("model_version"))
 
 

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_to
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 def r6(c: Column | str) -> Column:
     """Doubles are compared at 6 decimal places in both engines."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    return round_to(F.col(c) if isinstance(c, str) else c, 6)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -34,7 +36,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() == "double":
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(round_to(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
