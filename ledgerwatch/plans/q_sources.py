@@ -1 +1,127 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: sources and sinks. Each writes under the shared
+checkpoint folder (a fresh sub-folder per run) and reads back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import params as P
+from ..operators import features as FE
+from ..session import scratch_path
+from ..sources import files as FS
+from ..sources.tables import TRANSACTIONS_SCHEMA, read_table
+from . import base
+from .q_features import TX_COLS
+from .q_green import RUNS, runs
+from .registry import register, rounded
+from .sqlbase import with_features, with_scored, with_tx
+
+
+@register("csv_roundtrip", with_tx(f"select {TX_COLS} from transactions"))
+def csv_roundtrip(spark, sf):
+    """Write the transactions as CSV, read back with the declared schema."""
+    path = scratch_path(spark, "csv")
+    FS.write_csv(base.tx(spark, sf), path)
+    return FS.read_csv(spark, path, TRANSACTIONS_SCHEMA)
+
+
+@register("ingest_append", with_tx(
+    "select batch, rows, sum(rows) over (order by batch) as cumulative_rows from (select case when "
+    "transaction_timestamp < timestamp '2024-01-11 00:00:00' then 1 when transaction_timestamp < timestamp "
+    "'2024-01-21 00:00:00' then 2 else 3 end as batch, count(*) as rows from transactions group by 1)"))
+def ingest_append(spark, sf):
+    """S6 + A1: three arriving batches appended to the raw zone; rows per
+    batch read back from storage, with the running total."""
+    t = base.tx(spark, sf)
+    path, log = scratch_path(spark, "raw"), scratch_path(spark, "raw-log")
+    ts = F.col("transaction_timestamp")
+    bounds = [("1900-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999-01-01")]
+    for i, (lo, hi) in enumerate(bounds, start=1):
+        batch = t.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+        FS.logged_write(batch.withColumn("batch", F.lit(i)), path, "append", log)
+    back = spark.read.parquet(path).groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
+    from pyspark.sql.window import Window
+    # One row per batch: the running total is a window over a handful of rows.
+    return back.withColumn("cumulative_rows", F.sum("rows").over(Window.orderBy("batch")))
+
+
+@register("write_history", with_tx(
+    "select cast(v as bigint) as version, op as operation, rows from (select 0 as v, 'WRITE' as op, count(*) as rows from "
+    "transactions where cohort = 'baseline' union all select 1, 'APPEND', count(*) from transactions where cohort = 'current' "
+    "union all select 2, 'WRITE', count(*) from transactions)"))
+def write_history(spark, sf):
+    """S7 + S10 + K7: overwrite, append, overwrite again; the write log
+    (newest 5) with the row counts observed during each write."""
+    t = base.tx(spark, sf)
+    path, log = scratch_path(spark, "tx"), scratch_path(spark, "tx-log")
+    FS.logged_write(t.where(F.col("cohort") == "baseline"), path, "overwrite", log)
+    FS.logged_write(t.where(F.col("cohort") == "current"), path, "append", log)
+    FS.logged_write(t, path, "overwrite", log)
+    return FS.write_history(spark, log).select("version", "operation", "rows")
+
+
+@register("feature_store_versions", with_features(
+    "select 'v1.0' as feature_version, count(*) as rows, round(avg(rule_based_risk), 6) as mean_risk from features "
+    "union all select 'v1.0-local', count(*), round(avg(least(greatest(least(greatest(amount_deviation_ratio, 0.0), 3.0)*0.1 "
+    "+ is_new_merchant*0.3 + is_cross_border*0.25 + (case when tx_count_7d > 20 then 1.0 else 0.0 end)*0.2, 0.0), 1.0)), 6) "
+    "from features"))
+def feature_store_versions(spark, sf):
+    """S8 + S9: two feature versions written into one table partitioned by
+    version (schema merged); each version read back through partition
+    pruning."""
+    f = FE.feature_table(base.tx(spark, sf))
+    local = f.withColumn("rule_based_risk", FE.rule_risk(F.col("amount_deviation_ratio"), F.col("is_new_merchant"),
+                                                         F.col("is_cross_border"), F.col("tx_count_7d"), "local")) \
+        .withColumn("feature_version", F.lit(P.FEATURE_VERSION_LOCAL))
+    path, log = scratch_path(spark, "features"), scratch_path(spark, "features-log")
+    FS.logged_write(f, path, "append", log, partition_by=["feature_version"], merge_schema=True)
+    FS.logged_write(local, path, "append", log, partition_by=["feature_version"], merge_schema=True)
+    out = None
+    for v in (P.FEATURE_VERSION, P.FEATURE_VERSION_LOCAL):
+        part = FS.read_feature_store(spark, path, v).agg(F.lit(v).alias("feature_version"),
+                                                         F.count(F.lit(1)).alias("rows"),
+                                                         F.avg("rule_based_risk").alias("mean_risk"))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+@register("latest_batch", with_tx(
+    "select count(*) as rows, round(sum(transaction_amount), 6) as amount, max(cast(transaction_timestamp as date)) as batch_date "
+    "from transactions where cast(transaction_timestamp as date) = (select max(cast(transaction_timestamp as date)) "
+    "from transactions)"))
+def latest_batch(spark, sf):
+    """The newest batch by business date."""
+    b = FS.latest_batch(base.tx(spark, sf))
+    return b.agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.col("transaction_amount").cast("decimal(38,8)")).cast("double").alias("amount"),
+                 F.max(F.to_date("transaction_timestamp")).alias("batch_date")).transform(rounded)
+
+
+@register("report_json_roundtrip", with_scored(
+    "select run_id, start_time, records, round(duration_seconds, 6) as duration_seconds, parallelism, accuracy, "
+    "false_positive_rate, f1_score, round(energy_kwh, 6) as energy_kwh from runs", RUNS))
+def report_json_roundtrip(spark, sf):
+    """The run reports written as JSON and read back with their schema."""
+    r = runs(spark, sf)
+    path = scratch_path(spark, "reports")
+    r.write.mode("overwrite").json(path)
+    return rounded(FS.read_json(spark, path, r.schema))
+
+
+@register("catalog_table_scan", with_tx(f"select {TX_COLS} from transactions"))
+def catalog_table_scan(spark, sf):
+    """S4 + S5: the table registered in the catalog, read by name and by
+    ``SELECT *``."""
+    base.tx(spark, sf).createOrReplaceTempView("lw_transactions")
+    return spark.sql("SELECT * FROM lw_transactions")
+
+
+@register("synthetic_transactions", (
+    "select event_id as row_id, 'C' || lpad(cast(event_id % 500 as varchar), 5, '0') as customer_id, "
+    "'TX-' || lpad(cast(event_id as varchar), 7, '0') as transaction_id, "
+    "timestamp '2024-01-01 00:00:00' + to_minutes(cast(event_id * 5 as integer)) as transaction_timestamp from events"))
+def synthetic_transactions(spark, sf):
+    """Synthetic transactions driven by the event ids (arithmetic
+    columns compared; hashed columns checked by tests)."""
+    ids = read_table(spark, sf, "events").select(F.col("event_id").alias("id"))
+    return FS.synthetic_transactions(ids).select("row_id", "customer_id", "transaction_id", "transaction_timestamp")
