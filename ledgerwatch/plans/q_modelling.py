@@ -1 +1,69 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: split, scaling, training, comparison, scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import params as P
+from ..operators import modelling as M
+from . import base
+from .registry import register, rounded
+from .sqlbase import with_features_and
+
+SPLIT_SQL = ("split AS (select *, case when row_number() over (partition by is_fraud order by "
+             "(transaction_id * 7919) % 104729, transaction_id) <= ceil(cast(0.2 as double) * count(*) over "
+             "(partition by is_fraud)) then 'test' else 'train' end as split from features)")
+
+
+def split_features(spark, sf):
+    return M.stratified_split(base.features(spark, sf))
+
+
+@register("stratified_split", with_features_and(SPLIT_SQL, "select transaction_id, is_fraud, split from split"))
+def stratified_split(spark, sf):
+    """M1: exact, repeatable stratified 80/20 split."""
+    return split_features(spark, sf).select("transaction_id", "is_fraud", "split")
+
+
+def _scale_sql() -> str:
+    fs = P.MODEL_FEATURES
+    stats = ", ".join(f"avg({f}) as mu_{f}, stddev_pop({f}) as sd_{f}" for f in fs)
+    cols = ", ".join(f"round(({f} - mu_{f}) / case when sd_{f} = 0 then 1.0 else sd_{f} end, 6) as {f}" for f in fs)
+    return with_features_and(SPLIT_SQL + f",\nst AS (select {stats} from split where split = 'train')",
+                             f"select transaction_id, {cols} from split cross join st where split = 'test'")
+
+
+@register("standard_scale", _scale_sql())
+def standard_scale(spark, sf):
+    """M2: standardise the model features with train statistics (population
+    std), applied to the test rows."""
+    s = split_features(spark, sf)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    stats = M.fit_scaler(train, P.MODEL_FEATURES)
+    return rounded(M.apply_scaler(test.select("transaction_id", *P.MODEL_FEATURES), stats, P.MODEL_FEATURES))
+
+
+def _train_and_score(spark, sf):
+    s = split_features(spark, sf)
+    model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
+    return M.score_batch(model, s.where(F.col("split") == "test"))
+
+
+@register("train_forest")
+def train_forest(spark, sf):
+    """M3: forest of 200 trees, depth 15, balanced weights; test metrics."""
+    return rounded(M.evaluate(_train_and_score(spark, sf)))
+
+
+@register("batch_scoring")
+def batch_scoring(spark, sf):
+    """M6: the trained forest scores the held-out rows: prediction,
+    probability to 4 places, tier and model version."""
+    return _train_and_score(spark, sf).drop("score")
+
+
+@register("model_comparison")
+def model_comparison(spark, sf):
+    """M4: logistic regression, gradient boosting and the forest under
+    5-fold cross-validation; mean accuracy and positive-class F1."""
+    return rounded(M.model_comparison(base.features(spark, sf)))
