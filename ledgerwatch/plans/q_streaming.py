@@ -1 +1,60 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: the streaming jobs, run with ``availableNow`` over
+batches landed from the driver tables; each equals its batch form."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import features as FE
+from ..sources.tables import TRANSACTIONS_SCHEMA
+from ..streaming import jobs as S
+from . import base
+from .q_analytics import HOURLY
+from .q_features import TIER_SQL, TX_COLS
+from .registry import register, rounded
+from .sqlbase import with_scored, with_tx
+
+
+@register("stream_ingest", with_tx(f"select {TX_COLS} from transactions"))
+def stream_ingest(spark, sf):
+    """Arriving batches ingested by a stream; equals the batch table."""
+    src, out, ckpt = S.new_paths(spark, "ingest")
+    S.stage_batches(base.tx(spark, sf), src, "transaction_id", 4)
+    return S.stream_ingest(spark, src, TRANSACTIONS_SCHEMA, out, ckpt)
+
+
+@register("stream_hourly_volume", with_scored(
+    "select hour_start, volume, round(latency_ms, 6) as latency_ms, fraud_detected, round(avg_amount, 6) as avg_amount "
+    f"from ({HOURLY})"))
+def stream_hourly_volume(spark, sf):
+    """Hourly volume as a watermarked tumbling-window stream (complete mode)."""
+    scored = base.scored(spark, sf).select("transaction_id", "transaction_timestamp", "processing_time_ms",
+                                           "prediction", "transaction_amount")
+    src, out, ckpt = S.new_paths(spark, "hourly")
+    S.stage_batches(scored, src, "transaction_id", 4)
+    return rounded(S.run_hourly_volume(spark, src, scored.schema, out, ckpt))
+
+
+@register("stream_scoring", with_scored(
+    f"select transaction_id, prediction, round(score, 4) as fraud_probability, {TIER_SQL} as risk_level, "
+    "'rule-v1.0' as model_version from scored"))
+def stream_scoring(spark, sf):
+    """Arriving feature rows scored by a stateless stream."""
+    f = FE.engineer_features(base.tx(spark, sf))
+    src, out, ckpt = S.new_paths(spark, "scoring")
+    S.stage_batches(f, src, "transaction_id", 4)
+    return rounded(S.run_scoring(spark, src, f.schema, out, ckpt))
+
+
+@register("stream_drift")
+def stream_drift(spark, sf):
+    """T4: one drift report per micro-batch of current-cohort scores against
+    the stored baseline cohort."""
+    s = base.scored(spark, sf).select("transaction_id", "score", "cohort")
+    baseline_dir = S.scratch_path(spark, "baseline-scores")
+    s.where(F.col("cohort") == "baseline").write.parquet(baseline_dir)
+    baseline = spark.read.parquet(baseline_dir)
+    src, out, ckpt = S.new_paths(spark, "drift")
+    cur = s.where(F.col("cohort") == "current")
+    S.stage_batches(cur, src, "transaction_id", 4)
+    return rounded(S.run_drift_per_batch(spark, baseline, src, cur.schema, out, ckpt))
