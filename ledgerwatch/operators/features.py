@@ -37,10 +37,10 @@ def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: i
     sums = W.trailing_sums(
         df, key, ts, ID,
         measures={
-            "n": F.when(F.col(ID).isNotNull(), 1).otherwise(0).cast("bigint"),
-            "amt": F.col(AMT).cast(AMOUNT_DECIMAL),
-            "namt": F.when(F.col(AMT).isNotNull(), 1).otherwise(0).cast("bigint"),
-            "nm": F.when(F.col(MERCH).isNotNull(), 1).otherwise(0).cast("bigint"),
+            "n": (F.when(F.col(ID).isNotNull(), 1).otherwise(0), "bigint"),
+            "amt": (F.col(AMT), AMOUNT_DECIMAL),
+            "namt": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint"),
+            "nm": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint"),
         },
         spans_days={"7d": 7, "30d": 30},
         bucket_us=bucket_us,
@@ -86,16 +86,12 @@ def rule_risk(dev: Column, new: Column, cross: Column, tx7: Column, variant: str
 def derived_features(df: DataFrame) -> DataFrame:
     """P3–P7 on top of the trailing windows."""
     dev = F.col(AMT) / (F.col("avg_amount_30d") + F.lit(P.AMOUNT_DEVIATION_EPS))
-    return (
-        df.withColumn("amount_deviation_ratio", dev)
-        .withColumn("hour_of_day", F.hour(TS))
-        .withColumn("is_weekend", F.dayofweek(TS).isin(1, 7).cast("int"))
-        .withColumn("is_new_merchant", (F.col("merchant_count_30d") == 1).cast("int"))
-        .withColumn("is_cross_border",
-                    F.when(F.col("merchant_country") != F.col("customer_country"), 1).otherwise(0))
-        .withColumn("rule_based_risk", rule_risk(F.col("amount_deviation_ratio"), F.col("is_new_merchant"),
-                                                 F.col("is_cross_border"), F.col("tx_count_7d")))
-    )
+    new = (F.col("merchant_count_30d") == 1).cast("int")
+    cross = F.when(F.col("merchant_country") != F.col("customer_country"), 1).otherwise(0)
+    return df.select(
+        "*", dev.alias("amount_deviation_ratio"), F.hour(TS).alias("hour_of_day"),
+        F.dayofweek(TS).isin(1, 7).cast("int").alias("is_weekend"), new.alias("is_new_merchant"),
+        cross.alias("is_cross_border"), rule_risk(dev, new, cross, F.col("tx_count_7d")).alias("rule_based_risk"))
 
 
 def engineer_features(tx: DataFrame, method: str = "bucketed") -> DataFrame:
@@ -114,8 +110,8 @@ def feature_table(tx: DataFrame, method: str = "bucketed", version: str = P.FEAT
 
 def score(df: DataFrame, threshold: float = P.DECISION_THRESHOLD) -> DataFrame:
     """``score`` = notebook risk clipped to [0, 1]; ``prediction`` = score > threshold."""
-    return df.withColumn("score", clip(F.col("rule_based_risk"), 0.0, 1.0)) \
-        .withColumn("prediction", (F.col("score") > F.lit(threshold)).cast("int"))
+    sc = clip(F.col("rule_based_risk"), 0.0, 1.0)
+    return df.select("*", sc.alias("score"), (sc > F.lit(threshold)).cast("int").alias("prediction"))
 
 
 def scored_transactions(tx: DataFrame, method: str = "bucketed") -> DataFrame:
@@ -134,8 +130,8 @@ def prior_mean_amount(df: DataFrame, method: str = "bucketed", key: str = KEY, t
     else:
         sums = W.running_sums(
             df, key, [ts, ID], ts, ID,
-            measures={"_s": F.col(AMT).cast(AMOUNT_DECIMAL),
-                      "_c": F.when(F.col(AMT).isNotNull(), 1).otherwise(0).cast("bigint")},
+            measures={"_s": (F.col(AMT), AMOUNT_DECIMAL),
+                      "_c": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint")},
             include_current=False,
         ).select(ID, (F.col("_s").cast("double") / F.when(F.col("_c") > 0, F.col("_c"))).alias("_prior"))
         out = df.join(sums, ID, "left")
@@ -151,7 +147,7 @@ def first_activity(df: DataFrame, method: str = "bucketed", key: str = KEY, ts:
         return df.withColumn("is_first_activity", (F.count(MERCH).over(w) == 1).cast("int"))
     sums = W.running_sums(
         df, key, [ts, ID], ts, ID,
-        measures={"_c": F.when(F.col(MERCH).isNotNull(), 1).otherwise(0).cast("bigint")},
+        measures={"_c": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint")},
         include_current=True,
     )
     return df.join(sums, ID, "left").withColumn("is_first_activity", (F.col("_c") == 1).cast("int")).drop("_c")

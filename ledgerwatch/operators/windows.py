@@ -45,42 +45,42 @@ def trailing_sums(
     every (measure, span) the sum of the measure over the key's rows with
     ``ts`` in ``[ts_row - span days, ts_row]`` (ties included).
 
-    ``measures`` maps a name to an additive column (long count or decimal
-    amount); ``spans_days`` maps a suffix to a frame length in days.
+    ``measures`` maps a name to (additive column, its SQL type), e.g. a
+    ``bigint`` count or a ``decimal(38,8)`` amount; ``spans_days`` maps a
+    suffix to a frame length in days.
     """
     names = list(measures)
-    pts = df.select(
-        F.col(key).alias("_k"),
-        F.col(row_id).alias("_id"),
-        epoch_us(ts).alias("_us"),
-        *[measures[m].alias(m) for m in names],
-    )
-    real = pts.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
-    # Point set: each real row with its weights, plus one zero-weight probe
-    # per span, located just before the frame start.
-    zero = {m: F.lit(0).cast(real.schema[m].dataType) for m in names}
-    allp = real.select("_k", "_id", "_us", "_b", F.lit("_now").alias("_kind"),
-                       *[F.col(m) for m in names])
+    zero = {m: F.lit(0).cast(measures[m][1]) for m in names}
+    us = epoch_us(ts)
+    # One pass over the input: each row becomes its own point plus one
+    # zero-weight probe per span just before its frame start (explode, no
+    # union of re-scans).
+    kinds = [F.struct(F.lit("_now").alias("kind"), us.alias("us"), F.lit(True).alias("real"))]
     for suffix, days in spans_days.items():
-        p_us = F.col("_us") - F.lit(days * US_PER_DAY + 1)
-        allp = allp.unionByName(pts.select(
-            "_k", "_id", p_us.alias("_us"),
-            F.floor(p_us / F.lit(bucket_us)).alias("_b"),
-            F.lit(suffix).alias("_kind"),
-            *[zero[m].alias(m) for m in names],
-        ))
-    # Bucket totals over all points (probe buckets included, with zero
-    # weight) and, per key, the sum over all earlier buckets.
-    totals = allp.groupBy("_k", "_b").agg(*[F.sum(m).alias(m) for m in names])
+        kinds.append(F.struct(F.lit(suffix).alias("kind"), (us - F.lit(days * US_PER_DAY + 1)).alias("us"),
+                              F.lit(False).alias("real")))
+    pts = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"),
+                    *[measures[m][0].cast(measures[m][1]).alias(m) for m in names],
+                    F.explode(F.array(*kinds)).alias("_p"))
+    allp = pts.select("_k", "_id", F.col("_p.kind").alias("_kind"), F.col("_p.us").alias("_us"),
+                      F.floor(F.col("_p.us") / F.lit(bucket_us)).alias("_b"),
+                      *[F.when(F.col("_p.real"), F.col(m)).otherwise(zero[m]).alias(m) for m in names])
+    # One window stage per (key, bucket): the running sum up to each point
+    # and the bucket's total (same partitioning and order, one sort).
+    part = Window.partitionBy("_k", "_b")
+    w_in = part.orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    inside = allp.select("_k", "_b", "_id", "_kind",
+                         *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in names],
+                         *[F.sum(m).over(part).alias(f"_tot_{m}") for m in names])
+    # Per key, the sum over all earlier buckets (probe buckets included);
+    # grouping on the window's own keys needs no new shuffle, and the table
+    # has (time span / bucket width) rows per key.
+    totals = inside.groupBy("_k", "_b").agg(*[F.max(f"_tot_{m}").alias(m) for m in names])
     w_before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         "_k", "_b",
-        *[F.coalesce(F.sum(m).over(w_before), F.lit(0).cast(totals.schema[m].dataType)).alias(f"_pre_{m}")
-          for m in names],
+        *[F.coalesce(F.sum(m).over(w_before), zero[m]).alias(f"_pre_{m}") for m in names],
     )
-    w_in = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
-    inside = allp.select("_k", "_b", "_id", "_kind",
-                         *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in names])
     prefix = inside.join(before, ["_k", "_b"], "left").select(
         "_id", "_kind",
         *[(F.col(f"_in_{m}") + F.coalesce(F.col(f"_pre_{m}"), zero[m])).alias(f"_p_{m}")
@@ -113,18 +113,19 @@ def running_sums(
     pts = df.select(
         F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
         F.floor(epoch_us(ts) / F.lit(bucket_us)).alias("_b"),
-        *[measures[m].alias(m) for m in names],
+        *[measures[m][0].cast(measures[m][1]).alias(m) for m in names],
     )
-    totals = pts.groupBy("_k", "_b").agg(*[F.sum(m).alias(m) for m in names])
+    end = 0 if include_current else -1
+    part = Window.partitionBy("_k", "_b")
+    w_in = part.orderBy(*[f"_o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, end)
+    inside = pts.select("_k", "_b", "_id", *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in names],
+                        *[F.sum(m).over(part).alias(f"_tot_{m}") for m in names])
+    totals = inside.groupBy("_k", "_b").agg(*[F.max(f"_tot_{m}").alias(m) for m in names])
     w_before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         "_k", "_b",
         *[F.sum(m).over(w_before).alias(f"_pre_{m}") for m in names],
     )
-    end = 0 if include_current else -1
-    w_in = (Window.partitionBy("_k", "_b").orderBy(*[f"_o{i}" for i in range(len(order))])
-            .rowsBetween(Window.unboundedPreceding, end))
-    inside = pts.select("_k", "_b", "_id", *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in names])
     out = inside.join(before, ["_k", "_b"], "left")
     cols = []
     for m in names:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as FE
+from ..session import materialize
 from ..sources import tables as T
 
 
@@ -25,6 +26,16 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return FE.score(features(spark, sf))
 
 
+def scored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored transactions written once to the shared folder, for
+    queries that read them more than once."""
+    return materialize(scored(spark, sf), "scored")
+
+
+def features_table(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(features(spark, sf), "features")
+
+
 ORDERS_SQL = """orders_tx AS (
   select o_orderkey as transaction_id, o_custkey as customer_id, o_orderdate as transaction_timestamp,
          o_totalprice as transaction_amount,

@@ -51,7 +51,7 @@ def kl_body(cur: str = "kc", by_grp: bool = False) -> str:
 
 
 def cohorts(spark, sf):
-    s = base.scored(spark, sf)
+    s = base.scored_table(spark, sf)
     return s, s.where(F.col("cohort") == "baseline"), s.where(F.col("cohort") == "current")
 
 
@@ -96,7 +96,7 @@ REPORT_BODY = (
 @register("drift_report", with_scored(REPORT_BODY, *PSI_CTES, *KL_CTES[1:], MEANS, ACC_BY_COHORT))
 def drift_report(spark, sf):
     """A16 + G5: PSI, KL, means, severity, drift flag, retrain flag."""
-    return rounded(D.drift_report(base.scored(spark, sf)))
+    return rounded(D.drift_report(base.scored_table(spark, sf)))
 
 
 @register("retrain_signal", with_scored(
@@ -104,7 +104,7 @@ def drift_report(spark, sf):
     *PSI_CTES, *KL_CTES[1:], MEANS, ACC_BY_COHORT))
 def retrain_signal(spark, sf):
     """Psi > .25 and (accuracy drop > .02 or kl > .1) over the drift report."""
-    rep = D.drift_report(base.scored(spark, sf))
+    rep = D.drift_report(base.scored_table(spark, sf))
     return rounded(D.retrain_signal(rep))
 
 
@@ -133,7 +133,7 @@ DAILY_ROUNDED = _round_sql(DAILY_BODY, "report_date, report_id, n, round(psi, 6)
 
 
 def daily_reports(spark, sf):
-    return D.daily_drift_reports(base.scored(spark, sf))
+    return D.daily_drift_reports(base.scored_table(spark, sf))
 
 
 @register("drift_reports", with_scored(DAILY_ROUNDED, *DAILY_CTES))
@@ -168,4 +168,4 @@ def consecutive_drift(spark, sf):
     *PSI_CTES, *hist_ctes(10, "'b'", "hb2", "cohort = 'baseline'")))
 def drift_status_empty(spark, sf):
     """Per cohort, ``no_data`` when it holds no scores (``holdout`` here)."""
-    return rounded(D.drift_status(base.scored(spark, sf), ["baseline", "current", "holdout"]))
+    return rounded(D.drift_status(base.scored_table(spark, sf), ["baseline", "current", "holdout"]))

@@ -26,7 +26,7 @@ def _attr_sql(body: str) -> str:
 
 
 def attr(spark, sf):
-    return X.rule_attribution(base.features(spark, sf))
+    return X.rule_attribution(base.features_table(spark, sf))
 
 
 @register("rule_attribution", _attr_sql(
@@ -118,7 +118,7 @@ RISK_WORD = "case when score > 0.7 then 'high' when score > 0.4 then 'moderate'
     MEANS, ATTR_LONG))
 def explain_text(spark, sf):
     """M10 + P10 + F15 (re-aimed): explanation text for every flagged transaction."""
-    return X.explain_text(base.scored(spark, sf))
+    return X.explain_text(base.scored_table(spark, sf))
 
 
 # --- labelled JSON sections (F11) ---------------------------------------------

@@ -18,7 +18,7 @@ RUNS = (
 
 
 def runs(spark, sf):
-    return G.run_log_from_scored(base.scored(spark, sf))
+    return G.run_log_from_scored(base.scored_table(spark, sf))
 
 
 @register("run_log", with_scored(

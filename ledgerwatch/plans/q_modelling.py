@@ -16,7 +16,7 @@ SPLIT_SQL = ("split AS (select *, case when row_number() over (partition by is_f
 
 
 def split_features(spark, sf):
-    return M.stratified_split(base.features(spark, sf))
+    return M.stratified_split(base.features_table(spark, sf))
 
 
 @register("stratified_split", with_features_and(SPLIT_SQL, "select transaction_id, is_fraud, split from split"))

@@ -70,3 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: cuts the lineage (a lost executor re-reads the table
+    instead of recomputing upstream windows) and lets several consumers
+    share one computation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -54,12 +54,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+_SIZE_CHECKED: dict[tuple[str, int], bool] = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, key: str | None = None) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows
-    (checked with a bounded count); otherwise leave the join strategy to
-    the optimizer and AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    (checked with a bounded count, remembered per ``key`` — e.g. the table
+    path — for the session); otherwise leave the join strategy to the
+    optimizer and AQE."""
+    cache_key = (key, max_rows) if key else None
+    small = _SIZE_CHECKED.get(cache_key) if cache_key else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if cache_key:
+            _SIZE_CHECKED[cache_key] = small
+    return F.broadcast(df) if small else df
 
 
 def ts_literal(value: str) -> Column:
@@ -79,7 +88,7 @@ def transactions(spark: SparkSession, sf_dir: str, cohort_split: str = COHORT_SP
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    nation = bounded_broadcast(read_table(spark, sf_dir, "nation"))
+    nation = bounded_broadcast(read_table(spark, sf_dir, "nation"), key=table_path(sf_dir, "nation"))
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
                        F.col("n_regionkey").alias("cn_region"))
     mn = nation.select(F.col("n_nationkey").alias("mn_key"), F.col("n_name").alias("mn_name"),
