@@ -143,3 +143,18 @@ def model_comparison(df: DataFrame, folds: int = 5, seed: int = 42, models: dict
     rows = df.sparkSession.createDataFrame(results, "model string, fold int, accuracy double, f1_score double")
     return rows.groupBy("model").agg(F.avg("accuracy").alias("accuracy"), F.avg("f1_score").alias("f1_score"),
                                      F.count(F.lit(1)).alias("folds"))
+
+
+def bounded_sample(df: DataFrame, k: int = 200, seed: int = 42, id_col: str = "transaction_id") -> DataFrame:
+    """K8: a repeatable sample of exactly ``min(k, n)`` rows — the ``k``
+    smallest by a seeded hash of the id. Runs as a distributed top-k
+    (each task keeps its k best, the driver merges k × tasks rows)."""
+    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    return df.withColumn("_h", h).orderBy("_h", id_col).limit(k).drop("_h")
+
+
+def model_matrix(features: DataFrame, cols: list[str] = P.MODEL_FEATURES) -> DataFrame:
+    """The model features in their fixed order plus the assembled
+    vector."""
+    asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    return asm.transform(features.select("transaction_id", "is_fraud", *cols))

@@ -66,4 +66,21 @@ def batch_scoring(spark, sf):
 def model_comparison(spark, sf):
     """M4: logistic regression, gradient boosting and the forest under
     5-fold cross-validation; mean accuracy and positive-class F1."""
-    return rounded(M.model_comparison(base.features(spark, sf)))
+    return rounded(M.model_comparison(base.features_table(spark, sf)))
+
+
+@register("model_matrix", with_features_and(SPLIT_SQL, "select transaction_id, is_fraud, " + ", ".join(
+    f"round(cast({c} as double), 6) as {c}" for c in P.MODEL_FEATURES) + " from features"))
+def model_matrix(spark, sf):
+    """The nine model features in their fixed order (the assembled
+    vector is checked by tests; its columns are compared here)."""
+    m = M.model_matrix(base.features(spark, sf))
+    return rounded(m.select("transaction_id", "is_fraud", *[F.col(c).cast("double").alias(c) for c in P.MODEL_FEATURES]))
+
+
+@register("bounded_sample")
+def bounded_sample(spark, sf):
+    """K8: a repeatable sample of at most 200 held-out rows (seeded hash,
+    smallest 200), as used for attribution reports."""
+    s = split_features(spark, sf)
+    return M.bounded_sample(s.where(F.col("split") == "test"), 200).select("transaction_id", "is_fraud", "split")
