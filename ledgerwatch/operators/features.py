@@ -123,20 +123,20 @@ def scored_transactions(tx: DataFrame, method: str = "bucketed") -> DataFrame:
 def prior_mean_amount(df: DataFrame, method: str = "bucketed", key: str = KEY, ts: str = TS) -> DataFrame:
     """Mean of all earlier rows of the customer (order ts, id); the first
     row takes the customer's whole-history mean. Adds ``avg_amount_prior``."""
-    cust_mean = df.groupBy(key).agg(F.avg(AMT).alias("_cust_mean"))
     if method == "window":
         w = Window.partitionBy(key).orderBy(ts, ID).rowsBetween(Window.unboundedPreceding, -1)
-        out = df.withColumn("_prior", F.avg(AMT).over(w))
-    else:
-        sums = W.running_sums(
-            df, key, [ts, ID], ts, ID,
-            measures={"_s": (F.col(AMT), AMOUNT_DECIMAL),
-                      "_c": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint")},
-            include_current=False,
-        ).select(ID, (F.col("_s").cast("double") / F.when(F.col("_c") > 0, F.col("_c"))).alias("_prior"))
-        out = df.join(sums, ID, "left")
-    return out.join(cust_mean, key, "left") \
-        .withColumn("avg_amount_prior", F.coalesce("_prior", "_cust_mean")).drop("_prior", "_cust_mean")
+        out = df.withColumn("_prior", F.avg(AMT).over(w)).withColumn("_cust_mean", F.avg(AMT).over(Window.partitionBy(key)))
+        return out.withColumn("avg_amount_prior", F.coalesce("_prior", "_cust_mean")).drop("_prior", "_cust_mean")
+    sums = W.running_sums(
+        df, key, [ts, ID], ts, ID,
+        measures={"_s": (F.col(AMT), AMOUNT_DECIMAL),
+                  "_c": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint")},
+        include_current=False, with_key_totals=True,
+    )
+    prior = F.col("_s").cast("double") / F.when(F.col("_c") > 0, F.col("_c"))
+    whole = F.col("_s_all").cast("double") / F.when(F.col("_c_all") > 0, F.col("_c_all"))
+    sums = sums.select(ID, F.coalesce(prior, whole).alias("avg_amount_prior"))
+    return df.join(sums, ID, "left")
 
 
 def first_activity(df: DataFrame, method: str = "bucketed", key: str = KEY, ts: str = TS) -> DataFrame:

@@ -20,7 +20,6 @@ from .evaluation import classification_metrics, roc_auc
 
 SPLIT_MODULUS = 104729
 SPLIT_MULTIPLIER = 7919
-SPLIT_BUCKETS = 1024
 
 
 def split_key(id_col: str) -> F.Column:
@@ -35,13 +34,13 @@ def stratified_split(df: DataFrame, y: str = "is_fraud", id_col: str = "transact
     ``train``. Adds ``split``.
 
     The per-class rank is computed in two levels so that no task holds a
-    whole class: counts per (class, key bucket) (at most classes × 1024
-    rows, broadcast) give the rows before each bucket, and a running
-    count inside each (class, bucket) gives the rest.
+    whole class: counts per (class, key value) — at most classes × 104,729
+    rows, a bounded table that is broadcast — give the rows before each key
+    value, and a running count by id inside each (class, key value), about
+    n / 104,729 rows, gives the rest.
     """
     k = split_key(id_col)
-    b = F.floor(k * SPLIT_BUCKETS / F.lit(SPLIT_MODULUS)).cast("int")
-    d = df.withColumn("_key", k).withColumn("_b", b)
+    d = df.withColumn("_key", k).withColumn("_b", k)
     bc = d.groupBy(y, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     per_class = Window.partitionBy(y)
     bc = bc.select(
@@ -49,7 +48,7 @@ def stratified_split(df: DataFrame, y: str = "is_fraud", id_col: str = "transact
         F.coalesce(F.sum("_cnt").over(per_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_before"),
         F.ceil(F.sum("_cnt").over(per_class) * F.lit(test_fraction)).alias("_k"))
-    within = F.row_number().over(Window.partitionBy(y, "_b").orderBy("_key", id_col))
+    within = F.row_number().over(Window.partitionBy(y, "_b").orderBy(id_col))
     d = d.withColumn("_in", within).join(F.broadcast(bc), [y, "_b"])
     return d.withColumn("split", F.when(F.col("_before") + F.col("_in") <= F.col("_k"), "test").otherwise("train")) \
         .drop("_key", "_b", "_before", "_in", "_k")

@@ -105,10 +105,13 @@ def running_sums(
     measures: dict[str, Column],
     include_current: bool,
     bucket_us: int = DEFAULT_BUCKET_US,
+    with_key_totals: bool = False,
 ) -> DataFrame:
     """Narrow ``(row_id, <measure> ...)``: running sum per key over rows
     ordered by ``order`` (the first being ``ts``), ROWS frame from the start
-    up to the current row (``include_current``) or the row before it."""
+    up to the current row (``include_current``) or the row before it.
+    ``with_key_totals`` adds ``<measure>_all``, the key's whole total, taken
+    from the small per-bucket table (no join of rows on the key)."""
     names = list(measures)
     pts = df.select(
         F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
@@ -125,6 +128,7 @@ def running_sums(
     before = totals.select(
         "_k", "_b",
         *[F.sum(m).over(w_before).alias(f"_pre_{m}") for m in names],
+        *[F.sum(m).over(Window.partitionBy("_k")).alias(f"_all_{m}") for m in names],
     )
     out = inside.join(before, ["_k", "_b"], "left")
     cols = []
@@ -133,6 +137,8 @@ def running_sums(
         # Both parts null means no rows in the frame (SQL sum of nothing).
         cols.append(F.when(a.isNull() & b.isNull(), F.lit(None))
                     .otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).alias(m))
+    if with_key_totals:
+        cols += [F.col(f"_all_{m}").alias(f"{m}_all") for m in names]
     return out.select(F.col("_id").alias(row_id), *cols)
 
 
