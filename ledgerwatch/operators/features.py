@@ -33,7 +33,8 @@ def _trailing_plain(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     )
 
 
-def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: int = W.DEFAULT_BUCKET_US) -> DataFrame:
+def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: int | None = W.DEFAULT_BUCKET_US,
+                       target_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
     sums = W.trailing_sums(
         df, key, ts, ID,
         measures={
@@ -43,7 +44,7 @@ def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: i
             "nm": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint"),
         },
         spans_days={"7d": 7, "30d": 30},
-        bucket_us=bucket_us,
+        bucket_us=bucket_us, target_rows=target_rows,
     )
     sums = sums.select(
         ID,

@@ -12,8 +12,12 @@ every frame is answered as a difference of prefix sums:
 The probe point ``t - span - 1us`` is answered in its own bucket, next to the
 rows it has to count, and joined back to its row by id. Only additive
 measures (counts, exact decimal sums) are used, so the result equals the
-plain window exactly. Tasks are bounded by (key, bucket), and the
-per-key bucket table has (time span / bucket width) rows.
+plain window exactly.
+
+Bucket widths adapt per key: an ordinary key is one bucket (the work is
+then that of a plain window); a key with more than ``target_rows`` rows is
+cut into power-of-two time buckets of about ``target_rows`` rows, so tasks
+stay bounded however hot a key is.
 """
 
 from __future__ import annotations
@@ -23,7 +27,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 US_PER_DAY = 86_400_000_000
-DEFAULT_BUCKET_US = 6 * 3_600_000_000  # six hours
+# Bucket width of an ordinary key: one bucket spans its whole history.
+WHOLE_KEY_US = 1 << 52
+# A key with more rows than this is split into time buckets of about this
+# many rows each.
+TARGET_ROWS_PER_BUCKET = 1_000_000
+DEFAULT_BUCKET_US = None  # adaptive
+
+
+def bucket_widths(df: DataFrame, key: str, us: Column, target_rows: int) -> DataFrame:
+    """(``_k``, ``_w``) for hot keys only: keys with more than ``target_rows``
+    rows get a power-of-two bucket width (µs) sized so that a bucket holds
+    about ``target_rows`` rows. The table has at most n / target_rows rows —
+    a bound by construction — so it is broadcast."""
+    st = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"),
+                                                F.max(us).alias("_hi"))
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+    w = F.pow(F.lit(2.0), F.floor(F.log2(span * F.lit(float(target_rows)) / F.col("_n"))))
+    return F.broadcast(st.where(F.col("_n") > target_rows).select(
+        "_k", F.greatest(F.lit(1), w.cast("bigint")).alias("_w")))
+
+
+def with_width(df: DataFrame, key: str, us: Column, bucket_us: int | None, target_rows: int) -> DataFrame:
+    """Adds ``_w``, the bucket width of the row's key: fixed when
+    ``bucket_us`` is given, else adaptive (whole key, or split when hot)."""
+    if bucket_us is not None:
+        return df.withColumn("_w", F.lit(bucket_us).cast("bigint"))
+    hot = bucket_widths(df, key, us, target_rows)
+    return df.join(hot, F.col(key) == F.col("_k"), "left").drop("_k") \
+        .withColumn("_w", F.coalesce(F.col("_w"), F.lit(WHOLE_KEY_US).cast("bigint")))
 
 
 def epoch_us(ts_col: str) -> Column:
@@ -39,7 +71,8 @@ def trailing_sums(
     row_id: str,
     measures: dict[str, Column],
     spans_days: dict[str, int],
-    bucket_us: int = DEFAULT_BUCKET_US,
+    bucket_us: int | None = DEFAULT_BUCKET_US,
+    target_rows: int = TARGET_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Narrow result ``(row_id, <measure>_<span> ...)``: for every row and
     every (measure, span) the sum of the measure over the key's rows with
@@ -52,6 +85,7 @@ def trailing_sums(
     names = list(measures)
     zero = {m: F.lit(0).cast(measures[m][1]) for m in names}
     us = epoch_us(ts)
+    df = with_width(df, key, us, bucket_us, target_rows)
     # One pass over the input: each row becomes its own point plus one
     # zero-weight probe per span just before its frame start (explode, no
     # union of re-scans).
@@ -59,11 +93,11 @@ def trailing_sums(
     for suffix, days in spans_days.items():
         kinds.append(F.struct(F.lit(suffix).alias("kind"), (us - F.lit(days * US_PER_DAY + 1)).alias("us"),
                               F.lit(False).alias("real")))
-    pts = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"),
+    pts = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), "_w",
                     *[measures[m][0].cast(measures[m][1]).alias(m) for m in names],
                     F.explode(F.array(*kinds)).alias("_p"))
     allp = pts.select("_k", "_id", F.col("_p.kind").alias("_kind"), F.col("_p.us").alias("_us"),
-                      F.floor(F.col("_p.us") / F.lit(bucket_us)).alias("_b"),
+                      F.floor(F.col("_p.us") / F.col("_w")).alias("_b"),
                       *[F.when(F.col("_p.real"), F.col(m)).otherwise(zero[m]).alias(m) for m in names])
     # One window stage per (key, bucket): the running sum up to each point
     # and the bucket's total (same partitioning and order, one sort).
@@ -104,8 +138,9 @@ def running_sums(
     row_id: str,
     measures: dict[str, Column],
     include_current: bool,
-    bucket_us: int = DEFAULT_BUCKET_US,
+    bucket_us: int | None = DEFAULT_BUCKET_US,
     with_key_totals: bool = False,
+    target_rows: int = TARGET_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Narrow ``(row_id, <measure> ...)``: running sum per key over rows
     ordered by ``order`` (the first being ``ts``), ROWS frame from the start
@@ -113,9 +148,10 @@ def running_sums(
     ``with_key_totals`` adds ``<measure>_all``, the key's whole total, taken
     from the small per-bucket table (no join of rows on the key)."""
     names = list(measures)
+    df = with_width(df, key, epoch_us(ts), bucket_us, target_rows)
     pts = df.select(
         F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.floor(epoch_us(ts) / F.lit(bucket_us)).alias("_b"),
+        F.floor(epoch_us(ts) / F.col("_w")).alias("_b"),
         *[measures[m][0].cast(measures[m][1]).alias(m) for m in names],
     )
     end = 0 if include_current else -1

@@ -37,6 +37,21 @@ def test_trailing_equal_with_hot_customer(spark):
     a = FE.trailing_features(tx, "window").select(*COLS)
     b = FE._trailing_bucketed(tx, bucket_us=3_600_000_000).select(*COLS)
     assert _mismatch(a, b, COLS) == 0
+    # adaptive widths: keys above 200 rows are cut into ~200-row buckets
+    c = FE._trailing_bucketed(tx, target_rows=200).select(*COLS)
+    assert _mismatch(a, c, COLS) == 0
+
+
+def test_adaptive_width_bounds_hot_key(spark):
+    from ledgerwatch.operators import windows as W
+
+    tx = T.transactions(spark, SF_MID).withColumn(
+        "customer_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(-1)).otherwise(F.col("customer_id")))
+    us = W.epoch_us("transaction_timestamp")
+    widths = W.bucket_widths(tx, "customer_id", us, 200).collect()
+    assert [r["_k"] for r in widths] == [-1]
+    per_bucket = tx.where(F.col("customer_id") == -1).groupBy(F.floor(us / F.lit(widths[0]["_w"]))).count()
+    assert per_bucket.agg(F.max("count")).first()[0] <= 4 * 200
 
 
 def test_prior_mean_and_first_activity_equal(spark):
