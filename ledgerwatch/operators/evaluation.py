@@ -72,12 +72,18 @@ def roc_auc(df: DataFrame, y: str = "is_fraud", score: str = "score") -> DataFra
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
     bucket = F.least(F.greatest(F.floor(F.col(score) * AUC_BUCKETS), F.lit(-AUC_BUCKETS)), F.lit(2 * AUC_BUCKETS))
     d = d.withColumn("_b", bucket)
-    bt = d.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
-    bt = bt.withColumn("_neg_before_b", F.coalesce(
-        F.sum("_bneg").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w_in = Window.partitionBy("_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_neg_before_in", F.coalesce(F.sum("neg").over(w_in), F.lit(0)))
-    d = d.join(bt.select("_b", "_neg_before_b"), "_b")
+    # One window stage per bucket: negatives strictly below inside the
+    # bucket, and the bucket's total (no second pass over the input).
+    part = Window.partitionBy("_b")
+    inside = d.select("_b", "pos", "neg",
+                      F.coalesce(F.sum("neg").over(part.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)),
+                                 F.lit(0)).alias("_neg_before_in"),
+                      F.sum("neg").over(part).alias("_bneg"))
+    bt = inside.groupBy("_b").agg(F.max("_bneg").alias("_bneg"))
+    # At most 3 · AUC_BUCKETS + 1 rows: the only single-partition step.
+    bt = bt.select("_b", F.coalesce(F.sum("_bneg").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_neg_before_b"))
+    d = inside.join(F.broadcast(bt), "_b")
     lt = F.col("_neg_before_b") + F.col("_neg_before_in")
     tot = d.agg(
         F.sum(F.col("pos").cast("double") * (lt.cast("double") + F.col("neg") * 0.5)).alias("_u"),
