@@ -84,3 +84,16 @@ def bounded_sample(spark, sf):
     smallest 200), as used for attribution reports."""
     s = split_features(spark, sf)
     return M.bounded_sample(s.where(F.col("split") == "test"), 200).select("transaction_id", "is_fraud", "split")
+
+
+@register("tree_attribution")
+def tree_attribution(spark, sf):
+    """M7: exact tree attribution of the trained forest for a bounded
+    sample (200 held-out rows): one row per (transaction, feature) plus the
+    base value; Σ phi + base = predicted probability."""
+    from ..operators import attribution as AT
+
+    s = split_features(spark, sf)
+    model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
+    sample = M.bounded_sample(s.where(F.col("split") == "test"), 200)
+    return rounded(AT.forest_attribution(model.stages[-1], sample, P.MODEL_FEATURES))
