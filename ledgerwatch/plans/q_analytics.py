@@ -23,7 +23,7 @@ def band_sql(c: str, kind: str) -> str:
 
 
 @register("kpi_summary", with_scored(
-    "select transactions, round(f, 6) as current_fpr, 0.12 as baseline_fpr, round(transactions * 0.12 - transactions * f, 6) "
+    "select transactions, round(f, 6) as current_fpr, cast(0.12 as double) as baseline_fpr, round(transactions * 0.12 - transactions * f, 6) "
     "as fp_reduction, round((transactions * 0.12 - transactions * f) * 5.0, 6) as monthly_savings, "
     "round((transactions * 0.12 - transactions * f) * 5.0 * 12, 6) as annual_roi, round(coalesce(p, 0.0), 6) as fraud_prevented, "
     "round((0.12 - f) / 0.12 * 100, 6) as fpr_reduction_pct from ("
@@ -74,7 +74,7 @@ def segmentation_pivot(spark, sf):
 
 
 @register("segmentation_overall", with_scored(
-    "select sum(transaction_count) as total_transactions, round(avg(fpr_pct), 6) as average_fpr_pct, "
+    "select cast(sum(transaction_count) as bigint) as total_transactions, round(avg(fpr_pct), 6) as average_fpr_pct, "
     "(select segment || ' - ' || region from c order by fpr_pct desc, segment || ' - ' || region desc limit 1) "
     "as highest_fpr_segment, (select segment || ' - ' || region from c order by fpr_pct asc, segment || ' - ' || region asc "
     "limit 1) as lowest_fpr_segment from c", f"c AS ({CELLS})"))
@@ -108,8 +108,8 @@ def hourly_volume(spark, sf):
 
 
 @register("volume_summary", with_scored(
-    "select sum(volume) as total_transactions, round(avg(latency_ms), 6) as avg_latency_ms, "
-    "sum(fraud_detected) as total_fraud_detected, round(sum(fraud_detected) / sum(volume) * 100, 6) as fraud_rate_pct, "
+    "select cast(sum(volume) as bigint) as total_transactions, round(avg(latency_ms), 6) as avg_latency_ms, "
+    "cast(sum(fraud_detected) as bigint) as total_fraud_detected, round(sum(fraud_detected) / sum(volume) * 100, 6) as fraud_rate_pct, "
     "(select hour_start from h order by volume desc, hour_start asc limit 1) as peak_hour_start, "
     "max(volume) as peak_volume from h", f"h AS ({HOURLY})"))
 def volume_summary(spark, sf):
@@ -118,7 +118,7 @@ def volume_summary(spark, sf):
 
 
 @register("sla_compliance", with_scored(
-    "select 100.0 as target_latency_ms, round(quantile_cont(processing_time_ms, 0.95), 6) as p95_latency_ms, "
+    "select cast(100.0 as double) as target_latency_ms, round(quantile_cont(processing_time_ms, 0.95), 6) as p95_latency_ms, "
     "round(avg(processing_time_ms), 6) as avg_latency_ms, quantile_cont(processing_time_ms, 0.95) < 100.0 as sla_met "
     "from scored"))
 def sla_compliance(spark, sf):

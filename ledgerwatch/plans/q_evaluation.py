@@ -59,8 +59,8 @@ def classification_metrics(spark, sf):
 
 
 @register("cost_analysis", with_scored(
-    f"select fp, fn, fp * 5.0 as false_positive_cost, fn * 250.0 as false_negative_cost, "
-    f"fp * 5.0 + fn * 250.0 as total_cost from (select {CM} from scored)"))
+    f"select fp, fn, fp * cast(5.0 as double) as false_positive_cost, fn * cast(250.0 as double) as false_negative_cost, "
+    f"fp * cast(5.0 as double) + fn * cast(250.0 as double) as total_cost from (select {CM} from scored)"))
 def cost_analysis(spark, sf):
     """FP × 5 + FN × 250."""
     return E.cost_analysis(base.scored(spark, sf))
@@ -89,7 +89,7 @@ def fpr_by_group(spark, sf):
     "select 'fairness' as policy, count(*) as n_groups, round(max(fpr), 6) as max_fpr, round(min(fpr), 6) as min_fpr, "
     "(select age_band from g order by fpr desc, age_band desc limit 1) as worst_group, "
     "(select age_band from g order by fpr asc, age_band asc limit 1) as best_group, "
-    "round(coalesce(max(fpr) - min(fpr), 0.0), 6) as disparity, 0.1 as threshold, "
+    "round(coalesce(max(fpr) - min(fpr), 0.0), 6) as disparity, cast(0.1 as double) as threshold, "
     "coalesce(max(fpr) - min(fpr), 0.0) <= 0.1 as passed, "
     "case when coalesce(max(fpr) - min(fpr), 0.0) <= 0.1 then 'passed' else 'failed' end as status from g",
     "g AS (select age_band, case when fp + tn > 0 then fp / (fp + tn) else 0.0 end as fpr from "
@@ -119,7 +119,7 @@ def rollback_check(spark, sf):
 
 
 @register("metric_targets", with_scored(
-    f"select 'accuracy' as metric, accuracy as actual, 0.924 as target, accuracy >= 0.924 as meets from ({METRICS_SQL}) "
+    f"select 'accuracy' as metric, accuracy as actual, cast(0.924 as double) as target, accuracy >= 0.924 as meets from ({METRICS_SQL}) "
     f"union all select 'false_positive_rate', false_positive_rate, 0.051, false_positive_rate <= 0.051 from ({METRICS_SQL})"))
 def metric_targets(spark, sf):
     """Actual metrics against the target table."""

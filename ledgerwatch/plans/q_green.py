@@ -61,7 +61,7 @@ def green_totals(spark, sf):
 
 
 @register("carbon_budget", with_scored(
-    "select round(total_energy_kwh, 6) as total_energy_kwh, 50.0 as limit_kwh, round(p, 6) as budget_used_pct, "
+    "select round(total_energy_kwh, 6) as total_energy_kwh, cast(50.0 as double) as limit_kwh, round(p, 6) as budget_used_pct, "
     "case when p > 80.0 then 'red' when p > 60.0 then 'amber' else 'green' end as status from "
     f"(select total_energy_kwh, total_energy_kwh / 50.0 * 100 as p from ({TOTALS}))", RUNS))
 def carbon_budget(spark, sf):

@@ -114,7 +114,7 @@ def expectation_suite(spark, sf):
 
 
 @register("local_validation", with_features(
-    "select len(f) = 0 as passed, f as failures from (select list_filter([ "
+    "select len(f) = 0 as passed, array_to_string(f, '; ') as failures from (select list_filter([ "
     "case when count(*) filter (where transaction_amount <= 0) > 0 then 'transaction_amount must be positive' end, "
     "case when max(transaction_amount) > 1000000.0 then 'transaction_amount exceeds max' end, "
     "case when min(rule_based_risk) < 0 or max(rule_based_risk) > 1 then 'rule_based_risk out of [0,1]' end, "
@@ -125,7 +125,8 @@ def expectation_suite(spark, sf):
     "from features)"))
 def local_validation(spark, sf):
     """V3: local suite, failure messages in check order."""
-    return Q.local_validation(FE.engineer_features(base.tx(spark, sf)))
+    out = Q.local_validation(FE.engineer_features(base.tx(spark, sf)))
+    return out.select("passed", F.array_join("failures", "; ").alias("failures"))
 
 
 @register("mean_shift", with_tx(
@@ -166,7 +167,7 @@ def _missing_sql() -> str:
 
 
 @register("data_quality_gate", with_features_and(f"ft AS ({FEATURE_TABLE_SQL})", (
-    "select 'data_quality' as policy, len(v) = 0 as passed, round(c, 6) as completeness, v as violations, n as records_checked "
+    "select 'data_quality' as policy, len(v) = 0 as passed, round(c, 6) as completeness, array_to_string(v, '; ') as violations, n as records_checked "
     "from (select c, n, list_filter([case when c < 0.95 then printf('Data completeness %.2f%% below threshold 95.00%%', c*100) end, "
     + _missing_sql() +
     "case when r > 10.0 then printf('Class imbalance ratio %.1fx exceeds policy 10x', r) end], lambda x: x is not null) as v "
@@ -177,4 +178,4 @@ def _missing_sql() -> str:
 def data_quality_gate(spark, sf):
     """G1: completeness ≥ .95, governance features present, imbalance ≤ 10 → audit row."""
     g = Q.data_quality_gate(FE.feature_table(base.tx(spark, sf)))
-    return g.withColumn("completeness", r6("completeness"))
+    return g.withColumn("completeness", r6("completeness")).withColumn("violations", F.array_join("violations", "; "))

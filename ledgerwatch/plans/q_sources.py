@@ -26,7 +26,7 @@ def csv_roundtrip(spark, sf):
 
 
 @register("ingest_append", with_tx(
-    "select batch, rows, sum(rows) over (order by batch) as cumulative_rows from (select case when "
+    "select batch, rows, cast(sum(rows) over (order by batch) as bigint) as cumulative_rows from (select case when "
     "transaction_timestamp < timestamp '2024-01-11 00:00:00' then 1 when transaction_timestamp < timestamp "
     "'2024-01-21 00:00:00' then 2 else 3 end as batch, count(*) as rows from transactions group by 1)"))
 def ingest_append(spark, sf):
