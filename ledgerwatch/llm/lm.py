@@ -1,0 +1,199 @@
+"""Document scores by masked pseudo-likelihood.
+
+Tokens are symbols: the letters a-z (A-Z folded), white space, digit, other
+ASCII, Latin (U+0080-U+00FF), other code points; a border symbol surrounds
+every text. A bidirectional window network predicts each token from the two
+tokens on either side: embeddings by position, summed, a tanh layer, a
+softmax. A document's pseudo-log-likelihood is the sum over all its tokens of
+the log-probability given both sides.
+
+The corpus enters as counts of every (window, token), summed over all whole
+texts. Training is data-parallel over the partitions of that table: each round
+every partition runs NumPy steps on windows drawn in proportion to their
+counts, and parameters are averaged by a Spark aggregation, weighted by count;
+only the averaged parameters (a fixed number) reach the driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import materialize
+from .textops import slices
+
+SYMBOLS = 32
+BORDER, SPACE, DIGIT, ASCII, LATIN, OTHER = 31, 26, 27, 28, 29, 30
+WINDOW = 4                      # two tokens on either side
+HIDDEN = 48
+ROUNDS = 3
+BATCH = 4096
+PARTS = 12
+
+_SYMBOL = np.full(256, OTHER, np.int32)
+_SYMBOL[:128] = ASCII
+_SYMBOL[[9, 10, 11, 12, 13, 32]] = SPACE
+_SYMBOL[48:58] = DIGIT
+_SYMBOL[65:91] = _SYMBOL[97:123] = np.arange(26)
+_SYMBOL[0xC2:0xC4] = LATIN
+_SYMBOL[0x80:0xC0] = -1         # continuation bytes belong to the code point before
+
+SHAPES = ((WINDOW, SYMBOLS, HIDDEN), (HIDDEN,), (HIDDEN, SYMBOLS), (SYMBOLS,))
+SIZE = sum(int(np.prod(s)) for s in SHAPES)
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, starts, counts): for every token of all texts its window and
+    itself as one number (left to right: outer left, left, right, outer right,
+    token; five bits each), and each text's first token and number of them."""
+    encoded = [t.encode("utf-8", "replace") for t in texts]
+    symbols = _SYMBOL[np.frombuffer(b"\0\0" + b"".join(e + b"\0\0" for e in encoded), np.uint8)]
+    size = np.array([len(e) for e in encoded], np.int64)
+    end = 2 + np.cumsum(size + 2) - 2                   # where each text's two border bytes begin
+    symbols[[0, 1]] = BORDER
+    symbols[end] = symbols[end + 1] = BORDER
+    kept = np.flatnonzero(symbols >= 0)
+    symbols = symbols[kept]
+    first, last = np.searchsorted(kept, end - size), np.searchsorted(kept, end)
+    inner = symbols[2:-2]
+    code = (symbols[:-4] << 20) | (symbols[1:-3] << 15) | (symbols[3:-1] << 10) | (symbols[4:] << 5) | inner
+    real = np.ones(len(inner), bool)
+    border = np.concatenate([last, last + 1]) - 2
+    real[border[(border >= 0) & (border < len(inner))]] = False
+    counts = last - first
+    return code[real], np.cumsum(counts) - counts, counts
+
+
+def unpack(flat: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum([int(np.prod(s)) for s in SHAPES])
+    return [p.reshape(s) for p, s in zip(np.split(flat, ends[:-1]), SHAPES)]
+
+
+def network(flat: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hidden layer, log-probabilities of all symbols) for rows of windows."""
+    embed, bias, out, base = unpack(flat)
+    hidden = np.tanh(sum(embed[i][window[:, i]] for i in range(WINDOW)) + bias)
+    logits = hidden @ out + base
+    top = logits.max(axis=1, keepdims=True)
+    return hidden, logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))
+
+
+def windows_of(code: np.ndarray) -> np.ndarray:
+    return np.stack([(code >> s) & 31 for s in (20, 15, 10, 5)], axis=1)
+
+
+def learn(flat: np.ndarray, code: np.ndarray, count: np.ndarray, seed: int) -> np.ndarray:
+    """Adam steps on windows drawn in proportion to their counts."""
+    rng = np.random.default_rng(seed)
+    flat = flat.copy()
+    total = np.cumsum(count.astype(np.float64))
+    mean, square = np.zeros(SIZE), np.zeros(SIZE)
+    for step in range(1, max(60, -(-2 * len(code) // BATCH)) + 1):
+        drawn = code[np.minimum(np.searchsorted(total, rng.random(BATCH) * total[-1], "right"), len(code) - 1)]
+        window, truth = windows_of(drawn), drawn & 31
+        hidden, logp = network(flat, window)
+        embed, bias, out, base = unpack(flat)
+        delta = np.exp(logp)
+        delta[np.arange(BATCH), truth] -= 1
+        delta /= BATCH
+        back = (delta @ out.T) * (1 - hidden ** 2)
+        d_embed = np.stack([np.eye(SYMBOLS)[window[:, i]].T @ back for i in range(WINDOW)])
+        grad = np.concatenate([d_embed.ravel(), back.sum(axis=0), (hidden.T @ delta).ravel(), delta.sum(axis=0)])
+        mean = 0.9 * mean + 0.1 * grad
+        square = 0.999 * square + 0.001 * grad ** 2
+        flat -= 0.01 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
+    return flat
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(1 << 25, np.int32)
+    for whole in batches:
+        for batch in slices(whole, "text", 4 << 20):
+            np.add.at(seen, tokens([t or "" for t in batch.column("text").to_pylist()])[0], np.int32(1))
+            if seen.max() > 1 << 30:
+                code = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(seen[code].astype(np.int64))], ["code", "n"])
+                seen[:] = 0
+    code = np.flatnonzero(seen)
+    for at in range(0, len(code), 1 << 18):
+        part = code[at: at + (1 << 18)]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part].astype(np.int64))], ["code", "n"])
+
+
+def _round(flat: np.ndarray, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        parts = [(b.column("code").to_numpy(), b.column("n").to_numpy()) for b in batches if b.num_rows]
+        if parts:
+            code, count = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(code)
+            learned = learn(flat, code[order], count[order], seed * 100_003 + TaskContext.get().partitionId())
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SIZE, dtype=np.int32)), pa.array(learned * float(count.sum())), pa.array(np.full(SIZE, float(count.sum())))], ["place", "value", "weight"])
+    return run
+
+
+def fit(docs: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
+    """The network's parameters, learned from the windows of all of ``docs``."""
+    counted = docs.select("text").mapInArrow(_count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = materialize(counted, "windows")
+    rows = counted.groupBy((F.col("code").bitwiseAND(31)).alias("token")).agg(F.sum("n").alias("n")).collect()      # at most 32
+    share = np.full(SYMBOLS, 1.0)
+    for r in rows:
+        share[r["token"]] += r["n"]
+    rng = np.random.default_rng(11)
+    flat = np.concatenate([rng.normal(0, 0.3, int(np.prod(SHAPES[0]))), np.zeros(HIDDEN), rng.normal(0, 0.1, HIDDEN * SYMBOLS), np.log(share / share.sum())])
+    parts = counted.repartition(PARTS, "code")
+    for i in range(rounds if rows else 0):
+        mean = parts.mapInArrow(_round(flat, i), "place int, value double, weight double").groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("mean"))
+        new = mean.collect()                           # SIZE rows, whatever the corpus
+        flat = flat.copy()
+        flat[[r["place"] for r in new]] = [r["mean"] for r in new]
+    return flat.astype(np.float32).astype(np.float64)
+
+
+_tables: dict[bytes, np.ndarray] = {}
+
+
+def table(flat: np.ndarray) -> np.ndarray:
+    """The log-probability of every token in every window, by code (a window
+    has 20 bits, so the network is evaluated once for each and kept)."""
+    key = flat.tobytes()
+    if key not in _tables:
+        _tables.clear()
+        out = np.empty((1 << 20, SYMBOLS), np.float32)
+        for at in range(0, 1 << 20, 1 << 12):
+            out[at: at + (1 << 12)] = network(flat, windows_of(np.arange(at, at + (1 << 12)) << 5))[1]
+        _tables[key] = out.ravel()
+    return _tables[key]
+
+
+def _score(flat: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
+        for whole in batches:
+            for batch in slices(whole, "text", 4 << 20):
+                known = table(flat) if known is None else known
+                code, _, counts = tokens([t or "" for t in batch.column("text").to_pylist()])
+                total = np.concatenate([[0.0], np.cumsum(known[code], dtype=np.float64)])
+                ends = np.cumsum(counts)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(total[ends] - total[ends - counts])], ["doc_id", "n_tokens", "log_likelihood"])
+    return run
+
+
+def score_documents(docs: DataFrame, model: np.ndarray | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens,
+    log_likelihood (sum over the whole text's tokens) and mean_log_likelihood.
+    Without ``model`` one is fitted on all of ``docs``.
+
+    Null and empty texts have no tokens, log-likelihood 0 and a null mean. A
+    null doc_id is returned as null, repeated rows are scored each (and counted
+    each in fitting), other columns are ignored, an empty table gives no rows.
+    A text is scored in one task."""
+    flat = fit(docs) if model is None else model
+    scored = docs.select("doc_id", "text").mapInArrow(_score(flat), "doc_id long, n_tokens long, log_likelihood double")
+    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
