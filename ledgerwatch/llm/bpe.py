@@ -32,7 +32,7 @@ LATIN = re.compile(r"[\0-\u024f]*")
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 LATIN_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_L}{_N}{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 LOCKSTEP = 64             # widest piece, in bytes, merged in lockstep
-CACHED = 800_000          # pieces a worker remembers; older ones are worked out again
+CACHED = 400_000          # pieces a worker remembers; older ones are worked out again
 NONE = np.int32(np.iinfo(np.int32).max)
 SLOTS = 1 << 18           # of the open-addressed table of mergeable pairs
 _loaded: dict[str, Vocabulary] = {}
