@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every whole text, and whether they decode to it again."""
-    rows = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    rows = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

@@ -277,13 +277,17 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def _encoder(path: str, column: str):
+def _encoder(path: str, column: str, check: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for whole in batches:
-            for batch in slices(whole, column, 4 << 20):
+            for batch in slices(whole, column, 2 << 20):
                 ids, ends = vocab.encode_batch(t or "" for t in batch.column(column).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], [*batch.schema.names, "ids"])
+                columns, names = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], [*batch.schema.names, "ids"]
+                if check:
+                    columns.append(pa.array([vocab.decode(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names)
     return run
 
 
@@ -317,3 +321,11 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     rows = rows.drop("decoded").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
     schema = rows.select("*", F.lit("").alias("decoded")).schema
     return rows.mapInArrow(_decoder(path or default_path()), schema)
+
+
+def round_trip(docs: DataFrame, path: str | None = None, column: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one Python
+    worker with one vocabulary instead of two."""
+    rows = docs.drop("ids", "decoded")
+    schema = rows.select("*", F.array(F.lit(0)).alias("ids"), F.lit("").alias("decoded")).schema
+    return rows.mapInArrow(_encoder(path or default_path(), column, True), schema)
