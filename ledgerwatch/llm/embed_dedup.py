@@ -147,6 +147,8 @@ def _work(threshold: float):
                     audited.append(vectors(part.column("vector")))
                 else:
                     if shard is None:
+                        if not held:           # no vectors were dealt to this shard
+                            continue
                         yield from open_shard()
                     ids, q = part.column("id").to_numpy(), vectors(part.column("vector"))
                     foreign = np.flatnonzero(~np.isin(ids, shard.ids))     # its own vectors are done

@@ -37,8 +37,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, fades
 
     Resharing ends at target = min(most * size, level * weight). Sources are
     taken in order of most * size / weight; the level is the first at which the
-    rest, shared by weight over the sources not yet full, fills none. The
-    windows run over one row per source."""
+    rest, shared by weight over the sources not yet full, fills none (levels
+    computed further on are lower, as they count sources full that aren't, so
+    it is the largest that fits). The windows run over one row per source."""
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     ranked = sources.select("source", "source_size", _cycle(weights, rank).alias("weight"), _cycle(fades, rank).alias("fade"))
@@ -50,7 +51,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, fades
     total = F.sum("source_size").over(everything) * F.lit(share)
     level = (total - F.coalesce(F.sum("most").over(here), F.lit(0.0))) / F.sum("weight").over(rest)
     fits = F.when(F.col("level") <= F.col("full_at"), F.col("level"))
-    return (ranked.withColumn("level", level).withColumn("first", F.min(fits).over(everything))
+    return (ranked.withColumn("level", level).withColumn("first", F.max(fits).over(everything))
             .select("source", "source_size", F.least(F.col("most"), F.coalesce(F.col("first") * F.col("weight"), F.col("most"))).alias("target"), "fade"))
 
 
@@ -135,7 +136,7 @@ l as (
     (1.5::double * sum(source_size) over () - coalesce(sum(source_size * 2.0::double) over (order by source_size * 2.0::double / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by source_size * 2.0::double / weight, source nulls last rows between current row and unbounded following) as level from r),
 t as (
-  select source, source_size, fade, least(most, coalesce(min(case when level <= most / weight then level end) over () * weight, most)) as target from l),
+  select source, source_size, fade, least(most, coalesce(max(case when level <= most / weight then level end) over () * weight, most)) as target from l),
 p as (
   select d.doc_id, d.size, t.source_size, t.target, t.fade,
     coalesce(sum(d.size) over (partition by d.source order by spot, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as ahead
