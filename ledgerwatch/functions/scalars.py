@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def padded_id(prefix: str, c: Column, width: int) -> Column:
-    """``prefix`` + zero-padded number (``C00042``, ``TX-0000042``)."""
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), width, "0"))
+    """``prefix`` + zero-padded number (``C00042``, ``TX-0000042``); a
+    wider number is kept whole."""
+    return F.format_string(f"{prefix}%0{width}d", c.cast("bigint"))
 
 
 # display formats (Spark datetime patterns).
@@ -48,7 +49,7 @@ def map_min(m: Column) -> Column:
 
 def strip_prefix(c: Column, prefix: str) -> Column:
     """remove a leading prefix (only at the start)."""
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    return F.when(c.startswith(prefix), c.substr(F.lit(len(prefix) + 1), F.length(c))).otherwise(c)
 
 
 def short_id(c: Column, n: int = 8) -> Column:

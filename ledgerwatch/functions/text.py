@@ -15,7 +15,7 @@ def labelled_section(context: Column, label: str) -> Column:
     the end); null when the label is absent."""
     marker = f"{label}:\n"
     start = F.locate(marker, context)
-    after = F.when(start > 0, context.substr(start + F.lit(len(marker)), F.lit(1 << 30)))
+    after = F.when(start > 0, context.substr(start + F.lit(len(marker)), F.length(context)))
     return F.when(after.isNotNull(), F.substring_index(after, P.CONTEXT_SECTION_SEPARATOR, 1))
 
 

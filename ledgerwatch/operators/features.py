@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import params as P
+from ..session import materialize
 from . import windows as W
 
 KEY, TS, ID, AMT, MERCH = ("customer_id", "transaction_timestamp", "transaction_id",
                            "transaction_amount", "merchant_id")
+ROW = "_row_number"
 AMOUNT_DECIMAL = "decimal(38,8)"
 
 
@@ -33,13 +35,31 @@ def _trailing_plain(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     )
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows with a number of their own, written so that it holds: the
+    split paths join their sums back by it, whatever the transaction ids."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _by_heat(df: DataFrame, key: str, plain, split, hot_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
+    """``plain`` (one shuffle) for the rows of ordinary keys and ``split`` for
+    those of keys with more than ``hot_rows`` rows, found by one partial
+    aggregation. Both give the same values. Rows without a key count as
+    ordinary."""
+    hot = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows).select(key)
+    if hot.isEmpty():
+        return plain(df)
+    return plain(df.join(hot, key, "left_anti")).unionByName(split(df.join(hot, key, "left_semi")))
+
+
 def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: int | None = W.DEFAULT_BUCKET_US,
                        target_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
+    df = _numbered(df)
     sums = W.trailing_sums(
-        df, key, ts, ID,
+        df, key, ts, ROW,
         measures={
             "n": (F.when(F.col(ID).isNotNull(), 1).otherwise(0), "bigint"),
-            "amt": (F.col(AMT), AMOUNT_DECIMAL),
+            "amt": (F.coalesce(F.col(AMT), F.lit(0.0)), AMOUNT_DECIMAL),
             "namt": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint"),
             "nm": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint"),
         },
@@ -47,22 +67,25 @@ def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: i
         bucket_us=bucket_us, target_rows=target_rows,
     )
     sums = sums.select(
-        ID,
+        ROW,
         F.col("n_7d").alias("tx_count_7d"),
         (F.col("amt_30d").cast("double") / F.when(F.col("namt_30d") > 0, F.col("namt_30d"))).alias("avg_amount_30d"),
         F.col("nm_30d").alias("merchant_count_30d"),
     )
-    return df.join(sums, ID, "left")
+    return df.join(sums, ROW, "left").drop(ROW)
 
 
-def trailing_features(df: DataFrame, method: str = "bucketed", key: str = KEY, ts: str = TS) -> DataFrame:
+def trailing_features(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS,
+                      hot_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``tx_count_7d`` (W1), ``avg_amount_30d`` (W2) and
     ``merchant_count_30d`` (W3's count) to every row.
 
-    ``method="bucketed"`` (default) keeps a hot customer from landing in one
-    task; ``method="window"`` is the plain single-Exchange window, fine when
-    no key is large.
+    ``method="auto"`` (default) takes the plain single-Exchange window, and for
+    customers with more than ``hot_rows`` rows the split one, whose tasks stay
+    bounded; ``"window"`` and ``"bucketed"`` take one of them for all rows.
     """
+    if method == "auto":
+        return _by_heat(df, key, lambda d: _trailing_plain(d, key, ts), lambda d: _trailing_bucketed(d, key, ts, target_rows=hot_rows), hot_rows)
     if method == "window":
         return _trailing_plain(df, key, ts)
     if method == "bucketed":
@@ -95,12 +118,12 @@ def derived_features(df: DataFrame) -> DataFrame:
         cross.alias("is_cross_border"), rule_risk(dev, new, cross, F.col("tx_count_7d")).alias("rule_based_risk"))
 
 
-def engineer_features(tx: DataFrame, method: str = "bucketed") -> DataFrame:
+def engineer_features(tx: DataFrame, method: str = "auto") -> DataFrame:
     """All feature columns (and the source columns) for every transaction."""
     return derived_features(trailing_features(tx, method))
 
 
-def feature_table(tx: DataFrame, method: str = "bucketed", version: str = P.FEATURE_VERSION,
+def feature_table(tx: DataFrame, method: str = "auto", version: str = P.FEATURE_VERSION,
                   tolerant: bool = False) -> DataFrame:
     """The 19 feature-store columns in their fixed order."""
     f = engineer_features(tx, method).withColumn("feature_version", F.lit(version)) \
@@ -115,43 +138,49 @@ def score(df: DataFrame, threshold: float = P.DECISION_THRESHOLD) -> DataFrame:
     return df.select("*", sc.alias("score"), (sc > F.lit(threshold)).cast("int").alias("prediction"))
 
 
-def scored_transactions(tx: DataFrame, method: str = "bucketed") -> DataFrame:
+def scored_transactions(tx: DataFrame, method: str = "auto") -> DataFrame:
     return score(engineer_features(tx, method))
 
 
 # --- local-script variants -----------------------------------------------------
 
-def prior_mean_amount(df: DataFrame, method: str = "bucketed", key: str = KEY, ts: str = TS) -> DataFrame:
+def prior_mean_amount(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS) -> DataFrame:
     """Mean of all earlier rows of the customer (order ts, id); the first
     row takes the customer's whole-history mean. Adds ``avg_amount_prior``."""
+    if method == "auto":
+        return _by_heat(df, key, lambda d: prior_mean_amount(d, "window", key, ts), lambda d: prior_mean_amount(d, "bucketed", key, ts))
     if method == "window":
         w = Window.partitionBy(key).orderBy(ts, ID).rowsBetween(Window.unboundedPreceding, -1)
         out = df.withColumn("_prior", F.avg(AMT).over(w)).withColumn("_cust_mean", F.avg(AMT).over(Window.partitionBy(key)))
         return out.withColumn("avg_amount_prior", F.coalesce("_prior", "_cust_mean")).drop("_prior", "_cust_mean")
+    df = _numbered(df)
     sums = W.running_sums(
-        df, key, [ts, ID], ts, ID,
-        measures={"_s": (F.col(AMT), AMOUNT_DECIMAL),
+        df, key, [ts, ID, ROW], ts, ROW,
+        measures={"_s": (F.coalesce(F.col(AMT), F.lit(0.0)), AMOUNT_DECIMAL),
                   "_c": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint")},
         include_current=False, with_key_totals=True,
     )
     prior = F.col("_s").cast("double") / F.when(F.col("_c") > 0, F.col("_c"))
     whole = F.col("_s_all").cast("double") / F.when(F.col("_c_all") > 0, F.col("_c_all"))
-    sums = sums.select(ID, F.coalesce(prior, whole).alias("avg_amount_prior"))
-    return df.join(sums, ID, "left")
+    sums = sums.select(ROW, F.coalesce(prior, whole).alias("avg_amount_prior"))
+    return df.join(sums, ROW, "left").drop(ROW)
 
 
-def first_activity(df: DataFrame, method: str = "bucketed", key: str = KEY, ts: str = TS) -> DataFrame:
+def first_activity(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS) -> DataFrame:
     """1 where the running count of non-null merchants (order ts, id)
     equals one. Adds ``is_first_activity``."""
+    if method == "auto":
+        return _by_heat(df, key, lambda d: first_activity(d, "window", key, ts), lambda d: first_activity(d, "bucketed", key, ts))
     if method == "window":
         w = Window.partitionBy(key).orderBy(ts, ID).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn("is_first_activity", (F.count(MERCH).over(w) == 1).cast("int"))
+    df = _numbered(df)
     sums = W.running_sums(
-        df, key, [ts, ID], ts, ID,
+        df, key, [ts, ID, ROW], ts, ROW,
         measures={"_c": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint")},
         include_current=True,
     )
-    return df.join(sums, ID, "left").withColumn("is_first_activity", (F.col("_c") == 1).cast("int")).drop("_c")
+    return df.join(sums, ROW, "left").withColumn("is_first_activity", (F.col("_c") == 1).cast("int")).drop("_c", ROW)
 
 
 def first_at_merchant(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:

@@ -127,7 +127,7 @@ def model_comparison(df: DataFrame, folds: int = 5, seed: int = 42, models: dict
     Folds come from a hash of the id; the fold fits are submitted
     concurrently (each fit is itself a distributed job)."""
     models = models or comparison_models(seed)
-    d = df.withColumn("_fold", (F.abs(F.xxhash64(F.col("transaction_id"), F.lit(seed))) % folds).cast("int"))
+    d = df.withColumn("_fold", F.pmod(F.xxhash64(F.col("transaction_id"), F.lit(seed)), F.lit(folds)).cast("int"))
     jobs = [(name, k) for name in models for k in range(folds)]
 
     def run(job):

@@ -12,9 +12,9 @@ from .sqlbase import with_tx
 
 
 @register("scalar_ids", with_tx(
-    "select transaction_id, 'C' || lpad(cast(customer_id as varchar), 5, '0') as customer_code, "
-    "'TX-' || lpad(cast(transaction_id as varchar), 7, '0') as transaction_code, "
-    "'M' || lpad(cast(merchant_id as varchar), 4, '0') as merchant_code from transactions"))
+    "select transaction_id, 'C' || lpad(cast(customer_id as varchar), cast(greatest(5, len(cast(customer_id as varchar))) as integer), '0') as customer_code, "
+    "'TX-' || lpad(cast(transaction_id as varchar), cast(greatest(7, len(cast(transaction_id as varchar))) as integer), '0') as transaction_code, "
+    "'M' || lpad(cast(merchant_id as varchar), cast(greatest(4, len(cast(merchant_id as varchar))) as integer), '0') as merchant_code from transactions"))
 def scalar_ids(spark, sf):
     """zero-padded identifiers."""
     t = base.tx(spark, sf)

@@ -118,7 +118,7 @@ def catalog_table_scan(spark, sf):
 
 @register("synthetic_transactions", (
     "select event_id as row_id, 'C' || lpad(cast(event_id % 500 as varchar), 5, '0') as customer_id, "
-    "'TX-' || lpad(cast(event_id as varchar), 7, '0') as transaction_id, "
+    "'TX-' || lpad(cast(event_id as varchar), cast(greatest(7, len(cast(event_id as varchar))) as integer), '0') as transaction_id, "
     "timestamp '2024-01-01 00:00:00' + to_minutes(cast(event_id * 5 as integer)) as transaction_timestamp from events"))
 def synthetic_transactions(spark, sf):
     """Synthetic transactions driven by the event ids (arithmetic

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.scalars import padded_id
+
 WRITE_LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("written_at", T.TimestampType()),
     T.StructField("operation", T.StringType()), T.StructField("path", T.StringType()),
@@ -102,13 +104,12 @@ def synthetic_transactions(ids: DataFrame, id_col: str = "id", customers: int =
     sequential ids, ``id % customers`` customers, fixed-step timestamps and
     hash-driven columns (repeatable for a seed, not NumPy's stream)."""
     i = F.col(id_col)
-    h = F.abs(F.xxhash64(i, F.lit(seed)))
+    h = F.pmod(F.xxhash64(i, F.lit(seed)), F.lit((1 << 62) - 57))
     return ids.select(
         i.alias("row_id"),
-        F.concat(F.lit("C"), F.lpad((i % customers).cast("string"), 5, "0")).alias("customer_id"),
-        F.concat(F.lit("TX-"), F.lpad(i.cast("string"), 7, "0")).alias("transaction_id"),
-        (F.lit(start).cast("timestamp_ntz") + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0),
-                                                            (i * step_minutes).cast("int"), F.lit(0))).alias("transaction_timestamp"),
-        F.concat(F.lit("M"), F.lpad((F.lit(1) + h % 199).cast("string"), 4, "0")).alias("merchant_id"),
+        padded_id("C", i % customers, 5).alias("customer_id"),
+        padded_id("TX-", i, 7).alias("transaction_id"),
+        (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval((i * step_minutes / F.lit(1440)).cast("int"), F.lit(0), (i * step_minutes % 1440).cast("int"), F.lit(0))).alias("transaction_timestamp"),
+        padded_id("M", F.lit(1) + h % 199, 4).alias("merchant_id"),
         (h % 100 < fraud_pct).cast("int").alias("is_fraud"),
     )

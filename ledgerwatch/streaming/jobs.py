@@ -20,7 +20,7 @@ from ..session import scratch_path
 def stage_batches(df: DataFrame, path: str, by: str, n_batches: int) -> None:
     """Land ``df`` as ``n_batches`` arriving files (hash of ``by``), so the
     stream sees several micro-batches."""
-    df.withColumn("_batch", F.abs(F.xxhash64(F.col(by))) % n_batches) \
+    df.withColumn("_batch", F.pmod(F.xxhash64(F.col(by)), F.lit(n_batches))) \
         .repartition(n_batches, "_batch").drop("_batch").write.mode("overwrite").parquet(path)
 
 
