@@ -48,7 +48,18 @@ def feature_or_zero(m: Column, name: str) -> Column:
 
 
 def money(v: Column) -> Column:
-    """``$1.23M`` from a million, ``$12K`` from a thousand, else ``$v``."""
+    """``$1.23M`` from a million, ``$12K`` from a thousand, else ``$v``
+    (a whole amount without ``.0``)."""
     return (F.when(v >= 1_000_000, F.concat(F.lit("$"), F.format_string("%.2f", round_to(v / 1_000_000, 2)), F.lit("M")))
             .when(v >= 1_000, F.concat(F.lit("$"), round_to(v / 1_000, 0).cast("bigint").cast("string"), F.lit("K")))
-            .otherwise(F.concat(F.lit("$"), v.cast("string"))))
+            .otherwise(F.concat(F.lit("$"), F.regexp_replace(v.cast("string"), r"\.0$", ""))))
+
+
+def percent(share: Column, digits: int = 2) -> Column:
+    """a share as ``12.34%``."""
+    return F.concat(F.format_string(f"%.{digits}f", round_to(share * 100, digits)), F.lit("%"))
+
+
+def fixed(v: Column, digits: int = 3) -> Column:
+    """fixed-point text."""
+    return F.format_string(f"%.{digits}f", round_to(v, digits))

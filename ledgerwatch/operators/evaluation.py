@@ -103,7 +103,7 @@ def fpr_by_group(df: DataFrame, group: str = "age_band", y: str = "is_fraud", pr
 def fairness_gate(df: DataFrame, group: str = "age_band", threshold: float = P.FAIRNESS_THRESHOLD,
                   y: str = "is_fraud", pred: str = "prediction") -> DataFrame:
     """FPR disparity (max − min over groups) against the threshold; no
-    groups → passed."""
+    groups → passed, with status ``skipped``."""
     g = fpr_by_group(df, group, y, pred)
     hi = F.max(F.struct(F.col("fpr"), F.col(group)))
     lo = F.min(F.struct(F.col("fpr"), F.col(group)))
@@ -115,7 +115,7 @@ def fairness_gate(df: DataFrame, group: str = "age_band", threshold: float = P.F
         F.col("_hi.fpr").alias("max_fpr"), F.col("_lo.fpr").alias("min_fpr"),
         F.col(f"_hi.{group}").alias("worst_group"), F.col(f"_lo.{group}").alias("best_group"),
         disparity.alias("disparity"), F.lit(threshold).alias("threshold"), passed.alias("passed"),
-        F.when(passed, "passed").otherwise("failed").alias("status"))
+        F.when(F.col("n_groups") == 0, "skipped").when(passed, "passed").otherwise("failed").alias("status"))
 
 
 def deployment_decision(metrics: DataFrame, min_accuracy: float = P.MIN_MODEL_ACCURACY,

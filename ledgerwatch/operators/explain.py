@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from .. import params as P
 from ..functions.numeric import round_to
+from ..functions.text import fixed, percent
 
 # Rule components: (feature name, value column expression, weight).
 def rule_components() -> list[tuple[str, Column, float]]:
@@ -82,15 +83,19 @@ def xai_report(attr: DataFrame) -> DataFrame:
         "explanation_stability", F.lit("exact linear attribution").alias("methodology"))
 
 
+def _sorted_factors() -> Column:
+    """The factors of a row of ``rule_attribution_wide``, largest |phi| first,
+    ties by name."""
+    return F.array_sort(F.array(*[F.struct((-F.abs(F.col(f"phi_{n}"))).alias("k"), F.lit(n).alias("feature"),
+                                           F.col(f"phi_{n}").alias("phi")) for n, _, _ in rule_components()]))
+
+
 def top_factors(features: DataFrame, k: int = 3) -> DataFrame:
     """W8 + F16: per transaction, the ``k`` largest |phi| factors (ties by
     name), sorted inside each row; long form (transaction_id, rank,
     feature, phi)."""
-    comps = rule_components()
     wide = rule_attribution_wide(features)
-    arr = F.array(*[F.struct((-F.abs(F.col(f"phi_{n}"))).alias("k"), F.lit(n).alias("feature"),
-                             F.col(f"phi_{n}").alias("phi")) for n, _, _ in comps])
-    top = F.slice(F.array_sort(arr), 1, k)
+    top = F.slice(_sorted_factors(), 1, k)
     return wide.select("transaction_id", F.posexplode(top).alias("pos", "f")).select(
         "transaction_id", (F.col("pos") + 1).alias("rank"), F.col("f.feature").alias("feature"),
         F.col("f.phi").alias("phi"))
@@ -126,12 +131,40 @@ def _pattern(feature: Column, idx: int) -> Column:
     return out.otherwise(F.lit(P.EXECUTIVE_DEFAULT[idx]))
 
 
+def _flagged(scored: DataFrame, threshold: float) -> DataFrame:
+    """Rows above the threshold with ``_top``: their factors, largest |phi|
+    first. Sorted inside the row, so rows need no unique id and no shuffle."""
+    return rule_attribution_wide(scored).where(F.col("score") > threshold).withColumn("_top", _sorted_factors())
+
+
+def _interpretation(feature: Column) -> Column:
+    out = None
+    for subs, words in P.ANALYST_INTERPRETATIONS:
+        cond = None
+        for s in subs:
+            c = F.lower(feature).contains(s)
+            cond = c if cond is None else cond | c
+        out = F.when(cond, F.lit(words)) if out is None else out.when(cond, F.lit(words))
+    return out.otherwise(F.lit(P.ANALYST_INTERPRETATION_DEFAULT))
+
+
+def explain_analyst(scored: DataFrame, threshold: float = P.DECISION_THRESHOLD, k: int = 3) -> DataFrame:
+    """M10 + F15 for analysts: an alert for every flagged transaction with the
+    confidence to two places, the ``k`` largest factors with their
+    interpretation, the threshold and the action."""
+    lines = F.transform(F.slice("_top", 1, k), lambda f: F.concat(
+        F.lit("  • "), f["feature"], F.lit(": "), fixed(f["phi"], 3), F.lit(" — "), _interpretation(f["feature"])))
+    action = F.when(F.col("score") > P.EXPLAIN_BLOCK, P.ANALYST_ACTIONS[0]).otherwise(P.ANALYST_ACTIONS[1])
+    text = F.concat(
+        F.lit("FRAUD ALERT: "), F.col("transaction_id").cast("string"), F.lit("\nPrediction confidence: "), percent(F.col("score")),
+        F.lit("\n\nTop contributors:\n"), F.array_join(lines, "\n"), F.lit(f"\n\nDecision threshold: {threshold}\n\nAction: "), action)
+    return _flagged(scored, threshold).select("transaction_id", text.alias("explanation"))
+
+
 def explain_text(scored: DataFrame, threshold: float = P.DECISION_THRESHOLD) -> DataFrame:
     """M10 + F15 (re-aimed): an executive explanation for every flagged
     transaction, with the pattern chosen by its top factor."""
-    flagged = scored.where(F.col("score") > threshold)
-    top1 = top_factors(scored).where(F.col("rank") == 1).select("transaction_id", F.col("feature").alias("top_feature"))
-    j = flagged.select("transaction_id", "score").join(top1, "transaction_id")
+    j = _flagged(scored, threshold).select("transaction_id", "score", F.col("_top")[0]["feature"].alias("top_feature"))
     pct = round_to(F.col("score") * 100, 0).cast("bigint")
     text = F.concat(
         F.lit("Transaction "), F.col("transaction_id").cast("string"), F.lit(" shows "), risk_word(F.col("score")),

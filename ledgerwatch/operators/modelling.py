@@ -23,8 +23,9 @@ SPLIT_MULTIPLIER = 7919
 
 
 def split_key(id_col: str) -> F.Column:
-    """Repeatable pseudo-random order key of a row id."""
-    return (F.col(id_col) * SPLIT_MULTIPLIER) % SPLIT_MODULUS
+    """Repeatable pseudo-random order key of a row id of any width; a null id
+    has key 0."""
+    return (F.coalesce(F.pmod(F.col(id_col), F.lit(SPLIT_MODULUS)), F.lit(0)) * SPLIT_MULTIPLIER) % SPLIT_MODULUS
 
 
 def stratified_split(df: DataFrame, y: str = "is_fraud", id_col: str = "transaction_id",

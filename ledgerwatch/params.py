@@ -172,3 +172,17 @@ QUESTION_INTENTS = [
     ("explainability", ["explain", "shap", "xai", "interpretability"]),
 ]
 CONTEXT_SECTION_SEPARATOR = "\n\n---\n\n"
+
+# What an analyst reads about a factor, by the first name part
+# that occurs in the feature's name, and the two actions (block, review).
+ANALYST_INTERPRETATIONS = [
+    (("amount_deviation", "avg_amount"), "Amount is unusually high vs customer's 30-day average"),
+    (("new_merchant",), "First transaction at this merchant"),
+    (("tx_count",), "Unusually high transaction velocity in the last 7 days"),
+    (("hour_of_day",), "Transaction time outside customer's normal pattern"),
+    (("is_weekend",), "Weekend transaction inconsistent with history"),
+    (("cross_border",), "International transaction from new location"),
+    (("rule_based_risk",), "Multiple rule-based risk flags triggered"),
+]
+ANALYST_INTERPRETATION_DEFAULT = "Feature value outside normal range"
+ANALYST_ACTIONS = ("Block transaction and notify customer", "Flag for manual review in fraud operations queue.")

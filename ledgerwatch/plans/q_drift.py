@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift as D
+from .. import params as P
 from . import base
 from .registry import register, rounded
 from .sqlbase import with_scored
@@ -152,11 +153,11 @@ def drift_history(spark, sf):
 @register("consecutive_drift", with_scored(
     "select min(report_date) as run_start, max(report_date) as run_end, count(*) as days, round(max(psi), 6) as max_psi "
     "from (select report_date, psi, report_date - cast(row_number() over (order by report_date) as integer) as g "
-    f"from ({DAILY_BODY}) where psi > 0.025) group by g having count(*) >= 3", *DAILY_CTES))
+    f"from ({DAILY_BODY}) where psi > 0.25) group by g having count(*) >= 3", *DAILY_CTES))
 def consecutive_drift(spark, sf):
-    """G7 (documented rule) with threshold 0.025 on the fixture: runs of ≥ 3
-    consecutive days with daily PSI above it."""
-    return rounded(D.consecutive_drift(daily_reports(spark, sf), threshold=0.025))
+    """Runs of at least 3 consecutive days with daily PSI above 0.25 (none
+    where scores hold steady)."""
+    return rounded(D.consecutive_drift(daily_reports(spark, sf), threshold=P.PSI_DRIFT))
 
 
 @register("drift_status_empty", with_scored(

@@ -91,7 +91,7 @@ def fpr_by_group(spark, sf):
     "(select age_band from g order by fpr asc, age_band asc limit 1) as best_group, "
     "round(coalesce(max(fpr) - min(fpr), 0.0), 6) as disparity, cast(0.1 as double) as threshold, "
     "coalesce(max(fpr) - min(fpr), 0.0) <= 0.1 as passed, "
-    "case when coalesce(max(fpr) - min(fpr), 0.0) <= 0.1 then 'passed' else 'failed' end as status from g",
+    "case when count(*) = 0 then 'skipped' when coalesce(max(fpr) - min(fpr), 0.0) <= 0.1 then 'passed' else 'failed' end as status from g",
     "g AS (select age_band, case when fp + tn > 0 then fp / (fp + tn) else 0.0 end as fpr from "
     f"(select age_band, {CM} from scored group by age_band))"))
 def fairness_gate(spark, sf):

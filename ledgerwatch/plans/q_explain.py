@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import text as TXT
 from ..operators import explain as X
+from ..sources.tables import read_table
 from . import base
 from .registry import register, rounded
 from .sqlbase import with_features_and, with_scored, with_tx
@@ -121,6 +122,27 @@ def explain_text(spark, sf):
     return X.explain_text(base.scored_table(spark, sf))
 
 
+def _interpretation_sql() -> str:
+    parts = []
+    for subs, words in P.ANALYST_INTERPRETATIONS:
+        cond = " or ".join(f"contains(lower(feature), '{s}')" for s in subs)
+        parts.append(f"when {cond} then '{words.replace(chr(39), chr(39) * 2)}'")
+    return "case " + " ".join(parts) + f" else '{P.ANALYST_INTERPRETATION_DEFAULT}' end"
+
+
+@register("explain_analyst", with_scored(
+    "select s.transaction_id, 'FRAUD ALERT: ' || s.transaction_id || chr(10) || 'Prediction confidence: ' || "
+    "printf('%.2f', round(any_value(s.score) * 100, 2)) || '%' || chr(10) || chr(10) || 'Top contributors:' || chr(10) || "
+    f"string_agg('  • ' || t.feature || ': ' || printf('%.3f', round(t.phi, 3)) || ' — ' || {_interpretation_sql().replace('(feature)', '(t.feature)')}, chr(10) order by t.rank) "
+    "|| chr(10) || chr(10) || 'Decision threshold: 0.65' || chr(10) || chr(10) || 'Action: ' || "
+    f"case when any_value(s.score) > 0.8 then '{P.ANALYST_ACTIONS[0]}' else '{P.ANALYST_ACTIONS[1]}' end as explanation "
+    f"from scored s join ({TOP3}) t on t.transaction_id = s.transaction_id where s.score > 0.65 group by s.transaction_id",
+    MEANS, ATTR_LONG))
+def explain_analyst(spark, sf):
+    """M10 + F14 + F15 for analysts: alert text of every flagged transaction."""
+    return X.explain_analyst(base.scored_table(spark, sf))
+
+
 # --- labelled JSON sections (F11) ---------------------------------------------
 
 CONTEXT_SQL = (
@@ -160,18 +182,6 @@ def labelled_json_section(spark, sf):
 
 # --- question intent (F12) ----------------------------------------------------
 
-QUESTIONS = [
-    "What are the top fraud patterns this week?",
-    "Show the current model drift status",
-    "How is model accuracy trending?",
-    "How much energy did the training runs use?",
-    "When should we retrain the pipeline?",
-    "Explain the latest decision to the analyst",
-    "Is the SHAP driver analysis affected by drift?",
-    "What is the weather like today?",
-]
-
-
 def _intent_sql() -> str:
     parts = []
     for intent, words in P.QUESTION_INTENTS:
@@ -180,17 +190,12 @@ def _intent_sql() -> str:
     return "case " + " ".join(parts) + " else 'general' end"
 
 
-QLIST = "[" + ", ".join("'" + q.replace("'", "''") + "'" for q in QUESTIONS) + "]"
-
-
-@register("question_intent", with_tx(
-    f"select transaction_id, q as question, {_intent_sql()} as intent from (select transaction_id, "
-    f"{QLIST}[cast(transaction_id % 8 as integer) + 1] as q from transactions)"))
+@register("question_intent", f"select conv_id, turn, {_intent_sql()} as intent from (select conv_id, turn, text as q from conversations)")
 def question_intent(spark, sf):
-    """route each transaction's question to the first matching intent."""
-    t = base.tx(spark, sf)
-    q = F.element_at(F.array(*[F.lit(x) for x in QUESTIONS]), (F.col("transaction_id") % 8 + 1).cast("int"))
-    return t.select("transaction_id", q.alias("question")).withColumn("intent", TXT.question_intent(F.col("question")))
+    """route every conversation text to the first matching intent
+    (null: general)."""
+    c = read_table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", TXT.question_intent(F.col("text")).alias("intent"))
 
 
 # --- scoring payloads (S16, F8) ----------------------------------------------
@@ -235,7 +240,7 @@ def score_payload_parse(spark, sf):
 
 MONEY_SQL = ("case when v >= 1000000 then '$' || printf('%.2f', round(v / 1000000, 2)) || 'M' "
              "when v >= 1000 then '$' || cast(cast(round(v / 1000) as bigint) as varchar) || 'K' "
-             "else '$' || cast(v as varchar) end")
+             "else '$' || regexp_replace(cast(v as varchar), '\\.0$', '') end")
 
 
 @register("money_format", with_tx(

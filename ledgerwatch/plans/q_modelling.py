@@ -11,7 +11,7 @@ from .registry import register, rounded
 from .sqlbase import with_features_and
 
 SPLIT_SQL = ("split AS (select *, case when row_number() over (partition by is_fraud order by "
-             "(transaction_id * 7919) % 104729, transaction_id) <= ceil(cast(0.2 as double) * count(*) over "
+             "((transaction_id % 104729) * 7919) % 104729, transaction_id) <= ceil(cast(0.2 as double) * count(*) over "
              "(partition by is_fraud)) then 'test' else 'train' end as split from features)")
 
 

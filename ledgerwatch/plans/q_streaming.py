@@ -10,6 +10,7 @@ from ..sources.tables import TRANSACTIONS_SCHEMA
 from ..streaming import jobs as S
 from . import base
 from .q_analytics import HOURLY
+from .q_drift import DAILY_BODY, EDGES, hist_ctes
 from .q_features import TIER_SQL, TX_COLS
 from .registry import register, rounded
 from .sqlbase import with_scored, with_tx
@@ -46,7 +47,15 @@ def stream_scoring(spark, sf):
     return rounded(S.run_scoring(spark, src, f.schema, out, ckpt))
 
 
-@register("stream_drift")
+BATCH_CTES = [EDGES, *hist_ctes(10, "'b'", "hb", "cohort = 'baseline'"), *hist_ctes(10, "transaction_id % 4", "hd", "cohort = 'current'"),
+              *hist_ctes(20, "'b'", "kb", "cohort = 'baseline'"), *hist_ctes(20, "transaction_id % 4", "kd", "cohort = 'current'")]
+
+
+@register("stream_drift", with_scored(
+    "select cast(report_date as bigint) as batch_id, n, round(psi, 6) as psi, round(kl_divergence, 6) as kl_divergence, "
+    "round(current_mean, 6) as current_mean, drift_detected, severity from ("
+    + DAILY_BODY.replace("cast(transaction_timestamp as date)", "transaction_id % 4").replace("'drift_' || strftime(d.grp, '%Y%m%d') as report_id, ", "")
+    + ")", *BATCH_CTES))
 def stream_drift(spark, sf):
     """T4: one drift report per micro-batch of current-cohort scores against
     the stored baseline cohort."""
@@ -56,5 +65,6 @@ def stream_drift(spark, sf):
     baseline = spark.read.parquet(baseline_dir)
     src, out, ckpt = S.new_paths(spark, "drift")
     cur = s.where(F.col("cohort") == "current")
-    S.stage_batches(cur, src, "transaction_id", 4)
-    return rounded(S.run_drift_per_batch(spark, baseline, src, cur.schema, out, ckpt))
+    for _ in S.land(cur, src, "transaction_id", 4):
+        reports = S.run_drift_per_batch(spark, baseline, src, cur.schema, out, ckpt)
+    return rounded(reports)

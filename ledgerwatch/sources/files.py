@@ -41,16 +41,23 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def resolve_source(spark: SparkSession, candidates: list[tuple[str, str]], schema: T.StructType) -> DataFrame:
-    """S3: the first candidate (format, path) that exists, in order — e.g.
-    CSV if present else Parquet; an error when none does."""
+    """S3: the first candidate (format, path) that exists, in order — e.g. a
+    saved table (format ``table``, its name for the path), else CSV, else
+    Parquet; an error when none does. A candidate that exists but can't be
+    read raises its own error."""
     for fmt, path in candidates:
+        if fmt == "table":
+            if spark.catalog.tableExists(path):
+                return spark.table(path)
+            continue
         try:
             reader = spark.read.schema(schema)
             df = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
             df.limit(0).collect()  # resolves the path now, reads no rows
             return df
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"no source found among {[p for _, p in candidates]}")
 
 

@@ -37,8 +37,6 @@ TRANSACTIONS_SCHEMA = _schema(
     ("customer_segment", S), ("region", S), ("age_band", S), ("cohort", S),
 )
 
-# Largest dimension we agree to broadcast without a shuffle.
-MAX_BROADCAST_ROWS = 100_000
 COHORT_SPLIT = "2024-01-16 00:00:00"
 
 
@@ -54,23 +52,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
-_SIZE_CHECKED: dict[tuple[str, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, key: str | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows
-    (checked with a bounded count, remembered per ``key`` — e.g. the table
-    path — for the session); otherwise leave the join strategy to the
-    optimizer and AQE."""
-    cache_key = (key, max_rows) if key else None
-    small = _SIZE_CHECKED.get(cache_key) if cache_key else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if cache_key:
-            _SIZE_CHECKED[cache_key] = small
-    return F.broadcast(df) if small else df
-
-
 def ts_literal(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
@@ -78,17 +59,17 @@ def ts_literal(value: str) -> Column:
 def transactions(spark: SparkSession, sf_dir: str, cohort_split: str = COHORT_SPLIT) -> DataFrame:
     """Card transactions derived from events, customers and nations.
 
-    The event stream is the fact side; the customer dimension is joined on
-    its key (sort-merge, or broadcast when AQE sees it small); the nation
-    dimension is broadcast after a size check, twice: once for the
-    customer's home country and once for the merchant's country.
+    The event stream is the fact side; customers and nations are joined on
+    their keys, broadcast where the optimizer or AQE sees them small. The
+    nation dimension joins twice: once for the customer's home country and
+    once for the merchant's country.
     """
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    nation = bounded_broadcast(read_table(spark, sf_dir, "nation"), key=table_path(sf_dir, "nation"))
+    nation = read_table(spark, sf_dir, "nation")
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
                        F.col("n_regionkey").alias("cn_region"))
     mn = nation.select(F.col("n_nationkey").alias("mn_key"), F.col("n_name").alias("mn_name"),

@@ -41,6 +41,20 @@ def stage_in_time_order(df: DataFrame, path: str, ts: str, n_batches: int) -> No
         df.where((col >= a) & upper).write.mode("append").parquet(path)
 
 
+def land(df: DataFrame, path: str, by: str, n_batches: int):
+    """Land ``df`` in ``path`` as ``n_batches`` arrivals (``by`` modulo
+    ``n_batches``, null in the first), each written by as many tasks as it
+    needs. Yields after every arrival, so that a stream run there sees each
+    arrival as one micro-batch."""
+    staged = scratch_path(df.sparkSession, "arrivals")
+    batch = F.coalesce(F.pmod(F.col(by), F.lit(n_batches)), F.lit(0)).cast("int")
+    df.withColumn("_batch", batch).write.partitionBy("_batch").parquet(staged)
+    arrivals = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(staged)
+    for i in range(n_batches):
+        arrivals.where(F.col("_batch") == i).drop("_batch").write.mode("append").parquet(path)
+        yield i
+
+
 def run_available(stream_writer, checkpoint: str) -> None:
     """Start with the given checkpoint, process everything available, stop."""
     q = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -79,10 +93,11 @@ def run_hourly_volume(spark: SparkSession, source_dir: str, schema: T.StructType
     def sink(batch: DataFrame, epoch: int) -> None:
         out = batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "volume", "latency_ms",
                            "fraud_detected", "avg_amount")
-        out.write.mode("overwrite" if mode == "complete" else "append").parquet(sink_dir)
+        # append: one folder per epoch, overwritten when the epoch is replayed
+        out.write.mode("overwrite").parquet(sink_dir if mode == "complete" else f"{sink_dir}/epoch={epoch}")
 
     run_available(agg.writeStream.outputMode(mode).foreachBatch(sink), checkpoint)
-    return spark.read.parquet(sink_dir)
+    return spark.read.parquet(sink_dir).drop("epoch")
 
 
 def score_stream(features: DataFrame) -> DataFrame:
@@ -102,23 +117,25 @@ def run_scoring(spark: SparkSession, source_dir: str, schema: T.StructType, sink
 
 def run_drift_per_batch(spark: SparkSession, baseline: DataFrame, source_dir: str, schema: T.StructType,
                         reports_dir: str, checkpoint: str) -> DataFrame:
-    """T4: for every micro-batch of arriving scores, a drift report against
-    the stored baseline scores, appended to the ``drift_reports`` table."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    """T4: for every micro-batch of arriving scores (all that has landed since
+    the last one), a drift report against the stored baseline scores, added to
+    the ``drift_reports`` table. A report's folder is named by its epoch, so a
+    replayed batch overwrites its own report."""
+    src = spark.readStream.schema(schema).parquet(source_dir)
 
     def report(batch: DataFrame, epoch: int) -> None:
         p = D.psi(baseline, batch)
         k = D.kl_divergence(baseline, batch)
         n = batch.agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("current_mean"))
         out = p.crossJoin(k).crossJoin(n).select(
-            F.lit(epoch).cast("bigint").alias("batch_id"), "n", "psi", "kl_divergence", "current_mean",
+            "n", "psi", "kl_divergence", "current_mean",
             (F.col("psi") > P.PSI_DRIFT).alias("drift_detected"),
             F.when(F.col("psi") > P.PSI_DRIFT, "HIGH").when(F.col("psi") > P.PSI_MEDIUM, "MEDIUM").otherwise("LOW")
             .alias("severity"))
-        out.write.mode("append").parquet(reports_dir)
+        out.write.mode("overwrite").parquet(f"{reports_dir}/batch_id={epoch}")
 
     run_available(src.writeStream.foreachBatch(report), checkpoint)
-    return spark.read.parquet(reports_dir)
+    return spark.read.parquet(reports_dir).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def new_paths(spark: SparkSession, name: str) -> tuple[str, str, str]:

@@ -42,3 +42,62 @@ def test_machine_local_folder_is_refused_on_a_cluster():
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_wide_and_null_ids_are_split(spark):
+    from ledgerwatch.operators.modelling import stratified_split
+
+    df = spark.createDataFrame([(i * 2_000_000_000_000_003 if i else None, i % 2) for i in range(100)], "transaction_id long, is_fraud int")
+    assert {(r["is_fraud"], r["split"]): r["count"] for r in stratified_split(df).groupBy("is_fraud", "split").count().collect()} == {
+        (0, "test"): 10, (0, "train"): 40, (1, "test"): 10, (1, "train"): 40}
+
+
+def test_consecutive_drift_rule(spark):
+    from ledgerwatch.operators.drift import consecutive_drift
+
+    days = [("2024-01-01", 0.3), ("2024-01-02", 0.26), ("2024-01-03", 0.9), ("2024-01-04", 0.25), ("2024-01-05", 0.4), ("2024-01-06", 0.4)]
+    df = spark.createDataFrame(days, "d string, psi double").withColumn("report_date", F.to_date("d"))
+    found = [(str(r["run_start"]), str(r["run_end"]), r["days"]) for r in consecutive_drift(df, threshold=0.25).collect()]
+    assert found == [("2024-01-01", "2024-01-03", 3)]
+
+
+def test_repeated_ids_are_explained_once_each(spark):
+    from conftest import SF_SMALL
+    from ledgerwatch.operators import explain as X
+    from ledgerwatch.plans import base
+
+    one = base.scored(spark, SF_SMALL).where("score > 0.65").limit(1)
+    twice = one.unionByName(one)
+    assert X.explain_text(twice).count() == X.explain_analyst(twice).count() == 2
+
+
+def test_unreadable_source_is_not_skipped(spark, tmp_path):
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    from ledgerwatch.sources.files import resolve_source
+
+    good = str(tmp_path / "good")
+    spark.range(3).write.parquet(good)
+    schema = spark.range(1).schema
+    assert resolve_source(spark, [("table", "no_such_table"), ("parquet", good)], schema).count() == 3
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        resolve_source(spark, [("nonsense", good), ("parquet", good)], schema)
+
+
+def test_fairness_without_groups_is_skipped(spark):
+    from ledgerwatch.operators.evaluation import fairness_gate
+
+    row = fairness_gate(spark.createDataFrame([], "age_band string, is_fraud int, prediction int")).first()
+    assert row["status"] == "skipped" and row["passed"]
+
+
+def test_replayed_drift_batch_gives_the_same_table(spark):
+    from ledgerwatch.streaming import jobs as S
+
+    rows = spark.range(400).selectExpr("id as transaction_id", "id % 100 / 100 as score")
+    src, out, ckpt = S.new_paths(spark, "replay")
+    for _ in S.land(rows, src, "transaction_id", 2):
+        reports = S.run_drift_per_batch(spark, rows, src, rows.schema, out, ckpt)
+    assert [tuple(r) for r in reports.select("batch_id", "n").orderBy("batch_id").collect()] == [(0, 200), (1, 200)]
+    again = S.run_drift_per_batch(spark, rows, src, rows.schema, out, S.scratch_path(spark, "replay-ckpt"))
+    assert again.where("batch_id = 0").count() == 1 and again.count() == 2
