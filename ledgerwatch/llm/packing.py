@@ -15,8 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import bpe
+from .textops import slices
 
 CONTEXT = 2048
 GROUP_TOKENS = 1 << 22
@@ -66,7 +68,7 @@ def best_fit(sizes: list[int], length: int) -> list[int]:
     ties in the given order."""
     open_rows, where, rows = Capacities(length), [0] * len(sizes), 0
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        found = open_rows.take(sizes[i])
+        found = open_rows.take(sizes[i]) if sizes[i] < length else None     # a whole row fits no open one
         if found is None:
             found, rows = (length, rows), rows + 1
         free, where[i] = found
@@ -76,43 +78,62 @@ def best_fit(sizes: list[int], length: int) -> list[int]:
 
 def pack(docs: list[tuple[int | None, np.ndarray]], length: int, padding: int) -> Iterator[dict]:
     """Rows of one group."""
+    for batch in _lines(docs, length, padding):
+        yield from batch.to_pylist()
+
+
+def _lists(values: np.ndarray | pa.Array, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+
+
+def _lines(docs: list[tuple[int | None, np.ndarray]], length: int, padding: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one group, some at a time."""
     pieces = [(doc, at, ids[at: at + length]) for doc, ids in docs for at in range(0, len(ids), length)]
-    where = best_fit([len(p[2]) for p in pieces], length)
-    rows: list[list] = [[] for _ in range(max(where, default=-1) + 1)]
-    for piece, row in zip(pieces, where):
-        rows[row].append(piece)
-    for number, row in enumerate(rows):
-        line = np.full(length, padding, np.uint16 if padding < 1 << 16 else np.int32)
-        ends = np.cumsum([0] + [len(ids) for _, _, ids in row])
-        line[: ends[-1]] = np.concatenate([ids for _, _, ids in row])
-        yield {"pack_row": number, "n_tokens": int(ends[-1]), "input_ids": line.tobytes(), "cu_seqlens": ends.tolist(),
-               "position_resets": ends[:-1].tolist(), "doc_ids": [d for d, _, _ in row], "doc_offsets": [at for _, at, _ in row]}
-
-
-def _packer(length: int, group_tokens: int, padding: int):
+    where = np.array(best_fit([len(p[2]) for p in pieces], length), np.int64)
+    order = np.argsort(where, kind="stable").tolist()      # pieces by row, in text order inside it
+    bounds = np.searchsorted(where[order], np.arange(int(where.max(initial=-1)) + 2))
+    for low in range(0, len(bounds) - 1, 2048):
+        high = min(low + 2048, len(bounds) - 1)
+        some = [pieces[i] for i in order[bounds[low]: bounds[high]]]
+        first = bounds[low: high + 1] - bounds[low]        # each row's first piece
+        count = np.diff(first)
+        sizes = np.array([len(ids) for _, _, ids in some], np.int64)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        filled = total[first[1:]] - total[first[:-1]]
+        resets = total[:-1] - np.repeat(total[first[:-1]], count)
+        lines = np.full((high - low, length), padding, np.uint16 if padding < 1 << 16 else np.int32)
+        lines[np.arange(length)[None, :] < filled[:, None]] = np.concatenate([ids for _, _, ids in some])
+        width = lines.itemsize * length
+        edges = np.insert(resets, first[1:], filled)       # each row's resets, then its end
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.arange(low, high, dtype=np.int32)), pa.array(filled.astype(np.int32)),
+            pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(np.arange(0, (high - low + 1) * width, width, dtype=np.int32)), pa.py_buffer(lines)]),
+            _lists(pa.array(edges.astype(np.int32)), first + np.arange(len(first))), _lists(pa.array(resets.astype(np.int32)), first),
+            _lists(pa.array([d for d, _, _ in some], pa.int64()), first), _lists(pa.array([at for _, at, _ in some], pa.int32()), first)],
+            ["pack_row", "n_tokens", "input_ids", "cu_seqlens", "position_resets", "doc_ids", "doc_offsets"])
+
+
+def _packer(path: str, length: int, group_tokens: int, padding: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        schema = pa.schema([("pack_group", pa.int64()), ("pack_row", pa.int32()), ("n_tokens", pa.int32()), ("input_ids", pa.binary()),
-                            ("cu_seqlens", pa.list_(pa.int32())), ("position_resets", pa.list_(pa.int32())),
-                            ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int32()))])
+        vocab = bpe.vocabulary(path)
         group, held, tokens = TaskContext.get().partitionId() << 32, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = [{"pack_group": group} | r for r in pack(held, length, padding)]
-            for at in range(0, len(rows), 2048):
-                yield pa.RecordBatch.from_pylist(rows[at: at + 2048], schema)
-
-        for batch in batches:
-            ids = batch.column("ids")
-            flat, ends = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            ends = ends - ends[0] if len(ends) else ends
-            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
-                held.append((doc, flat[a:b].astype(np.uint16 if padding < 1 << 16 else np.int32)))
-                tokens += b - a
-                if tokens >= group_tokens:
-                    yield from flush()
-                    group, held, tokens = group + 1, [], 0
+            for lines in _lines(held, length, padding):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(lines.num_rows, group)), *lines.columns], ["pack_group", *lines.schema.names])
+
+        for whole in batches:
+            for batch in slices(whole, "text", 2 << 20):
+                flat, ends = vocab.encode_batch(t or "" for t in batch.column("text").to_pylist())
+                flat = flat.astype(np.uint16 if padding < 1 << 16 else np.int32)
+                for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                    held.append((doc, flat[a:b]))
+                    tokens += b - a
+                    if tokens >= group_tokens:
+                        yield from flush()
+                        group, held, tokens = group + 1, [], 0
         if held:
             yield from flush()
     return run
@@ -133,8 +154,8 @@ def pack_documents(docs: DataFrame, length: int = CONTEXT, path: str | None = No
     null in doc_ids; repeated rows are packed as often as they occur. Other
     columns are ignored; an empty table gives no rows. Groups follow the
     partitions of the input, so the same files pack the same way again."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    return encoded.mapInArrow(_packer(length, group_tokens, padding), SCHEMA)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(_packer(path or bpe.default_path(), length, group_tokens, padding), SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
