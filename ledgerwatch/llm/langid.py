@@ -31,6 +31,7 @@ EPOCHS = 3
 TABLE_BITS = 18
 SEGMENT = 256            # words per segment of forward-backward
 UNDETERMINED = "und"
+HAS_WORDS = r"[A-Za-z\x{80}-\x{10FFFF}]"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -232,20 +233,29 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 3 == 1, F.lit(False))
 
 
+def largest_hash(train_docs: float, count: int) -> int:
+    """The signed 64-bit hash up to which ``train_docs`` of ``count`` documents lie on average."""
+    return min(2 ** 64 - 1, int(train_docs * 2 ** 64) // count) - 2 ** 63
+
+
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
-    """A model from ``docs`` (doc_id, text, lang): rows with a lang and a
-    doc_id whose crc32 modulo 3 is not 1. About ``train_docs`` documents per
+    """A model from ``docs`` (doc_id, text, lang): rows with words, a lang and
+    a doc_id whose crc32 modulo 3 is not 1. About ``train_docs`` documents per
     language (all, where there are fewer), chosen by hash, give up to
     TRAIN_WINDOWS windows of their whole text each; only these reach the
-    driver, where the small model is fitted. Languages are assumed few."""
-    known = docs.where("lang is not null and doc_id is not null").where(~held_out())
+    driver, where the small model is fitted. Languages are assumed few. A
+    language of which no window was met is an error."""
+    known = docs.where("lang is not null and doc_id is not null").where(~held_out()).where(F.col("text").rlike(HAS_WORDS))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
         return {"languages": [], "weights": np.zeros((1 << TABLE_BITS, 1), np.float32), "trans": np.zeros((1, 1)), "prior": np.zeros(1)}
-    share = F.create_map(*[F.lit(x) for name in languages for x in (name, int(min(1.0, train_docs / counts[name]) * 1_000_000))])
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < share[F.col("lang")])
+    most = F.create_map(*[x for name in languages for x in (F.lit(name), F.lit(largest_hash(train_docs, counts[name])).cast("long"))])
+    picked = known.where(F.xxhash64("doc_id", F.lit(9)) <= most[F.col("lang")])
     rows = picked.select("doc_id", "lang", "text").mapInArrow(_windows(TRAIN_WINDOWS), "doc_id long, lang string, at long, text string").collect()
+    bare = set(languages) - {r["lang"] for r in rows}
+    if bare:
+        raise ValueError(f"labelled text, but no training window of {sorted(bare)}: train_docs is too small")
     return train([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["at"], r["text"]))], languages)
 
 

@@ -290,6 +290,18 @@ def test_forward_backward_and_language(spark):
     assert [s.lang for s in langid.label_words(mixed, model).first().segments] == ["en", "de"]
 
 
+def test_language_sample_is_never_rounded_to_nothing(spark):
+    # 2.9 of about 3,000,000 documents of each language: less than a millionth
+    many = spark.range(9_000_000).selectExpr("id as doc_id", "if(id % 2 = 0, 'aa', 'bb') as lang", "if(id % 2 = 0, 'one two', 'drei vier') as text")
+    model = langid.fit(many, 2.9)
+    assert model["languages"] == ["aa", "bb"] and model["weights"].any(axis=0).all()
+    odd = spark.createDataFrame([(1, "one two"), (2, "drei vier")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(odd, model).collect()} == {1: "aa", 2: "bb"}
+    assert langid.largest_hash(500, 400) == 2 ** 63 - 1 and langid.largest_hash(500, 10 ** 12) > -2 ** 63
+    with pytest.raises(ValueError, match="aa"):
+        langid.fit(many.limit(1000), 1e-9)
+
+
 def test_pseudo_likelihood(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = lm.fit(table, rounds=1)
