@@ -7,13 +7,16 @@ into one weight table with a column per language. Learned transitions tie
 neighbouring words. Forward-backward gives each word's posterior; a document's
 language is the one with the largest mean posterior over its words.
 
-Words are maximal runs of ASCII letters and non-ASCII bytes, A-Z lower-cased.
+Words are maximal runs of ASCII letters and other non-ASCII code points than
+separators, punctuation and controls, A-Z lower-cased.
 Long documents are cut into segments whose transfer matrices are multiplied
 first, so forward-backward over a whole document is exact and takes few steps.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,23 +24,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import _LOWER, U64, mix, prefix_sums, slices, span_hash, word_spans
+from .textops import _LOWER, U64, mix, prefix_sums, slices, span_hash
 
 TRAIN_DOCS = 500         # labelled documents per language to learn from, on average (the bounded sample)
 TRAIN_WINDOWS = 4        # windows taken of each, from anywhere in its text
 WINDOW = 48              # words in a window
-WINDOW_BYTES = 4096      # a window with more bytes is not learned from
+WINDOW_BYTES = 4096      # a window with more bytes is cut here, between code points
 EPOCHS = 3
 TABLE_BITS = 18
 SEGMENT = 256            # words per segment of forward-backward
 UNDETERMINED = "und"
-HAS_WORDS = r"[A-Za-z\x{80}-\x{10FFFF}]"
+STOPS = ("Zs", "Zl", "Zp", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Cc")     # Unicode categories that end a word
+HAS_WORDS = r"[A-Za-z]|\p{L}"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _LETTER[128:] = True
 
 
+@functools.cache
+def _stops() -> np.ndarray:
+    """By code point: separators, punctuation and controls beyond ASCII."""
+    out = np.zeros(0x200000, bool)
+    out[[c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) in STOPS]] = True
+    return out
+
+
+def letters(raw: np.ndarray) -> np.ndarray:
+    """Whether each byte of some UTF-8 text, which ends in ASCII, belongs to a word."""
+    out = _LETTER[raw]
+    for least, most, more in ((0xC2, 0xE0, 1), (0xE0, 0xF0, 2), (0xF0, 0xF8, 3)):
+        at = np.flatnonzero((raw >= least) & (raw < most))
+        code = raw[at].astype(np.int64) & (0x3F >> more)
+        for j in range(1, more + 1):
+            code = (code << 6) | (raw[at + j] & 0x3F)
+        at = at[_stops()[code]]
+        for j in range(more + 1):
+            out[at + j] = False
+    return out
+
+
 class Words:
     """The words of some texts, with their feature ids."""
 
@@ -47,9 +73,10 @@ class Words:
         self.raw = np.frombuffer(b"\n\n\n" + b"\n".join(encoded) + b"\n\n\n", np.uint8)
         begin = 3 + np.cumsum(size + 1) - (size + 1)
         self.begin = begin
-        letter = _LETTER[self.raw]
+        letter = letters(self.raw)
         clean = np.where(letter, _LOWER[self.raw], 32).astype(np.uint8)
-        self.start, self.end = word_spans(self.raw, np.array([0, len(self.raw)]), _LETTER)
+        edge = np.diff(letter.astype(np.int8))
+        self.start, self.end = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
         self.counts = np.searchsorted(self.start, begin + size) - np.searchsorted(self.start, begin)
         wide = clean.astype(np.uint32)
         self.code = (wide[:-2] << np.uint32(16)) | (wide[1:-1] << np.uint32(8)) | wide[2:]
@@ -222,8 +249,10 @@ def _windows(most: int):
                     spread = mix(np.arange(len(starts), dtype=U64) + U64((doc & 0xFFFFFFFF) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
                     for s in np.sort(starts[np.argsort(spread, kind="stable")[:most]]).tolist():
                         part = words.raw[words.start[s]: words.end[min(n, s + WINDOW) - 1]]
-                        if len(part) <= WINDOW_BYTES:
-                            out.append((doc, lang, s, part.tobytes().decode("utf-8", "replace")))
+                        to = min(len(part), WINDOW_BYTES)
+                        while to < len(part) and part[to] & 0xC0 == 0x80:
+                            to -= 1
+                        out.append((doc, lang, s, part[:to].tobytes().decode("utf-8", "replace")))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.string()))], ["doc_id", "lang", "at", "text"])
     return run

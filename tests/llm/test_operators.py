@@ -302,6 +302,19 @@ def test_language_sample_is_never_rounded_to_nothing(spark):
         langid.fit(many.limit(1000), 1e-9)
 
 
+def test_language_of_scripts_without_ascii_separators(spark):
+    rng = random.Random(8)
+    signs = {"ja": [chr(c) for c in range(0x3041, 0x3091)], "zh": [chr(c) for c in range(0x4E00, 0x4F00)], "en": list("abcdefgh ")}
+    texts = [(i, lang, "".join(rng.choice(signs[lang]) for _ in range(3000))) for i, lang in enumerate(["ja", "zh", "en"] * 20)]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string")
+    model = langid.fit(docs)
+    got = langid.predict(docs, model).join(docs, "doc_id").collect()
+    assert model["languages"] == ["en", "ja", "zh"] and all(r.lang_pred == r.lang for r in got)
+    parts = langid.Words(["\u4e2d\u6587\u3001\u4e2d\uff0c\u6587\u3000\u4e2d\u2019a b\u00a0\u00e9", "\U00010100\U00020000"])
+    spans = [bytes(parts.raw[a:b]).decode() for a, b in zip(parts.start, parts.end)]
+    assert spans == ["\u4e2d\u6587", "\u4e2d", "\u6587", "\u4e2d", "a", "b", "\u00e9", "\U00020000"] and parts.counts.tolist() == [7, 1]
+
+
 def test_pseudo_likelihood(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = lm.fit(table, rounds=1)
