@@ -357,10 +357,11 @@ def predict(docs: DataFrame, model: dict | None = None) -> DataFrame:
 
 
 def identified(docs: DataFrame, least: float = 0.35, model: dict | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is identified with a
-    score of at least ``least``; what is rejected has no letters, or words of
-    which no language holds for that share (code-switched text of two languages
-    stays).
+    """The rows of ``docs``, all columns, whose words are labelled with a
+    certainty of at least ``least``: the mean over words of the largest
+    posterior. What is rejected has no letters, or words that belong to no
+    language rather than another; code-switched text stays, however many
+    languages it holds.
 
     Every row is judged in place by its own text, without a shuffle."""
     model = model or fit(docs)
@@ -368,15 +369,16 @@ def identified(docs: DataFrame, least: float = 0.35, model: dict | None = None)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = _label(shared)
+        model = shared.value
         for batch in batches:
-            both = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column("text")], ["doc_id", "text"])
-            good = np.zeros(batch.num_rows, bool)
-            at = 0
-            for part in label(iter([both])):
-                scores = part.column("lang_scores").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                good[at: at + part.num_rows] = (part.column("words").to_numpy() > 0) & (scores.max(axis=1) >= least)
-                at += part.num_rows
+            good = [np.zeros(0, bool)]
+            for part in slices(batch, "text", 2 << 20):
+                words = Words([t or "" for t in part.column("text").to_pylist()])
+                gamma = posteriors(words.emissions(model["weights"]), words.counts, model["trans"], model["prior"])
+                total = np.concatenate([[0.0], np.cumsum(gamma.max(axis=1))])
+                ends = np.cumsum(words.counts)
+                good.append((words.counts > 0) & (total[ends] - total[ends - words.counts] >= least * words.counts))
+            good = np.concatenate(good)
             yield batch.filter(pa.array(good))
 
     if not model["languages"]:

@@ -315,6 +315,14 @@ def test_language_of_scripts_without_ascii_separators(spark):
     assert spans == ["\u4e2d\u6587", "\u4e2d", "\u6587", "\u4e2d", "a", "b", "\u00e9", "\U00020000"] and parts.counts.tolist() == [7, 1]
 
 
+def test_code_switched_text_of_many_languages_stays(spark):
+    heard = {lang: " ".join(a + b for b in "aeiou" for a in signs) for lang, signs in (("aa", "bcdf"), ("bb", "ghjk"), ("cc", "lmnp"), ("dd", "qrst"))}
+    model = langid.train([(lang, text) for lang, text in heard.items() for _ in range(50)], sorted(heard))
+    docs = spark.createDataFrame([(1, " ".join(heard.values())), (2, heard["aa"]), (3, "1 2"), (4, None)], "doc_id long, text string")
+    scores = {r.doc_id: max(r.lang_scores) for r in langid.label_words(docs, model).collect()}
+    assert scores[1] < 0.35 and {r.doc_id for r in langid.identified(docs, model=model).collect()} == {1, 2}
+
+
 def test_pseudo_likelihood(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = lm.fit(table, rounds=1)
