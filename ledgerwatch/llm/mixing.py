@@ -64,7 +64,8 @@ def assign(docs: DataFrame, whole: bool = False, **mix) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size (words of the whole
     text, null text 0), source_size, target (of its source), taken (words the
     mix takes, repeats counted), position (0 to 1, when the document is first
-    trained on; null if it isn't), sorted by position.
+    trained on; null if it isn't), again (when it is trained on for the second
+    time; null if it isn't), sorted by position.
 
     A source's documents line up in order of md5(doc_id) (ties: doc_id, size),
     and again for the second pass; the mix takes words until the target is
@@ -107,20 +108,21 @@ def _lined(docs: DataFrame, extra: list[Column], whole: bool, mix: dict) -> Data
     if whole:
         got = [F.when(2 * g >= F.col("size"), F.col("size")).otherwise(F.lit(0)) for g in got]
     taken = (got[0] + got[1]).cast("long")
-    when = F.when(taken > 0, position(F.least(F.lit(1.0), begin / F.col("target")), F.col("fade")))
+    # the second pass of a source begins when demand reaches its size
+    when = [F.when(got[n] > 0, position(F.least(F.lit(1.0), (begin + n * F.col("source_size")) / F.col("target")), F.col("fade"))) for n in (0, 1)]
     names = [c for c in rows.columns if c not in ("key", "bucket", "spot")]
-    return lined.select(*names, "source_size", "target", taken.alias("taken"), when.alias("position"))
+    return lined.select(*names, "source_size", "target", taken.alias("taken"), when[0].alias("position"), when[1].alias("again"))
 
 
 def mixed(docs: DataFrame, **mix) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them (whole documents, so
     up to half a document from the target at a source's cut), sorted by
-    training position; second passes over a source follow all first ones.
-    Columns are those of ``docs``."""
+    training position: every copy has its own, so a source that is passed over
+    twice keeps its schedule to the end. Columns are those of ``docs``."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     plan = _lined(docs, [row], True, mix).where("taken > 0")
-    copies = plan.select("_row", "doc_id", "position", F.explode(F.sequence(F.lit(1), F.expr("cast(taken div size as int)"))).alias("copy"))
-    return copies.orderBy("copy", "position", "doc_id").select("_row.*")
+    copies = plan.select("_row", "doc_id", F.explode(F.array_compact(F.array("position", "again"))).alias("at"))
+    return copies.orderBy("at", "doc_id").select("_row.*")
 
 
 ORACLE = r"""with d as (

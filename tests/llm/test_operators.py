@@ -240,6 +240,22 @@ def test_mixing_reaches_targets(docs, spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in mixing.assign(docs.repartition(7)).collect()]
 
 
+def test_second_passes_keep_the_schedule(spark):
+    size = {"a": 100, "b": 1000, "c": 300}
+    docs = spark.createDataFrame([(1000 * i + j, s, "w " * 10) for i, (s, n) in enumerate(size.items()) for j in range(n)], "doc_id long, source string, text string")
+    plan = mixing.assign(docs).collect()
+    order = [r.doc_id for r in mixing.mixed(docs).collect()]
+    assert order == [i for _, i in sorted((at, r.doc_id) for r in plan for at in (r.position, r.again) if at is not None)]
+    # c is doubled and its weight holds: the n-th tenth of its words comes at n tenths of the training time
+    held = [r for r in plan if r.source == "c"]
+    assert all(r.taken == 20 and abs(r.again - r.position - 0.5) < 1e-9 for r in held)
+    # every source covers its schedule: words so far are the demand at that time, to within a document
+    for s, fade in zip(size, mixing.FADES):
+        times = sorted(at for r in plan if r.source == s for at in (r.position, r.again) if at is not None)
+        target = next(r.target for r in plan if r.source == s)
+        assert max(abs(target * ((1 - fade) * u + fade * u * u) - 10 * k) for k, u in enumerate(times)) < 10
+
+
 def test_licenses_equal_brute_force(spark):
     rng = random.Random(6)
     notice = licenses.TEMPLATES["MIT-notice"].split()
