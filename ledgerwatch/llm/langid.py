@@ -35,7 +35,7 @@ TABLE_BITS = 18
 SEGMENT = 256            # words per segment of forward-backward
 UNDETERMINED = "und"
 STOPS = ("Zs", "Zl", "Zp", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Cc")     # Unicode categories that end a word
-HAS_WORDS = r"[A-Za-z]|\p{L}"
+HAS_WORDS = r"\p{L}"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
