@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, exact_dedup, langid, licenses, lm, minhash, mixing, packing
+from . import bpe, chat, embed_dedup, exact_dedup, langid, licenses, minhash, mixing, packing, token_lm
 
 ODD_TEXT = "\\### Assistant: </turn> ok"
 
@@ -47,7 +47,7 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(table(spark, sf_dir, "documents"))
+    return token_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
