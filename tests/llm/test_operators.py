@@ -276,6 +276,31 @@ def test_licenses_equal_brute_force(spark):
     assert got == want and (2, "MIT") in got
 
 
+def test_licenses_in_comments_and_families(spark):
+    def comment(text, mark):
+        part = text.split()
+        return "int x;\n" + "\n".join(mark + " ".join(part[i: i + 12]) for i in range(0, len(part), 12)) + "\nint y;"
+    names = sorted(n for n in licenses.TEMPLATES if len(licenses.TEMPLATES[n].split()) > 15)
+    assert {"BSD-3-Clause", "LGPL-2.1-notice", "LGPL-3.0-notice", "AGPL-3.0-notice", "Unlicense", "EPL-2.0"} <= set(names)
+    texts = [(mark, n, comment(licenses.TEMPLATES[n], mark)) for mark in ("", " * ", "# ", "// ", "//", "-- ") for n in names]
+    texts += [("", "MIT", "Released under the MIT License, see below"), ("", "MIT", "// Released under the\n// (MIT) License")]
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id long, text string")
+    got = {}
+    for r in licenses.scan_licenses(df).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for i, (mark, name, text) in enumerate(texts):
+        assert [r.license for r in got[i]] == [name], (mark, name)
+        assert got[i][0].containment == 1.0
+        span = text.split()[got[i][0].start_word: got[i][0].end_word]
+        bare = [w.strip("*#/-,.()") for w in span]
+        assert [w for w in bare if w] == [w.strip("*#/-,.()") for w in licenses.TEMPLATES[name].split()] or name == "MIT"
+    both = spark.createDataFrame([(1, licenses.TEMPLATES["GPL-2.0-notice"] + " " + licenses.TEMPLATES["GPL-3.0-notice"] + " x " + licenses.TEMPLATES["MIT-notice"])], "doc_id long, text string")
+    assert sorted(r.license for r in licenses.scan_licenses(both).collect()) == ["GPL-2.0-notice", "GPL-3.0-notice", "MIT-notice"]
+    table = spark.createDataFrame([("own", "a b c d e f g"), (None, "x y"), ("none", None)], "license string, text string")
+    more = spark.createDataFrame([(1, "* a b c\n* d e f g."), (2, "Released under the MIT License.")], "doc_id long, text string")
+    assert [(r.doc_id, r.license, r.start_word, r.end_word) for r in licenses.scan_licenses(more, table).collect()] == [(1, "own", 1, 9)]
+
+
 def test_forward_backward_and_language(spark):
     rng = np.random.default_rng(0)
     counts = np.array([0, 1, 600, 255, 256, 257, 0, 11])
