@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,14 +14,3 @@ def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="ledgerwatch-tests")
     yield s
     s.stop()
-
-
-def plan_text(df) -> str:
-    """The formatted physical plan, as ``explain`` prints it."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode="formatted")
-    return buf.getvalue()

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from ledgerwatch import params as P
 from ledgerwatch.operators import attribution as AT
 from ledgerwatch.operators import modelling as M

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, plan_text
+from support import SF_SMALL, plan_text
 from ledgerwatch.operators import quality as Q
 from ledgerwatch.plans import base
 from ledgerwatch.sources import files as FS

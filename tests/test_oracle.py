@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 import __spark_entry__ as entry  # noqa: E402
 from scripts.oracle_check import TABLES, rows_of
 

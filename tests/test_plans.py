@@ -3,7 +3,7 @@ plans, bounded broadcasts, one shuffle for the plain windows."""
 
 import pytest
 
-from conftest import SF_SMALL, plan_text
+from support import SF_SMALL, plan_text
 from ledgerwatch.operators import features as FE
 from ledgerwatch.plans import registry
 from ledgerwatch.sources import tables as T

@@ -7,7 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from ledgerwatch.operators import analytics as A
 from ledgerwatch.operators import drift as D
 from ledgerwatch.operators import evaluation as E

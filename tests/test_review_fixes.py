@@ -62,7 +62,7 @@ def test_consecutive_drift_rule(spark):
 
 
 def test_repeated_ids_are_explained_once_each(spark):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from ledgerwatch.operators import explain as X
     from ledgerwatch.plans import base
 

@@ -3,7 +3,7 @@ and every emitted window equals the batch aggregate."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from ledgerwatch.operators import analytics as A
 from ledgerwatch.plans import base
 from ledgerwatch.streaming import jobs as S

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from support import SF_MID
 from ledgerwatch.operators import features as FE
 from ledgerwatch.sources import tables as T
 
