@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, exact_dedup, langid, licenses, minhash, mixing, packing, token_lm
+from . import bpe, chat, conversation_repair, embed_dedup, exact_dedup, langid, licenses, minhash, mixing, packing, resampling, token_lm, url_filter
 
 ODD_TEXT = "\\### Assistant: </turn> ok"
 
@@ -69,12 +69,27 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.digests(conversation_repair.damaged(table(spark, sf_dir, "conversations")), dropped="dropped")
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_embedding_near_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_packing, op5_minhash_near_dedup, op6_lm_scoring, op7_language_id, op8_source_mixing, op9_license_scan, op10_bpe_round_trip)}
+        op1_embedding_near_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_packing, op5_minhash_near_dedup, op6_lm_scoring, op7_language_id, op8_source_mixing, op9_license_scan, op10_bpe_round_trip,
+        op11_conversation_repair, op12_url_filter, op13_importance_resampling)}
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op3_chat_formatting": chat.ORACLE,
     "op8_source_mixing": mixing.ORACLE,
+    "op12_url_filter": url_filter.ORACLE,
+    "op13_importance_resampling": resampling.ORACLE,
 }
