@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import slices
+from .textops import give_back, slices
 
 # fixed value: the published byte-level pre-tokenizer's pattern
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -32,7 +32,7 @@ LATIN = re.compile(r"[\0-\u024f]*")
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 LATIN_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_L}{_N}{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 LOCKSTEP = 64             # widest piece, in bytes, merged in lockstep
-CACHED = 400_000          # pieces a worker remembers; older ones are worked out again
+CACHED = 400_000          # pieces remembered inside a partition; older ones are worked out again
 NONE = np.int32(np.iinfo(np.int32).max)
 SLOTS = 1 << 18           # of the open-addressed table of mergeable pairs
 _loaded: dict[str, Vocabulary] = {}
@@ -277,6 +277,12 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
+def forget(vocab: Vocabulary) -> None:
+    """Drop the pieces remembered, at the end of a partition."""
+    vocab.known = {}
+    give_back()
+
+
 def _encoder(path: str, column: str, check: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -288,6 +294,7 @@ def _encoder(path: str, column: str, check: bool = False):
                     columns.append(pa.array([vocab.decode(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        forget(vocab)
     return run
 
 

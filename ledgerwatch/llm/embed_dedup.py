@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -18,20 +18,32 @@ from .textops import mix
 
 SHARD_ROWS = 65_536     # vectors in a shard at most (on average)
 MIN_SHARDS = 6          # shards of a small table
-AUDITED = 1_024         # vectors whose links are also found by brute force in every shard
-RECALL = 0.999          # share of those links that the graph must find
+AUDITED = 1_024         # vectors of each length whose links are also found by brute force in every shard
+RECALL = 0.999          # share of them whose links the graph must find, all of each
 BEAM = 32               # first beam
 SLACK = 1e-4            # single-precision similarities this far below are verified
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, each times the power of two that brings its largest
+    component near 1: cosines stay, squares neither over- nor underflow."""
+    if vectors.dtype.kind != "f":
+        vectors = vectors.astype(np.float64)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+def norms(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+
+
 class Shard:
     """The graph over one shard's vectors, and who is linked inside it."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, threshold: float):
         order = np.argsort(mix(ids.view(np.uint64)), kind="stable")       # insertion in hashed order
         self.ids, self.copies, self.threshold = ids[order], copies[order], threshold
-        self.vectors = vectors[order]
-        self.norm = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(axis=1))
+        self.vectors = vectors[order]          # scaled, as all vectors here
+        self.norm = norms(self.vectors)
         unit = (self.vectors / self.norm[:, None]).astype(np.float32)
         draw = (mix(mix(self.ids.view(np.uint64))) >> np.uint64(11)) / float(1 << 53)
         self.graph = Graph(unit, np.floor(-np.log(np.maximum(draw, 1e-12)) / math.log(12)).astype(np.int64))
@@ -41,7 +53,7 @@ class Shard:
     def links(self, vectors: np.ndarray, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(query row, shard row) of all links found. A beam whose worst entry
         is still linked was too narrow for that query and doubles."""
-        norm = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+        norm = norms(vectors)
         unit = (vectors / norm[:, None]).astype(np.float32)
         beam = min(beam or self.beam, len(self.ids))
         todo, found = np.arange(len(vectors)), []
@@ -64,17 +76,23 @@ class Shard:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
-    def exact_links(self, vectors: np.ndarray) -> int:
-        total, norm = 0, np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+    def exact_links(self, vectors: np.ndarray) -> np.ndarray:
+        """The number of links of each vector."""
+        total, norm = np.zeros(len(vectors), np.int64), norms(vectors)
         for at in range(0, len(self.ids), 4096):
             part = self.vectors[at: at + 4096].astype(np.float64) / self.norm[at: at + 4096, None]
-            total += int(np.count_nonzero(part @ (vectors.astype(np.float64) / norm[:, None]).T >= self.threshold))
+            total += np.count_nonzero(part @ (vectors.astype(np.float64) / norm[:, None]).T >= self.threshold, axis=0)
         return total
 
     def audit(self, vectors: np.ndarray) -> None:
-        """Widen the first beam until the audited vectors' links are found."""
+        """Widen the first beam until a share of RECALL of the audited vectors
+        that have links have all of them found."""
         true = self.exact_links(vectors)
-        while true and self.beam < len(self.ids) and len(self.links(vectors)[0]) < RECALL * true:
+        linked = np.count_nonzero(true)
+        while linked and self.beam < len(self.ids):
+            found = np.bincount(self.links(vectors)[0], minlength=len(vectors))
+            if np.count_nonzero((true > 0) & (found >= true)) >= RECALL * linked:
+                break
             self.beam *= 2
 
     def join_inside(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -110,7 +128,7 @@ def _work(threshold: float):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(other, pa.int64()), pa.array(links, pa.int64())], ["a", "b", "links"])
 
     def vectors(column: pa.Array) -> np.ndarray:
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+        return scaled(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A partition's rows come sorted by (dim, shard, kind): first the
@@ -172,8 +190,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     - Shards are dealt by hash; their number follows the table, so a shard's
       graph has bounded size. Every vector is sent to every shard and streams
       past its graph. Beams double for a query whose beam is full of links, and
-      for the shard until the links of the audited vectors (a fixed number of
-      them, found by brute force as well) are found.
+      for the shard until all links of 99.9 % of the audited vectors (a fixed
+      number of each length, searched by brute force as well) are found.
     - A shard returns one row per query and component inside the shard, with
       the number of vectors linked, so a tight cluster yields no quadratic
       output. Links below the threshold never pass; links can only be missed,
@@ -193,7 +211,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     distinct = materialize(good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).select(
         "id", "copies", F.size("vector").alias("dim"), "vector"), "vectors")
     shards = max(MIN_SHARDS, math.ceil(distinct.count() / SHARD_ROWS))
-    audited = distinct.orderBy(F.xxhash64("id"), "id").limit(AUDITED)
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))       # the first of each length, picked before the shuffle
+    audited = distinct.withColumn("place", place).where(F.col("place") <= AUDITED)
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     dealt = (distinct.select("dim", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "copies", "vector")
              .unionByName(audited.select("dim", every, F.lit(1).alias("kind"), "id", "copies", "vector"))

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 HEAVY_SHARE = 1e-3      # a digest with at least this share of all rows is heavy; at most 1 / share of them exist
-COUNTERS = math.ceil(2 / HEAVY_SHARE)
 
 
 def normalised(text: str = "text") -> Column:
@@ -91,14 +90,15 @@ def duplicate_report(docs: DataFrame, share: float = HEAVY_SHARE) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, share: float = HEAVY_SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per text,
-    that of the largest doc_id (see ``duplicate_report``)."""
+    that of the largest doc_id (see ``duplicate_report``); of rows that share
+    it too, the one whose columns hash lowest."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(F.col("doc_id").alias("_id"), digest().alias("_sha"), F.struct(*columns).alias("_row"))
+    marked = docs.select(F.col("doc_id").alias("_id"), digest().alias("_sha"), F.xxhash64(*columns).alias("_mark"), F.struct(*columns).alias("_row"))
     digests = materialize(marked.select(F.col("_id").alias("doc_id"), F.col("_sha").alias("sha")), "digests")
     heavy = materialize(heavy_digests(digests, share).withColumnRenamed("sha", "_sha"), "heavy")
-    rank = F.row_number().over(Window.partitionBy("_sha").orderBy(F.col("_id").desc_nulls_last()))
+    rank = F.row_number().over(Window.partitionBy("_sha").orderBy(F.col("_id").desc_nulls_last(), "_mark"))
     light = marked.join(F.broadcast(heavy.select("_sha")), "_sha", "left_anti").withColumn("_rank", rank).where("_rank = 1").select("_row")
-    common = marked.join(F.broadcast(heavy), "_sha").where("_id <=> keep_id").groupBy("_sha").agg(F.first("_row").alias("_row")).select("_row")
+    common = marked.join(F.broadcast(heavy), "_sha").where("_id <=> keep_id").groupBy("_sha").agg(F.min_by("_row", "_mark").alias("_row")).select("_row")
     return light.unionByName(common).select("_row.*")
 
 

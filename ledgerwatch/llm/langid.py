@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import _LOWER, U64, mix, prefix_sums, slices, span_hash
+from .textops import _LOWER, U64, frugal, mix, prefix_sums, slices, span_hash
 
 TRAIN_DOCS = 500         # labelled documents per language to learn from, on average (the bounded sample)
 TRAIN_WINDOWS = 4        # windows taken of each, from anywhere in its text
@@ -33,6 +34,8 @@ WINDOW_BYTES = 4096      # a window with more bytes is cut here, between code po
 EPOCHS = 3
 TABLE_BITS = 18
 SEGMENT = 256            # words per segment of forward-backward
+SLICE = 512 << 10        # bytes of text worked on at a time
+MOST_LANGUAGES = 512     # labels the driver and every worker can hold weights for (2**18 floats each)
 UNDETERMINED = "und"
 STOPS = ("Zs", "Zl", "Zp", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Cc")     # Unicode categories that end a word
 HAS_WORDS = r"\p{L}"
@@ -178,6 +181,62 @@ def posteriors(emission: np.ndarray, counts: np.ndarray, trans: np.ndarray, prio
     return alpha / alpha.sum(axis=1, keepdims=True)
 
 
+def expectations(emission: np.ndarray, counts: np.ndarray, trans: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By forward-backward over some short sequences: every word's label
+    posterior, the expected number of each transition between words, the
+    posterior of each sequence's start state, and of (start state, first
+    label)."""
+    k, n, steps = emission.shape[1], len(counts), int(counts.max(initial=0))
+    move = np.exp(trans - trans.max())
+    local = np.exp(emission - emission.max(axis=1, keepdims=True))
+    first = np.cumsum(counts) - counts
+    spot = np.minimum(first[:, None] + np.arange(steps), len(emission) - 1)      # [sequence, word]
+    live = np.arange(steps) < counts[:, None]
+    seen = np.where(live[:, :, None], local[spot], 1.0)
+    start = np.exp(prior - prior.max())
+    alpha, beta = np.empty((steps, n, k)), np.ones((steps, n, k))
+    state = np.tile(start, (n, 1))
+    for t in range(steps):
+        state = (state @ move) * seen[:, t]
+        state /= state.sum(axis=1, keepdims=True)
+        alpha[t] = state
+    for t in range(steps - 2, -1, -1):
+        ahead = (seen[:, t + 1] * beta[t + 1]) @ move.T
+        beta[t] = np.where(live[:, t + 1, None], ahead / ahead.sum(axis=1, keepdims=True), 1.0)
+    gamma, pairs = np.empty_like(local), np.zeros((k, k))
+    for t in range(steps):
+        on = np.flatnonzero(live[:, t])
+        both = alpha[t, on] * beta[t, on]
+        gamma[spot[on, t]] = both / both.sum(axis=1, keepdims=True)
+        if t:
+            joint = alpha[t - 1, on][:, :, None] * move * (seen[on, t] * beta[t, on])[:, None, :]
+            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    opening = start[None, :, None] * move * (seen[:, 0] * beta[0])[:, None, :]
+    opening /= opening.sum(axis=(1, 2), keepdims=True)
+    return gamma, pairs, opening.sum(axis=2), opening
+
+
+def chain_gradient(emission: np.ndarray, counts: np.ndarray, truth: np.ndarray, trans: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The gradient of the log-likelihood of the labels ``truth``, summed over
+    sequences, by word scores, transitions and start scores. The state before
+    the first word isn't labelled, so its posterior given the first label
+    stands for what is observed."""
+    gamma, pairs, begun, opening = expectations(emission, counts, trans, prior)
+    by_word = -gamma
+    by_word[np.arange(len(truth)), truth] += 1
+    first = np.cumsum(counts) - counts
+    by_trans = -pairs - opening.sum(axis=0)
+    inner = np.ones(len(truth), bool)
+    inner[first] = False
+    after = np.flatnonzero(inner)
+    np.add.at(by_trans, (truth[after - 1], truth[after]), 1)
+    known = prior[None, :] + trans[:, truth[first]].T
+    known = np.exp(known - known.max(axis=1, keepdims=True))
+    known /= known.sum(axis=1, keepdims=True)
+    np.add.at(by_trans.T, truth[first], known)
+    return by_word, by_trans, (known - begun).sum(axis=0)
+
+
 def train(windows: list[tuple[str, str]], languages: list[str], seed: int = 5) -> dict:
     """Weights, transitions and prior by AdaGrad on the conditional
     likelihood. ``windows``: (language, text). Half of the sequences join parts
@@ -192,7 +251,7 @@ def train(windows: list[tuple[str, str]], languages: list[str], seed: int = 5) -
     names = np.array([label_of[name] for name, _ in windows], np.int64)
     by = [np.flatnonzero((names == i) & (words.counts > 0)) for i in range(k)]
     weights, trans, prior = np.zeros((1 << TABLE_BITS, k), np.float32), np.zeros((k, k)), np.zeros(k)
-    square, square_t = np.full(weights.shape, 1e-3, np.float32), np.full((k, k), 1e-1)
+    square, square_t, square_p = np.full(weights.shape, 1e-3, np.float32), np.full((k, k), 1e-1), np.full(k, 1e-1)
     usable = np.flatnonzero(words.counts > 0)
     for _ in range(EPOCHS if k > 1 else 0):
         sequences = [(np.arange(first[w], first[w] + words.counts[w]), np.full(words.counts[w], names[w])) for w in usable.tolist()]
@@ -213,22 +272,12 @@ def train(windows: list[tuple[str, str]], languages: list[str], seed: int = 5) -
             flat = np.concatenate([columns[index].ravel(), slots[tri]]).astype(np.int64)
             owner = np.concatenate([np.repeat(np.arange(len(index)), columns.shape[1]), np.repeat(np.arange(len(index)), span)])
             emission = np.stack([np.bincount(owner, weights[flat, c], len(index)) for c in range(k)], axis=1)
-            gamma = posteriors(emission, counts, trans, prior)
-            error = -gamma
-            error[np.arange(len(index)), truth] += 1
-            # transitions: observed pairs less expected ones (by pseudo-marginals of neighbours)
-            start = np.cumsum(counts) - counts
-            inner = np.ones(len(index), bool)
-            inner[start] = False
-            prev = np.flatnonzero(inner) - 1
-            move = np.exp(trans - trans.max())
-            joint = gamma[prev][:, :, None] * move[None] * gamma[prev + 1][:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            pairs = np.zeros((k, k))
-            np.add.at(pairs, (truth[prev], truth[prev + 1]), 1)
-            grad_t = (pairs - joint.sum(axis=0)) / max(1, len(prev))
+            error, grad_t, grad_p = chain_gradient(emission, counts, truth, trans, prior)
+            grad_t, grad_p = grad_t / len(index), grad_p / len(some)
             square_t += grad_t ** 2
             trans += 0.5 * grad_t / np.sqrt(square_t)
+            square_p += grad_p ** 2
+            prior += 0.1 * grad_p / np.sqrt(square_p)
             touched = np.unique(flat)
             for c in range(k):
                 g = np.bincount(flat, error[owner, c], len(weights))[touched] / len(some)
@@ -240,7 +289,7 @@ def train(windows: list[tuple[str, str]], languages: list[str], seed: int = 5) -
 def _windows(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", SLICE):
                 out = []
                 for doc, lang, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
                     words = Words([text or ""])
@@ -272,10 +321,12 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     a doc_id whose crc32 modulo 3 is not 1. About ``train_docs`` documents per
     language (all, where there are fewer), chosen by hash, give up to
     TRAIN_WINDOWS windows of their whole text each; only these reach the
-    driver, where the small model is fitted. Languages are assumed few. A
-    language of which no window was met is an error."""
+    driver, where the small model is fitted. More than MOST_LANGUAGES values of
+    lang, and a language of which no window was met, are errors."""
     known = docs.where("lang is not null and doc_id is not null").where(~held_out()).where(F.col("text").rlike(HAS_WORDS))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values")
     languages = sorted(counts)
     if not languages:
         return {"languages": [], "weights": np.zeros((1 << TABLE_BITS, 1), np.float32), "trans": np.zeros((1, 1)), "prior": np.zeros(1)}
@@ -296,7 +347,7 @@ def _label(shared):
         model = shared.value
         languages, k = model["languages"], model["weights"].shape[1]
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", SLICE):
                 words = Words([t or "" for t in batch.column("text").to_pylist()])
                 gamma = posteriors(words.emissions(model["weights"]), words.counts, model["trans"], model["prior"])
                 counts, n = words.counts, len(words.counts)
@@ -333,7 +384,7 @@ def label_words(docs: DataFrame, model: dict) -> DataFrame:
     whole text; null and texts without words have no segments and zero scores.
     A text is worked on in one task (about 100 bytes of memory per byte)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(_label(shared), SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(frugal(_label(shared)), SCHEMA)
 
 
 def predict(docs: DataFrame, model: dict | None = None) -> DataFrame:
@@ -356,13 +407,24 @@ def predict(docs: DataFrame, model: dict | None = None) -> DataFrame:
         F.when(sure, F.least(best, F.lit(1.0))).otherwise(0.0).alias("score"))
 
 
+def certainty(best: np.ndarray, languages: int) -> np.ndarray:
+    """The largest of the posteriors on a scale from 0 (all languages alike) to 1."""
+    even = 1 / max(1, languages)
+    return (best - even) / (1 - even) if languages > 1 else np.ones_like(best)
+
+
 def identified(docs: DataFrame, least: float = 0.35, model: dict | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, whose words are labelled with a
     certainty of at least ``least``: the mean over words of the largest
-    posterior. What is rejected has no letters, or words that belong to no
-    language rather than another; code-switched text stays, however many
-    languages it holds.
-
+    posterior, rescaled so that 0 is what a guess among all languages gives
+    (see ``certainty``). What is rejected has no letters, or words that belong
+    to no language rather than another; code-switched text stays, however many
+    languages it holds. Where a column lang is null it gets the predicted
+    language.
+
+    Null texts and texts without letters go; repeated rows are judged each; a
+    null doc_id and extra columns, whatever their names, stay as they are; an
+    empty table, or one without any labelled text to learn from, gives no rows.
     Every row is judged in place by its own text, without a shuffle."""
     model = model or fit(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -370,17 +432,21 @@ def identified(docs: DataFrame, least: float = 0.35, model: dict | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            good = [np.zeros(0, bool)]
-            for part in slices(batch, "text", 2 << 20):
-                words = Words([t or "" for t in part.column("text").to_pylist()])
+        languages = pa.array(model["languages"], pa.string())
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE):
+                words = Words([t or "" for t in batch.column("text").to_pylist()])
                 gamma = posteriors(words.emissions(model["weights"]), words.counts, model["trans"], model["prior"])
-                total = np.concatenate([[0.0], np.cumsum(gamma.max(axis=1))])
-                ends = np.cumsum(words.counts)
-                good.append((words.counts > 0) & (total[ends] - total[ends - words.counts] >= least * words.counts))
-            good = np.concatenate(good)
-            yield batch.filter(pa.array(good))
+                ends, some = np.cumsum(words.counts), np.maximum(words.counts, 1)
+                total = np.concatenate([[0.0], np.cumsum(certainty(gamma.max(axis=1), len(languages)))])
+                good = (words.counts > 0) & (total[ends] - total[ends - words.counts] >= least * some)
+                by = np.concatenate([np.zeros((1, gamma.shape[1])), np.cumsum(gamma, axis=0)])
+                best = (by[ends] - by[ends - words.counts]).argmax(axis=1)
+                at = batch.schema.get_field_index("lang")
+                if at >= 0 and pa.types.is_string(batch.schema.field(at).type):
+                    batch = batch.set_column(at, batch.schema.field(at), pc.fill_null(batch.column(at), languages.take(pa.array(best)))) if batch.column(at).null_count else batch
+                yield batch.filter(pa.array(good))
 
     if not model["languages"]:
         return docs.limit(0)
-    return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, schema)
+    return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(frugal(run), schema)

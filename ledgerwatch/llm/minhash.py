@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .textops import U64, mix, seeds, shingle_sets, slices
+from .textops import U64, frugal, mix, seeds, shingle_sets, slices
 
 ROWS = 5             # sketch coordinates per band
 MISS = 1e-6          # a pair at the threshold shares no band with at most this probability
@@ -89,7 +89,7 @@ SIGNATURE = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 def signatures(docs: DataFrame, k: int, similarity: float) -> DataFrame:
     """Set size, a 128-bit fingerprint of the shingle set and the band keys of
     every document, read from its whole text in one pass."""
-    return docs.select("doc_id", "text").mapInArrow(_sign(k, bands_for(similarity), ROWS), SIGNATURE)
+    return docs.select("doc_id", "text").mapInArrow(frugal(_sign(k, bands_for(similarity), ROWS)), SIGNATURE)
 
 
 def _verify(k: int, percent: int):
@@ -112,7 +112,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_verify(k, percent), "a long, b long")
+    return joined.mapInArrow(frugal(_verify(k, percent)), "a long, b long")
 
 
 def _linked(xs: list[np.ndarray], ys: list[np.ndarray], percent: int) -> np.ndarray:
@@ -190,7 +190,7 @@ def _across(named: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     x = active.where("component <> main").select(*row, F.lit(1).alias("apart"), F.pmod(F.xxhash64("doc_id"), F.col("nx")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("j"))
     y = active.where("doc_id <> pivot").select(*row, F.lit(0).alias("apart"), F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("i"), F.pmod(F.xxhash64("doc_id"), F.col("ny")).cast("int").alias("j"))
     dealt = x.unionByName(y).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id")
-    return dealt.select("key", "i", "j", "doc_id", "component", "apart", "text").mapInArrow(_across_buckets(k, percent), "a long, b long")
+    return dealt.select("key", "i", "j", "doc_id", "component", "apart", "text").mapInArrow(frugal(_across_buckets(k, percent)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

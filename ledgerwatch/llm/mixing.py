@@ -22,7 +22,6 @@ WEIGHTS = (3.0, 1.0, 2.0)        # by source in order of code points, repeating
 FADES = (-0.5, 0.5, 0.0)         # schedule slope by source, repeating
 SHARE = 1.5                      # words of the mix, as a share of all words
 MOST = 2.0                       # a source, and a document, is taken at most this often
-BUCKETS = 4096                   # hash ranges per source for the running sums
 
 
 def _cycle(values: tuple[float, ...], at: Column) -> Column:

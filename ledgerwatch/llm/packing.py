@@ -86,7 +86,12 @@ def _lists(values: np.ndarray | pa.Array, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
 
 
-def _lines(docs: list[tuple[int | None, np.ndarray]], length: int, padding: int) -> Iterator[pa.RecordBatch]:
+def id_type(ids: int, padding: int) -> type:
+    """The narrowest of uint16 and int32 that holds all ids of the vocabulary and the padding."""
+    return np.uint16 if 0 <= padding and max(ids - 1, padding) < 1 << 16 else np.int32
+
+
+def _lines(docs: list[tuple[int | None, np.ndarray]], length: int, padding: int, kind: type) -> Iterator[pa.RecordBatch]:
     """Rows of one group, some at a time."""
     pieces = [(doc, at, ids[at: at + length]) for doc, ids in docs for at in range(0, len(ids), length)]
     where = np.array(best_fit([len(p[2]) for p in pieces], length), np.int64)
@@ -101,7 +106,7 @@ def _lines(docs: list[tuple[int | None, np.ndarray]], length: int, padding: int)
         total = np.concatenate([[0], np.cumsum(sizes)])
         filled = total[first[1:]] - total[first[:-1]]
         resets = total[:-1] - np.repeat(total[first[:-1]], count)
-        lines = np.full((high - low, length), padding, np.uint16 if padding < 1 << 16 else np.int32)
+        lines = np.full((high - low, length), padding, kind)
         lines[np.arange(length)[None, :] < filled[:, None]] = np.concatenate([ids for _, _, ids in some])
         width = lines.itemsize * length
         edges = np.insert(resets, first[1:], filled)       # each row's resets, then its end
@@ -118,16 +123,17 @@ def _packer(path: str, length: int, group_tokens: int, padding: int):
         from pyspark import TaskContext
 
         vocab = bpe.vocabulary(path)
+        kind = id_type(vocab.ids, padding)
         group, held, tokens = TaskContext.get().partitionId() << 32, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lines in _lines(held, length, padding):
+            for lines in _lines(held, length, padding, kind):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(lines.num_rows, group)), *lines.columns], ["pack_group", *lines.schema.names])
 
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
                 flat, ends = vocab.encode_batch(t or "" for t in batch.column("text").to_pylist())
-                flat = flat.astype(np.uint16 if padding < 1 << 16 else np.int32)
+                flat = flat.astype(kind)
                 for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                     held.append((doc, flat[a:b]))
                     tokens += b - a
@@ -136,6 +142,7 @@ def _packer(path: str, length: int, group_tokens: int, padding: int):
                         group, held, tokens = group + 1, [], 0
         if held:
             yield from flush()
+        bpe.forget(vocab)
     return run
 
 
@@ -144,8 +151,8 @@ def pack_documents(docs: DataFrame, length: int = CONTEXT, path: str | None = No
     matrix per row.
 
     pack_group and pack_row name the line; input_ids is the line itself
-    (``length`` little-endian ids, uint16 if the padding id fits, else int32,
-    padded at the end); cu_seqlens are the cumulative segment lengths from 0 to
+    (``length`` little-endian ids, uint16 if all ids of the vocabulary and the
+    padding fit, else int32, padded at the end); cu_seqlens are the cumulative segment lengths from 0 to
     n_tokens; position ids restart at 0 at each of position_resets; doc_ids and
     doc_offsets say which document, and from which of its tokens on, each
     segment holds. Every token of every document lies in exactly one segment.

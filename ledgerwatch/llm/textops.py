@@ -11,6 +11,7 @@ probability about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEPARATORS = bytes([0x20, *range(0x09, 0x0E)])
-CHUNK = 1 << 21            # bytes hashed at a time
-SLICE_BYTES = 8 << 20      # bytes of text handled at a time inside an Arrow batch
+CHUNK = 1 << 18            # bytes hashed at a time
+SLICE_BYTES = 2 << 20      # bytes of text handled at a time inside an Arrow batch
 
 U64 = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -28,6 +29,26 @@ _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(SEPARATORS)] = False
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark reuses Python workers for the
+    tasks of later stages, so what a partition needed is given back at its end."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:      # a C library without it
+        pass
+
+
+def frugal(run):
+    """``run`` over a partition's batches, giving memory back at the end."""
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return through
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection that spreads every input bit."""
     x = x ^ (x >> U64(30))
