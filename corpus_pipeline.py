@@ -15,7 +15,8 @@ from ledgerwatch.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identified language go."""
+    """Documents whose words are of no language rather than another go; a
+    missing lang is filled."""
     return langid.identified(docs)
 
 
@@ -26,9 +27,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles,
-    similarity of 0.8 or more) stays."""
-    lost = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    similarity of 0.8 or more) stays. Rows get numbers of their own, written so
+    that they hold, and are compared and removed by those: rows that share a
+    doc_id, or have none, are documents like others."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    numbered = materialize(docs.select(F.monotonically_increasing_id().alias("number"), row), "numbered")
+    texts = numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))
+    lost = minhash.near_duplicates(texts, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("number"))
+    return numbered.join(lost, "number", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
