@@ -5,12 +5,15 @@ steps work on the (small) aggregated rows."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import params as P
 from ..functions.numeric import round_to
+from ..session import materialize
 from .evaluation import confusion_counts, ratio
 
 
@@ -116,23 +119,61 @@ def volume_summary(hourly: DataFrame) -> DataFrame:
              F.col("_peak.h").alias("peak_hour_start"), F.col("_peak.volume").alias("peak_volume"))
 
 
+QUANTILE_BINS = 4096       # of a round of selection
+QUANTILE_LEFT = 65_536     # candidates left that one task sorts
+
+
+def _kth(values: DataFrame, k: int, lo: float, hi: float) -> float:
+    """The k-th smallest (from 0) of the finite doubles ``v`` of ``values``,
+    which lie in [lo, hi]: each round counts equal bins of the range and goes on
+    with the least and largest value of the bin that holds the k-th."""
+    while lo < hi:
+        inside = values.where(F.col("v").between(lo, hi))
+        # halves keep the width of any two finite doubles finite
+        share = (F.col("v") / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else F.when(F.col("v") > lo, 1.0).otherwise(0.0)
+        bins = inside.groupBy(F.least(F.floor(share * QUANTILE_BINS), F.lit(QUANTILE_BINS - 1)).alias("b")).agg(
+            F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for b in sorted(bins.collect(), key=lambda r: r["b"]):       # at most QUANTILE_BINS rows
+            if k < b["n"]:
+                break
+            k -= b["n"]
+        lo, hi = b["lo"], b["hi"]
+        if b["n"] <= QUANTILE_LEFT and lo < hi:
+            left = values.where(F.col("v").between(lo, hi)).groupBy("v").agg(F.count("*").alias("n")).selectExpr("v", "sum(n) over (order by v) as upto")
+            return left.where(F.col("upto") > k).agg(F.min("v")).first()[0]
+    return lo
+
+
 def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
-    """One row ``value``: the continuous (linearly interpolated) quantile,
-    exact. Rows are reduced to (value, count) by partial aggregation; the
-    ordered pass then runs over distinct values only (integer milliseconds
-    here, so their number is bounded by the latency range), never over all
-    rows in one task."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy(col)
-    c = counts.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("_n", F.sum("_c").over(Window.partitionBy(F.lit(1))))
-    h = (F.col("_n") - 1) * F.lit(q)
-    lo_k, hi_k = F.floor(h), F.ceil(h)
-    agg = c.agg(F.min(F.when(F.col("_cum") > lo_k, F.col(col))).alias("_lo"),
-                F.min(F.when(F.col("_cum") > hi_k, F.col(col))).alias("_hi"),
-                F.max(h).alias("_h"))
-    frac = F.col("_h") - F.floor(F.col("_h"))
-    return agg.select((F.col("_lo").cast("double") + frac * (F.col("_hi") - F.col("_lo"))).alias("value"))
+    """One row ``value``: the continuous (linearly interpolated) quantile of a
+    numeric column read as doubles, exact; nulls don't count, NaN is the largest
+    value, the quantile of nothing is null.
+
+    Selection by repeated histograms: every round is a partial aggregation into
+    at most 4,096 bins, and no task orders more than 65,536 values. The column
+    is written once, as several rounds read it."""
+    spark = df.sparkSession
+    values = materialize(df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v")), "values")
+    finite = ~F.isnan("v") & (F.abs("v") < float("inf"))
+    st = values.agg(F.count("*").alias("n"), F.count_if(F.col("v") == float("-inf")).alias("down"), F.count_if(finite).alias("finite"),
+                    F.count_if(F.col("v") == float("inf")).alias("up"), F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi")).first()
+    if not st["n"]:
+        return spark.createDataFrame([(None,)], "value double")
+
+    def at(k: int) -> float:
+        if k < st["down"]:
+            return float("-inf")
+        if k < st["down"] + st["finite"]:
+            return _kth(values.where(finite), k - st["down"], st["lo"], st["hi"])
+        return float("inf") if k < st["down"] + st["finite"] + st["up"] else float("nan")
+
+    h = (st["n"] - 1) * q
+    low = at(math.floor(h))
+    value = low
+    if h > math.floor(h):
+        high = at(math.floor(h) + 1)
+        value = low if low == high else low + (h - math.floor(h)) * (high - low)
+    return spark.createDataFrame([(float(value),)], "value double")
 
 
 def sla_compliance(scored: DataFrame, latency: str = "processing_time_ms", target: float = P.SLA_TARGET_MS,

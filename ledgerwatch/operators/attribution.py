@@ -1,25 +1,37 @@
-"""M7: exact path-dependent tree attribution (TreeSHAP) of a Spark random
-forest, for a bounded sample of rows.
-
-The forest's node table is read back from the saved model with Spark and
-grouped by tree; each tree is explained in ``applyInPandas`` for all sample
-rows at once (the recursion is the same for every row, only the hot/cold
-branch indicators differ, so the path weights are NumPy vectors over rows).
-Work is parallel over trees; the sample is a K8 sample of at most a few
-hundred rows, broadcast. Per-tree values are averaged by a Spark
-aggregation: Σ phi + base value = the forest's class-1 probability.
+"""M7: exact path-dependent tree attribution (TreeSHAP values) of a Spark
+random forest, for any number of rows.
+
+A leaf is a box: an interval per feature, from the thresholds on its path, and
+per feature the share of training weight that follows the path at that
+feature's splits. A row's attribution at a leaf is a Shapley value over which
+features are known; written as an integral over the share t of known features,
+
+    phi_f = value * (in_f - share_f) * integral prod_{j != f} (share_j (1 - t) + in_j t) dt,
+
+with in_j = 1 where the row's value lies in the leaf's interval. The integrand
+is a polynomial of lower degree than there are features, so a few Gauss-Legendre
+points give it exactly. All of it is products over (row, leaf, feature) arrays.
+
+The leaves of the forest are broadcast, in groups of bounded size, and rows are
+explained where they lie: the work is parallel over rows and no row reaches the
+driver. Sum of phi + base value = the forest's class-1 probability.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
-MAX_SAMPLE_ROWS = 1000
+GROUP_LEAVES = 1 << 17       # leaves broadcast together (about 150 bytes each per feature)
+CELLS = 1 << 21              # (row, leaf, feature) cells worked on at a time
 
 
 def _tree_arrays(pdf: pd.DataFrame):
@@ -42,85 +54,62 @@ def _tree_arrays(pdf: pd.DataFrame):
     return left, right, feat, thr, cover, value
 
 
+class Leaves:
+    """The leaves of one tree: bounds and shares by feature, and values."""
+
+    def __init__(self, left, right, feat, thr, cover, value, features: int):
+        rows = []
+
+        def walk(j: int, low: np.ndarray, high: np.ndarray, share: np.ndarray) -> None:
+            if left[j] < 0:
+                rows.append((low, high, share, value[j], cover[j] / cover[0] if cover[0] > 0 else 0.0))
+                return
+            f = feat[j]
+            for child, below in ((left[j], True), (right[j], False)):
+                lo, hi, part = low.copy(), high.copy(), share.copy()
+                if below:
+                    hi[f] = min(hi[f], thr[j])
+                else:
+                    lo[f] = max(lo[f], thr[j])
+                part[f] *= cover[child] / cover[j] if cover[j] > 0 else 0.0
+                walk(child, lo, hi, part)
+
+        walk(0, np.full(features, -np.inf), np.full(features, np.inf), np.ones(features))
+        self.low, self.high, self.share, self.value, weight = (np.array(x) for x in zip(*rows))
+        self.expected = float((weight * self.value).sum())
+
+    def inside(self, x: np.ndarray) -> np.ndarray:
+        """[row, leaf, feature]; a missing value goes right, as in the forest."""
+        above = ~(x[:, None, :] <= self.low) | np.isneginf(self.low)
+        return above & ((x[:, None, :] <= self.high) | np.isposinf(self.high))
+
+    def phi(self, x: np.ndarray) -> np.ndarray:
+        features = x.shape[1]
+        points, weights = np.polynomial.legendre.leggauss(max(1, -(-features // 2)))
+        out = np.zeros(x.shape)
+        step = max(1, CELLS // (len(self.value) * features))
+        for at in range(0, len(x), step):
+            inside = self.inside(x[at: at + step])
+            push = inside - self.share
+            for t, w in zip((points + 1) / 2, weights / 2):
+                factor = self.share * (1 - t) + inside * t
+                # shares of 0 come from splits that no training weight passed; keep the division defined
+                safe = np.where(factor > 0, factor, 1e-300)
+                whole = safe.prod(axis=2) * (w * self.value)
+                out[at: at + step] += np.einsum("rl,rlf->rf", whole, push / safe)
+        return out
+
+
 def tree_shap(left, right, feat, thr, cover, value, X: np.ndarray) -> tuple[np.ndarray, float]:
-    """Path-dependent TreeSHAP of one tree for all rows of ``X`` at once.
-    Returns (phi of shape rows × features, expected value)."""
-    n_rows, n_feat = X.shape
-    phi = np.zeros((n_rows, n_feat))
-
-    def extend(m, pz, po, pi):
-        depth = len(m)
-        m.append([pi, pz, po, np.ones(n_rows) if depth == 0 else np.zeros(n_rows)])
-        for i in range(depth - 1, -1, -1):
-            m[i + 1][3] = m[i + 1][3] + po * m[i][3] * (i + 1) / (depth + 1)
-            m[i][3] = pz * m[i][3] * (depth - i) / (depth + 1)
-
-    def unwind(m, i):
-        last = len(m) - 1
-        o, z = m[i][2], m[i][1]
-        hot = o != 0
-        o_safe = np.where(hot, o, 1.0)
-        carry = m[last][3].copy()
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for j in range(last - 1, -1, -1):
-                t = m[j][3]
-                w_hot = carry * (last + 1) / ((j + 1) * o_safe)
-                w_cold = t * (last + 1) / (z * (last - j)) if z != 0 else np.zeros(n_rows)
-                carry = np.where(hot, t - w_hot * z * (last - j) / (last + 1), carry)
-                m[j][3] = np.where(hot, w_hot, w_cold)
-        for j in range(i, last):
-            m[j][0], m[j][1], m[j][2] = m[j + 1][0], m[j + 1][1], m[j + 1][2]
-        m.pop()
-
-    def unwound_sum(m, i):
-        last = len(m) - 1
-        o, z = m[i][2], m[i][1]
-        hot = o != 0
-        o_safe = np.where(hot, o, 1.0)
-        carry = m[last][3]
-        total = np.zeros(n_rows)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for j in range(last - 1, -1, -1):
-                t_hot = carry / ((j + 1) * o_safe) * (last + 1)
-                t_cold = m[j][3] / (z * (last - j)) * (last + 1) if z != 0 else np.zeros(n_rows)
-                total = total + np.where(hot, t_hot, t_cold)
-                carry = np.where(hot, m[j][3] - t_hot * z * (last - j) / (last + 1), carry)
-        return total
-
-    def recurse(j, m, pz, po, pi):
-        m = [[e[0], e[1], e[2], e[3].copy()] for e in m]
-        extend(m, pz, po, pi)
-        if left[j] < 0:
-            for i in range(1, len(m)):
-                w = unwound_sum(m, i)
-                phi[:, m[i][0]] += w * (m[i][2] - m[i][1]) * value[j]
-            return
-        d = feat[j]
-        go_left = X[:, d] <= thr[j]
-        iz, io = 1.0, np.ones(n_rows)
-        for k in range(1, len(m)):
-            if m[k][0] == d:
-                iz, io = m[k][1], m[k][2]
-                unwind(m, k)
-                break
-        for child, hot in ((left[j], go_left), (right[j], ~go_left)):
-            frac = cover[child] / cover[j] if cover[j] > 0 else 0.0
-            recurse(child, m, iz * frac, io * hot.astype(float), d)
-
-    recurse(0, [], 1.0, np.ones(n_rows), -1)
-    leaves = left < 0
-    expected = float((cover[leaves] / cover[0] * value[leaves]).sum()) if cover[0] > 0 else 0.0
-    return phi, expected
-
-
-def forest_attribution(rf_model, sample: DataFrame, features: list[str], id_col: str = "transaction_id") -> DataFrame:
-    """Long form (``id_col``, feature, phi) plus one ``feature='base_value'``
-    row per id, averaged over the trees of ``rf_model``.
+    """Attribution of one tree for all rows of ``X``: (phi of shape rows x
+    features, expected value)."""
+    leaves = Leaves(left, right, feat, thr, cover, value, X.shape[1])
+    return leaves.phi(X), leaves.expected
 
-    ``sample`` must be bounded (at most ``MAX_SAMPLE_ROWS`` rows, e.g. from
-    ``bounded_sample``); it is broadcast to the per-tree tasks.
-    """
-    spark = sample.sparkSession
+
+def forest_leaves(rf_model: RandomForestClassificationModel, spark, features: int) -> Iterator[list[Leaves]]:
+    """The trees of a forest, in groups of about GROUP_LEAVES leaves, read back
+    from the saved model; the driver holds one group at a time."""
     path = scratch_path(spark, "forest")
     rf_model.write().save(path)
     nodes = spark.read.parquet(path + "/data").select(
@@ -128,24 +117,49 @@ def forest_attribution(rf_model, sample: DataFrame, features: list[str], id_col:
         F.col("nodeData.leftChild").alias("leftChild"), F.col("nodeData.rightChild").alias("rightChild"),
         F.col("nodeData.split.featureIndex").alias("featureIndex"),
         F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"))
-    rows = sample.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]).limit(MAX_SAMPLE_ROWS + 1).collect()
-    if len(rows) > MAX_SAMPLE_ROWS:
-        raise ValueError(f"attribution sample larger than {MAX_SAMPLE_ROWS} rows")
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    X = np.array([[np.nan if v is None else v for v in r[1:]] for r in rows], dtype=float).reshape(len(rows), len(features))
-    bc = spark.sparkContext.broadcast((ids, X))
-    n_feat = len(features)
-
-    def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids_, X_ = bc.value
-        phi, expected = tree_shap(*_tree_arrays(pdf), X_)
-        out_ids = np.repeat(ids_, n_feat + 1)
-        out_f = np.tile(np.arange(-1, n_feat), len(ids_))
-        vals = np.concatenate([np.full((len(ids_), 1), expected), phi], axis=1).reshape(-1)
-        return pd.DataFrame({id_col: out_ids, "feature_index": out_f.astype(np.int32), "phi": vals})
-
-    per = nodes.groupBy("treeID").applyInPandas(per_tree, schema=f"{id_col} long, feature_index int, phi double")
-    n_trees = float(rf_model.getNumTrees)
+    sizes = nodes.where("leftChild < 0").groupBy("treeID").agg(F.count("*").alias("n")).orderBy("treeID").collect()      # one row per tree
+    group, held = [], 0
+    for r in [*sizes, None]:
+        if group and (r is None or held + r["n"] > GROUP_LEAVES):
+            table = nodes.where(F.col("treeID").between(group[0], group[-1])).toPandas()
+            yield [Leaves(*_tree_arrays(tree), features) for _, tree in table.groupby("treeID")]
+            group, held = [], 0
+        if r is not None:
+            group.append(r["treeID"])
+            held += r["n"]
+
+
+def _explain(shared, trees: int, features: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = shared.value
+        for batch in batches:
+            x = np.stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(len(features))], axis=1).astype(float)
+            phi = sum(tree.phi(x) for tree in group) / trees
+            base = sum(tree.expected for tree in group) / trees
+            whole = np.concatenate([np.full((len(x), 1), base), phi], axis=1)
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * whole.shape[1]), pa.array(whole.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), values], ["_row", "_id", "phi"])
+    return run
+
+
+def forest_attribution(rf_model, rows: DataFrame, features: list[str], id_col: str = "transaction_id") -> DataFrame:
+    """Long form (``id_col``, feature, phi) plus one ``feature='base_value'``
+    row per row of ``rows``, averaged over the trees of ``rf_model``.
+
+    Every row is explained, in place: a forest of up to GROUP_LEAVES leaves
+    needs one pass and no shuffle. A larger one takes a pass per group of trees
+    over the written rows, whose partial sums are added by row number. Missing
+    feature values (null or NaN) go right at each split, as in the forest."""
+    spark = rows.sparkSession
+    kind = dict(rows.dtypes)[id_col]
+    table = materialize(rows.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"),
+                                    *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)]), "explained")
+    passes = [table.mapInArrow(_explain(spark.sparkContext.broadcast(group), rf_model.getNumTrees, features), f"_row long, _id {kind}, phi array<double>")
+              for group in forest_leaves(rf_model, spark, len(features))]
+    whole = passes[0]
+    if len(passes) > 1:
+        for more in passes[1:]:
+            whole = whole.unionByName(more)
+        whole = whole.groupBy("_row").agg(F.first("_id").alias("_id"), F.array(*[F.sum(F.col("phi")[i]) for i in range(len(features) + 1)]).alias("phi"))
     names = F.array(F.lit("base_value"), *[F.lit(c) for c in features])
-    return per.groupBy(id_col, "feature_index").agg((F.sum("phi") / n_trees).alias("phi")).select(
-        id_col, F.element_at(names, F.col("feature_index") + 2).alias("feature"), "phi")
+    return whole.select(F.col("_id").alias(id_col), F.explode(F.arrays_zip(names.alias("feature"), "phi")).alias("_p")).select(id_col, "_p.feature", "_p.phi")

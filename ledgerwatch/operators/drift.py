@@ -8,12 +8,13 @@ one-row aggregate broadcast to every task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import params as P
-from .evaluation import classification_metrics
+from ..sources import versions as V
+from .evaluation import confusion_counts, ratio
 
 
 def baseline_edges(baseline: DataFrame, col: str = "score") -> DataFrame:
@@ -91,18 +92,76 @@ def kl_divergence(baseline: DataFrame, current: DataFrame, col: str = "score", b
     return j.groupBy(*by).agg(F.sum(F.col("_p") * F.ln(F.col("_p") / F.col("_q"))).alias("kl_divergence"))
 
 
+def bin_counts(df: DataFrame, edges: DataFrame, col: str = "score", by: list[str] | None = None, extra: list | None = None) -> DataFrame:
+    """One row per group: total (values, out-of-range ones included), sum, and
+    bins, the counts of KL_BINS equal-width bins between the edges. Rows of
+    several tables with the same edges add up, bin by bin (see ``merged``); PSI's
+    bins are pairs of these. One partial aggregation."""
+    binned = with_bin(df, edges, col, P.KL_BINS)
+    return binned.groupBy(*(by or [])).agg(
+        F.count(col).alias("total"), F.sum(col).alias("sum"),
+        F.array(*[F.count_if(F.col("bin") == i) for i in range(P.KL_BINS)]).alias("bins"), *(extra or []))
+
+
+def merged(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Rows of ``bin_counts`` added up over groups, batches or days."""
+    return counts.groupBy(*(by or [])).agg(F.sum("total").alias("total"), F.sum("sum").alias("sum"),
+                                           F.array(*[F.sum(F.col("bins")[i]) for i in range(P.KL_BINS)]).alias("bins"))
+
+
+def baseline_counts(baseline: DataFrame, col: str = "score") -> DataFrame:
+    """The baseline as one row: lo, hi, n_base, b_total, b_sum, b_bins. This is
+    all that later comparisons read of it, and what a baseline store keeps."""
+    edges = baseline_edges(baseline, col)
+    counts = bin_counts(baseline, edges, col).select(F.col("total").alias("b_total"), F.col("sum").alias("b_sum"), F.col("bins").alias("b_bins"))
+    return edges.crossJoin(F.broadcast(counts))
+
+
+def _total(terms: Column) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+
+
+def _pairs(bins: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(P.KL_BINS // 2 - 1)), lambda i: F.get(bins, 2 * i) + F.get(bins, 2 * i + 1))
+
+
+def with_drift(counts: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows of ``bin_counts`` with psi and kl_divergence against a one-row
+    ``baseline_counts``; null without values (psi) or values in range (KL)."""
+    b, c = F.col("b_bins"), F.col("bins")
+
+    def psi_term(n: Column, m: Column) -> Column:
+        now, then = (n + P.PSI_EPS) / F.col("total"), (m + P.PSI_EPS) / F.col("b_total")
+        return (now - then) * F.ln(now / then)
+
+    def smooth(bins: Column) -> Column:
+        inside = F.aggregate(bins, F.lit(0).cast("long"), lambda acc, n: acc + n)
+        return F.when(inside > 0, F.transform(bins, lambda n: n / (inside * ((F.col("hi") - F.col("lo")) / P.KL_BINS)) + P.KL_EPS))
+
+    def kl_term(p: Column, q: Column) -> Column:
+        p, q = p / _total(F.col("_p")), q / _total(F.col("_q"))
+        return p * F.ln(p / q)
+
+    both = counts.crossJoin(F.broadcast(base)).withColumn("_p", smooth(c)).withColumn("_q", smooth(b))
+    psi_value = F.when((F.col("total") > 0) & (F.col("b_total") > 0), _total(F.zip_with(_pairs(c), _pairs(b), psi_term)))
+    return both.withColumn("psi", psi_value).withColumn("kl_divergence", _total(F.zip_with("_p", "_q", kl_term))).drop("_p", "_q")
+
+
 def drift_report(scored: DataFrame, col: str = "score", cohort: str = "cohort",
                  baseline: str = "baseline", current: str = "current") -> DataFrame:
-    """A16 + G5 + G6: one report row comparing the current cohort's scores
-    with the baseline cohort's."""
-    b = scored.where(F.col(cohort) == baseline)
-    c = scored.where(F.col(cohort) == current)
-    means = scored.agg(F.avg(F.when(F.col(cohort) == baseline, F.col(col))).alias("baseline_mean"),
-                       F.avg(F.when(F.col(cohort) == current, F.col(col))).alias("current_mean"))
-    m = classification_metrics(scored, by=[cohort]).agg(
-        F.max(F.when(F.col(cohort) == baseline, F.col("accuracy"))).alias("_ab"),
-        F.max(F.when(F.col(cohort) == current, F.col("accuracy"))).alias("_ac"))
-    rep = psi(b, c, col).crossJoin(kl_divergence(b, c, col)).crossJoin(means).crossJoin(m)
+    """A16 + G5 + G6: one report row comparing the current cohort's scores with
+    the baseline cohort's. Two passes: the baseline's edges, then bins, sums and
+    confusion counts of both cohorts in one aggregation."""
+    edges = baseline_edges(scored.where(F.col(cohort) == baseline), col)
+    both = bin_counts(scored.where(F.col(cohort).isin(baseline, current)), edges, col, [cohort], confusion_counts())
+    right = F.col("tn") + F.col("tp")
+    facts = F.struct("total", "sum", "bins", ratio(right, right + F.col("fp") + F.col("fn")).alias("accuracy"))
+    one = both.agg(F.max(F.when(F.col(cohort) == baseline, facts)).alias("_b"), F.max(F.when(F.col(cohort) == current, facts)).alias("_c"))
+    counts = one.select(F.coalesce("_c.total", F.lit(0)).alias("total"), F.col("_c.bins").alias("bins"),
+                        F.coalesce("_b.total", F.lit(0)).alias("b_total"), F.col("_b.bins").alias("b_bins"),
+                        F.try_divide("_b.sum", "_b.total").alias("baseline_mean"), F.try_divide("_c.sum", "_c.total").alias("current_mean"),
+                        F.col("_b.accuracy").alias("_ab"), F.col("_c.accuracy").alias("_ac"))
+    rep = with_drift(counts, edges)
     acc_drop = F.coalesce(F.col("_ab") - F.col("_ac"), F.lit(0.0))
     p, kl = F.coalesce(F.col("psi"), F.lit(0.0)), F.coalesce(F.col("kl_divergence"), F.lit(0.0))
     return rep.select(
@@ -123,19 +182,36 @@ def retrain_signal(report: DataFrame) -> DataFrame:
                          ((p > P.PSI_DRIFT) & ((drop > P.RETRAIN_ACCURACY_DROP) | (kl > P.RETRAIN_KL))).alias("should_retrain"))
 
 
+def severity(psi_value: Column) -> Column:
+    """G5."""
+    return F.when(psi_value > P.PSI_DRIFT, "HIGH").when(psi_value > P.PSI_MEDIUM, "MEDIUM").otherwise("LOW")
+
+
 def daily_drift_reports(scored: DataFrame, col: str = "score", ts: str = "transaction_timestamp",
                         cohort: str = "cohort", baseline: str = "baseline", current: str = "current") -> DataFrame:
     """The ``drift_reports`` table: one row per day of the current cohort,
-    PSI and KL of that day's scores against the whole baseline cohort."""
-    b = scored.where(F.col(cohort) == baseline)
-    c = scored.where(F.col(cohort) == current).withColumn("report_date", F.to_date(ts))
-    d = psi(b, c, col, by=["report_date"]).join(kl_divergence(b, c, col, by=["report_date"]), "report_date")
-    n = c.groupBy("report_date").agg(F.count(F.lit(1)).alias("n"), F.avg(col).alias("current_mean"))
-    return d.join(n, "report_date").select(
+    PSI and KL of that day's scores against the whole baseline cohort, which is
+    counted once."""
+    base = baseline_counts(scored.where(F.col(cohort) == baseline), col)
+    days = scored.where(F.col(cohort) == current).withColumn("report_date", F.to_date(ts))
+    counts = bin_counts(days, base.select("lo", "hi"), col, ["report_date"], [F.count(F.lit(1)).alias("n"), F.avg(col).alias("current_mean")])
+    return with_drift(counts, base).select(
         "report_date", F.concat(F.lit("drift_"), F.date_format("report_date", "yyyyMMdd")).alias("report_id"),
-        "n", "psi", "kl_divergence", "current_mean",
-        (F.col("psi") > P.PSI_DRIFT).alias("drift_detected"),
-        F.when(F.col("psi") > P.PSI_DRIFT, "HIGH").when(F.col("psi") > P.PSI_MEDIUM, "MEDIUM").otherwise("LOW").alias("severity"))
+        "n", "psi", "kl_divergence", "current_mean", (F.col("psi") > P.PSI_DRIFT).alias("drift_detected"), severity(F.col("psi")).alias("severity"))
+
+
+def drift_against_stored(scores: DataFrame, store: str, col: str = "score") -> DataFrame:
+    """One status row of ``scores`` against the baseline kept in ``store``
+    (see ``sources.versions``): a first run stores its own scores' counts as the
+    baseline, later runs compare with it; ``no_data`` without scores, which are
+    not stored either."""
+    spark = scores.sparkSession
+    if V.latest(spark, store) is None and scores.where(F.col(col).isNotNull()).isEmpty():
+        return spark.createDataFrame([(False, 0, None, None, "no_data")], "created boolean, n long, psi double, kl_divergence double, status string")
+    base, created = V.read_or_create(spark, store, lambda: baseline_counts(scores, col))
+    counts = bin_counts(scores, base.select("lo", "hi"), col)
+    status = (F.when(F.col("total") == 0, "no_data").when(F.lit(created), "baseline_stored").when(F.col("psi") > P.PSI_DRIFT, "drift").otherwise("ok"))
+    return with_drift(counts, base).select(F.lit(created).alias("created"), F.col("total").alias("n"), "psi", "kl_divergence", status.alias("status"))
 
 
 def drift_history(reports: DataFrame, n: int = 7) -> DataFrame:

@@ -6,11 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import params as P
-
-AUC_BUCKETS = 4096
+from .windows import prefix_sums
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -63,28 +61,14 @@ def roc_auc(df: DataFrame, y: str = "is_fraud", score: str = "score") -> DataFra
     """Exact ROC AUC (Mann–Whitney with mid-ranks for ties).
 
     Rows are first reduced to one row per distinct score (partial
-    aggregation). The count of negatives below each score is a prefix sum
-    split in two levels: coarse score buckets (at most ``2*AUC_BUCKETS+1``
-    rows, the only single-partition step) and a running sum inside each
-    bucket, so no step orders the whole table in one task.
+    aggregation). The count of negatives below each score is a distributed
+    prefix sum over ranges of scores that hold about equally many of them, so
+    no task orders the whole table, wherever the scores lie.
     """
-    d = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(score).agg(
+    d = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(score).alias("_score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
-    bucket = F.least(F.greatest(F.floor(F.col(score) * AUC_BUCKETS), F.lit(-AUC_BUCKETS)), F.lit(2 * AUC_BUCKETS))
-    d = d.withColumn("_b", bucket)
-    # One window stage per bucket: negatives strictly below inside the
-    # bucket, and the bucket's total (no second pass over the input).
-    part = Window.partitionBy("_b")
-    inside = d.select("_b", "pos", "neg",
-                      F.coalesce(F.sum("neg").over(part.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)),
-                                 F.lit(0)).alias("_neg_before_in"),
-                      F.sum("neg").over(part).alias("_bneg"))
-    bt = inside.groupBy("_b").agg(F.max("_bneg").alias("_bneg"))
-    # At most 3 · AUC_BUCKETS + 1 rows: the only single-partition step.
-    bt = bt.select("_b", F.coalesce(F.sum("_bneg").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                                    F.lit(0)).alias("_neg_before_b"))
-    d = inside.join(F.broadcast(bt), "_b")
-    lt = F.col("_neg_before_b") + F.col("_neg_before_in")
+    d = prefix_sums(d, [], [F.col("_score")], ["neg"], "auc")
+    lt = F.col("_before_neg")
     tot = d.agg(
         F.sum(F.col("pos").cast("double") * (lt.cast("double") + F.col("neg") * 0.5)).alias("_u"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

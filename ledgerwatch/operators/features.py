@@ -14,7 +14,7 @@ from . import windows as W
 KEY, TS, ID, AMT, MERCH = ("customer_id", "transaction_timestamp", "transaction_id",
                            "transaction_amount", "merchant_id")
 ROW = "_row_number"
-AMOUNT_DECIMAL = "decimal(38,8)"
+EXACT_BELOW = 1e9            # amounts below are summed as decimals; what a decimal can't hold is summed as a double
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
@@ -43,36 +43,60 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 def _by_heat(df: DataFrame, key: str, plain, split, hot_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
     """``plain`` (one shuffle) for the rows of ordinary keys and ``split`` for
-    those of keys with more than ``hot_rows`` rows, found by one partial
-    aggregation. Both give the same values. Rows without a key count as
-    ordinary."""
-    hot = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows).select(key)
+    those of keys with more than ``hot_rows`` rows (null a key like another),
+    found by one partial aggregation. Both give the same values, but for the
+    order in which doubles are added."""
+    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows).select("_hot")
     if hot.isEmpty():
         return plain(df)
-    return plain(df.join(hot, key, "left_anti")).unionByName(split(df.join(hot, key, "left_semi")))
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    return plain(df.join(hot, same, "left_anti")).unionByName(split(df.join(hot, same, "left_semi")))
+
+
+def _present(column: str) -> tuple[Column, str]:
+    return F.when(F.col(column).isNotNull(), 1).otherwise(0), "bigint"
+
+
+def _amount_measures(amount: str = AMT) -> dict[str, tuple[Column, str]]:
+    """Additive measures whose differences give a mean like that of plain
+    doubles: a decimal sum, the doubles' rest beyond it, and counts of amounts,
+    NaN and either infinity."""
+    x = F.col(amount).cast("double")
+    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    exact = F.when(finite & (F.abs(x) < EXACT_BELOW), x).otherwise(F.lit(0.0)).cast("decimal(38,18)")
+    return {
+        "amt": (exact, "decimal(38,18)"), "rest": (F.when(finite, x - exact.cast("double")).otherwise(F.lit(0.0)), "double"),
+        "namt": _present(amount), "nan": (F.when(F.isnan(x), 1).otherwise(0), "bigint"),
+        "up": (F.when(x == float("inf"), 1).otherwise(0), "bigint"), "down": (F.when(x == float("-inf"), 1).otherwise(0), "bigint"),
+    }
+
+
+def _mean_amount(suffix: str = "") -> Column:
+    """The mean from the sums of ``_amount_measures``; null without amounts."""
+    amt, rest, n, nan, up, down = (F.col(f"{m}{suffix}") for m in ("amt", "rest", "namt", "nan", "up", "down"))
+    mean = (F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan")).when(up > 0, float("inf")).when(down > 0, float("-inf"))
+            .otherwise((amt.cast("double") + rest) / n))
+    return F.when(n > 0, mean)
+
+
+def _trailing_measures() -> dict[str, tuple[Column, str]]:
+    return {"n": _present(ID), "nm": _present(MERCH), **_amount_measures()}
+
+
+def _trailing_split(df: DataFrame, sums) -> DataFrame:
+    df = _numbered(df)
+    narrow = sums(df).select(ROW, F.col("n_7d").alias("tx_count_7d"), _mean_amount("_30d").alias("avg_amount_30d"), F.col("nm_30d").alias("merchant_count_30d"))
+    return df.join(narrow, ROW, "left").drop(ROW)
+
+
+def _trailing_ranged(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    return _trailing_split(df, lambda d: W.trailing_ranged(d, key, ts, ROW, _trailing_measures(), {"7d": 7, "30d": 30}))
 
 
 def _trailing_bucketed(df: DataFrame, key: str = KEY, ts: str = TS, bucket_us: int | None = W.DEFAULT_BUCKET_US,
                        target_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
-    df = _numbered(df)
-    sums = W.trailing_sums(
-        df, key, ts, ROW,
-        measures={
-            "n": (F.when(F.col(ID).isNotNull(), 1).otherwise(0), "bigint"),
-            "amt": (F.coalesce(F.col(AMT), F.lit(0.0)), AMOUNT_DECIMAL),
-            "namt": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint"),
-            "nm": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint"),
-        },
-        spans_days={"7d": 7, "30d": 30},
-        bucket_us=bucket_us, target_rows=target_rows,
-    )
-    sums = sums.select(
-        ROW,
-        F.col("n_7d").alias("tx_count_7d"),
-        (F.col("amt_30d").cast("double") / F.when(F.col("namt_30d") > 0, F.col("namt_30d"))).alias("avg_amount_30d"),
-        F.col("nm_30d").alias("merchant_count_30d"),
-    )
-    return df.join(sums, ROW, "left").drop(ROW)
+    return _trailing_split(df, lambda d: W.trailing_sums(
+        d, key, ts, ROW, measures=_trailing_measures(), spans_days={"7d": 7, "30d": 30}, bucket_us=bucket_us, target_rows=target_rows))
 
 
 def trailing_features(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS,
@@ -81,13 +105,16 @@ def trailing_features(df: DataFrame, method: str = "auto", key: str = KEY, ts: s
     ``merchant_count_30d`` (W3's count) to every row.
 
     ``method="auto"`` (default) takes the plain single-Exchange window, and for
-    customers with more than ``hot_rows`` rows the split one, whose tasks stay
-    bounded; ``"window"`` and ``"bucketed"`` take one of them for all rows.
+    customers with more than ``hot_rows`` rows the ranged one, whose tasks stay
+    bounded even in a burst of one instant; ``"window"``, ``"ranged"`` and
+    ``"bucketed"`` (time buckets) take one of them for all rows.
     """
     if method == "auto":
-        return _by_heat(df, key, lambda d: _trailing_plain(d, key, ts), lambda d: _trailing_bucketed(d, key, ts, target_rows=hot_rows), hot_rows)
+        return _by_heat(df, key, lambda d: _trailing_plain(d, key, ts), lambda d: _trailing_ranged(d, key, ts), hot_rows)
     if method == "window":
         return _trailing_plain(df, key, ts)
+    if method == "ranged":
+        return _trailing_ranged(df, key, ts)
     if method == "bucketed":
         return _trailing_bucketed(df, key, ts)
     raise ValueError(f"unknown method {method!r}")
@@ -144,48 +171,38 @@ def scored_transactions(tx: DataFrame, method: str = "auto") -> DataFrame:
 
 # --- local-script variants -----------------------------------------------------
 
-def prior_mean_amount(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS) -> DataFrame:
+def prior_mean_amount(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS, hot_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
     """Mean of all earlier rows of the customer (order ts, id); the first
     row takes the customer's whole-history mean. Adds ``avg_amount_prior``."""
     if method == "auto":
-        return _by_heat(df, key, lambda d: prior_mean_amount(d, "window", key, ts), lambda d: prior_mean_amount(d, "bucketed", key, ts))
+        return _by_heat(df, key, lambda d: prior_mean_amount(d, "window", key, ts), lambda d: prior_mean_amount(d, "bucketed", key, ts), hot_rows)
     if method == "window":
         w = Window.partitionBy(key).orderBy(ts, ID).rowsBetween(Window.unboundedPreceding, -1)
         out = df.withColumn("_prior", F.avg(AMT).over(w)).withColumn("_cust_mean", F.avg(AMT).over(Window.partitionBy(key)))
         return out.withColumn("avg_amount_prior", F.coalesce("_prior", "_cust_mean")).drop("_prior", "_cust_mean")
     df = _numbered(df)
-    sums = W.running_sums(
-        df, key, [ts, ID, ROW], ts, ROW,
-        measures={"_s": (F.coalesce(F.col(AMT), F.lit(0.0)), AMOUNT_DECIMAL),
-                  "_c": (F.when(F.col(AMT).isNotNull(), 1).otherwise(0), "bigint")},
-        include_current=False, with_key_totals=True,
-    )
-    prior = F.col("_s").cast("double") / F.when(F.col("_c") > 0, F.col("_c"))
-    whole = F.col("_s_all").cast("double") / F.when(F.col("_c_all") > 0, F.col("_c_all"))
-    sums = sums.select(ROW, F.coalesce(prior, whole).alias("avg_amount_prior"))
+    sums = W.running_ranged(df, key, [ts, ID, ROW], ROW, _amount_measures(), include_current=False)
+    sums = sums.select(ROW, F.coalesce(_mean_amount(), _mean_amount("_all")).alias("avg_amount_prior"))
     return df.join(sums, ROW, "left").drop(ROW)
 
 
-def first_activity(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS) -> DataFrame:
+def first_activity(df: DataFrame, method: str = "auto", key: str = KEY, ts: str = TS, hot_rows: int = W.TARGET_ROWS_PER_BUCKET) -> DataFrame:
     """1 where the running count of non-null merchants (order ts, id)
     equals one. Adds ``is_first_activity``."""
     if method == "auto":
-        return _by_heat(df, key, lambda d: first_activity(d, "window", key, ts), lambda d: first_activity(d, "bucketed", key, ts))
+        return _by_heat(df, key, lambda d: first_activity(d, "window", key, ts), lambda d: first_activity(d, "bucketed", key, ts), hot_rows)
     if method == "window":
         w = Window.partitionBy(key).orderBy(ts, ID).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn("is_first_activity", (F.count(MERCH).over(w) == 1).cast("int"))
     df = _numbered(df)
-    sums = W.running_sums(
-        df, key, [ts, ID, ROW], ts, ROW,
-        measures={"_c": (F.when(F.col(MERCH).isNotNull(), 1).otherwise(0), "bigint")},
-        include_current=True,
-    )
+    sums = W.running_ranged(df, key, [ts, ID, ROW], ROW, {"_c": _present(MERCH)}, include_current=True).select(ROW, "_c")
     return df.join(sums, ROW, "left").withColumn("is_first_activity", (F.col("_c") == 1).cast("int")).drop("_c", ROW)
 
 
 def first_at_merchant(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """1 for the customer's first transaction at each merchant (as the
-    feature is described). Adds ``is_first_at_merchant``."""
-    firsts = W.first_per_group(df, [key, MERCH], ts, ID)
-    return df.join(firsts, ID, "left") \
-        .withColumn("is_first_at_merchant", F.coalesce("is_first", F.lit(0))).drop("is_first")
+    feature is described; order ts, id), for one row only where these repeat.
+    Adds ``is_first_at_merchant``."""
+    df = _numbered(df)
+    firsts = df.groupBy(key, MERCH).agg(F.min(F.struct(ts, ID, ROW)).alias("_m")).select(F.col(f"_m.{ROW}").alias(ROW), F.lit(1).alias("is_first"))
+    return df.join(firsts, ROW, "left").withColumn("is_first_at_merchant", F.coalesce("is_first", F.lit(0))).drop("is_first", ROW)

@@ -4,7 +4,8 @@ overlaid on defaults)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,6 +36,33 @@ def run_log_from_scored(scored: DataFrame, ts: str = "transaction_timestamp", pa
         F.when(F.dayofmonth("_day") % 7 == 0, F.lit(None).cast("double")).otherwise(kwh).alias("energy_kwh"))
 
 
+RUN_SCHEMA = ("run_id string, start_time timestamp_ntz, records long, duration_seconds double, parallelism int, "
+              "accuracy double, false_positive_rate double, f1_score double, energy_kwh double")
+
+
+def training_run(metrics: DataFrame, run_id: str, start_time, seconds: float, parallelism: int) -> DataFrame:
+    """The register's row of one training run, from its metrics row
+    (n, accuracy, false_positive_rate, f1_score) and its measured time."""
+    return metrics.select(
+        F.lit(run_id).alias("run_id"), F.lit(start_time).cast("timestamp_ntz").alias("start_time"), F.col("n").cast("long").alias("records"),
+        F.lit(float(seconds)).alias("duration_seconds"), F.lit(parallelism).cast("int").alias("parallelism"),
+        "accuracy", "false_positive_rate", "f1_score", F.lit(float(energy_kwh(seconds, parallelism))).alias("energy_kwh"))
+
+
+def append_run(run: DataFrame, register: str) -> None:
+    """Append to the run register; each run is a file of its own, so
+    writers don't meet."""
+    run.coalesce(1).write.mode("append").parquet(register)
+
+
+def read_runs(spark: SparkSession, register: str) -> DataFrame:
+    """The run register; empty before the first run."""
+    try:
+        return spark.read.schema(RUN_SCHEMA).parquet(register)
+    except AnalysisException:
+        return spark.createDataFrame([], RUN_SCHEMA)
+
+
 def green_run_metrics(runs: DataFrame) -> DataFrame:
     """A30 per run: energy, CO2 grams, records per kWh (kWh floored at 0.001)."""
     kwh = energy_kwh(F.col("duration_seconds"), F.col("parallelism"))

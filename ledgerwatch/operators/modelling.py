@@ -10,12 +10,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import params as P
 from ..functions.numeric import round_to
+from ..sources import versions as V
 from .evaluation import classification_metrics, roc_auc
 
 SPLIT_MODULUS = 104729
@@ -104,6 +105,19 @@ def score_batch(model: PipelineModel, df: DataFrame, version: str = "forest-v1")
                       F.lit(version).alias("model_version"), p.alias("score"))
 
 
+def publish_model(spark: SparkSession, model: PipelineModel, store: str, name: str = "forest", **facts) -> int:
+    """Save a fitted pipeline as the next version of the model store; scorers
+    see it once its marker is created."""
+    return V.commit(spark, f"{store}/{name}", lambda folder: model.write().save(folder), facts)
+
+
+def load_model(spark: SparkSession, store: str, name: str = "forest", version: int | None = None) -> tuple[PipelineModel, str] | None:
+    """(the saved pipeline, ``name-v<version>``): the newest version or the one
+    named; None where nothing was published."""
+    found = V.latest(spark, f"{store}/{name}") if version is None else (version, V.note(spark, f"{store}/{name}", version))
+    return None if found is None else (PipelineModel.load(found[1]["folder"]), f"{name}-v{found[0]}")
+
+
 def evaluate(scored: DataFrame) -> DataFrame:
     """Accuracy, FPR, F1, precision, recall and ROC AUC of a scored frame."""
     m = classification_metrics(scored)

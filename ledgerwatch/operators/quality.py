@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..sources import versions as V
 
 
 def _sql_str(s: str) -> str:
@@ -157,6 +158,18 @@ def mean_shift(df: DataFrame, amount: str = "transaction_amount", cohort: str =
                                  (shift > P.MEAN_SHIFT_LIMIT).alias("warning"))
 
 
+def mean_shift_against_stored(df: DataFrame, store: str, amount: str = "transaction_amount") -> DataFrame:
+    """V4 + J5: the mean amount against the statistics kept in ``store``: a
+    first run saves its own (no shift then), later runs compare with them. No
+    shift either where a mean is missing or the stored one is 0."""
+    stats = df.agg(F.avg(amount).alias("mean"), F.stddev_samp(amount).alias("std"))
+    base, created = V.read_or_create(df.sparkSession, store, lambda: stats)
+    both = base.select(F.col("mean").alias("baseline_mean"), F.col("std").alias("baseline_std")).crossJoin(stats.select(F.col("mean").alias("current_mean")))
+    shift = F.when(~F.lit(created), F.try_divide(F.abs(F.col("current_mean") - F.col("baseline_mean")), F.col("baseline_mean")))
+    return both.select(F.lit(created).alias("created"), "baseline_mean", "baseline_std", "current_mean", shift.alias("shift"),
+                       F.coalesce(shift > P.MEAN_SHIFT_LIMIT, F.lit(False)).alias("warning"))
+
+
 def required_columns(df: DataFrame) -> DataFrame:
     """V1: for each policy's required column: present, and its non-null count
     over the whole table (0 when absent)."""

@@ -10,14 +10,16 @@ every frame is answered as a difference of prefix sums:
          + (running sum inside bucket(x) up to x)        -- window per (key, bucket)
 
 The probe point ``t - span - 1us`` is answered in its own bucket, next to the
-rows it has to count, and joined back to its row by id. Only additive
-measures (counts, exact decimal sums) are used, so the result equals the
-plain window exactly.
+rows it has to count, and joined back to its row by the row's written number.
 
 Bucket widths adapt per key: an ordinary key is one bucket (the work is
 then that of a plain window); a key with more than ``target_rows`` rows is
-cut into power-of-two time buckets of about ``target_rows`` rows, so tasks
-stay bounded however hot a key is.
+cut into power-of-two time buckets of about ``target_rows`` rows.
+
+Time buckets can't cut a burst of one instant, so hot keys take
+``trailing_ranged`` and ``running_ranged`` instead: points are range-sorted by
+(key, time, row), whose boundaries Spark draws from row quantiles, every range
+sums its own rows, and range totals (a row per range and key) are added.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
+
 US_PER_DAY = 86_400_000_000
 # Bucket width of an ordinary key: one bucket spans its whole history.
 WHOLE_KEY_US = 1 << 52
@@ -130,57 +134,63 @@ def trailing_sums(
     return prefix.groupBy(F.col("_id").alias(row_id)).agg(*aggs)
 
 
-def running_sums(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    ts: str,
-    row_id: str,
-    measures: dict[str, Column],
-    include_current: bool,
-    bucket_us: int | None = DEFAULT_BUCKET_US,
-    with_key_totals: bool = False,
-    target_rows: int = TARGET_ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Narrow ``(row_id, <measure> ...)``: running sum per key over rows
-    ordered by ``order`` (the first being ``ts``), ROWS frame from the start
-    up to the current row (``include_current``) or the row before it.
-    ``with_key_totals`` adds ``<measure>_all``, the key's whole total, taken
-    from the small per-bucket table (no join of rows on the key)."""
+def ranged(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` range-sorted by ``order`` and written, with ``_spot``, which
+    grows along that order, and ``_part``, the range of a row. Equal rows of the
+    order share a range, so end it with a number of the row."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_spot", F.monotonically_increasing_id())
+    return materialize(rows.withColumn("_part", F.shiftright("_spot", 33)), name)
+
+
+def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], measures: list[str], name: str = "prefix") -> DataFrame:
+    """``df`` with ``_before_<measure>``: the sum of each measure over the rows
+    of the same ``keys`` (null a key like another) earlier in ``order``.
+
+    Each range sums its own rows in order; the totals of earlier ranges, one row
+    per range and key, are added. No task sees more than one range, however many
+    rows a key or an instant has."""
+    rows = ranged(df, [F.col(k).asc_nulls_first() for k in keys] + order, name)
+    inside = Window.partitionBy("_part", *keys).orderBy("_spot").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("_part", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = {m: F.lit(0).cast(dict(df.dtypes)[m]) for m in measures}
+    base = totals.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         *[F.coalesce(F.sum(m).over(earlier), zero[m]).alias(f"_base_{m}") for m in measures])
+    rows = rows.withColumns({f"_before_{m}": F.coalesce(F.sum(m).over(inside), zero[m]) for m in measures})
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = rows.join(base if keys else F.broadcast(base), on)
+    return joined.withColumns({f"_before_{m}": F.col(f"_before_{m}") + F.col(f"_base_{m}") for m in measures}).drop(
+        "_p", "_part", "_spot", *[f"_k{i}" for i in range(len(keys))], *[f"_base_{m}" for m in measures])
+
+
+def trailing_ranged(df: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[Column, str]], spans_days: dict[str, int]) -> DataFrame:
+    """As ``trailing_sums``, for keys of any number of rows, bursts of one
+    instant and null keys. Rows without a time are each other's frame."""
+    names, us = list(measures), epoch_us(ts)
+    # own row before the probes of the same instant; without a time, edges come first of all
+    points = [F.struct(us.alias("us"), F.lit(0).alias("after"), F.lit("row").alias("kind")), F.struct(us.alias("us"), F.lit(1).alias("after"), F.lit("now").alias("kind"))]
+    points += [F.struct((us - F.lit(days * US_PER_DAY + 1)).alias("us"), F.when(us.isNull(), -1).otherwise(1).alias("after"), F.lit(suffix).alias("kind"))
+               for suffix, days in spans_days.items()]
+    rows = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[measures[m][0].cast(measures[m][1]).alias(m) for m in names], F.explode(F.array(*points)).alias("_p"))
+    rows = rows.select("_k", "_id", "_p.*", *[F.when(F.col("_p.kind") == "row", F.col(m)).otherwise(F.lit(0).cast(measures[m][1])).alias(m) for m in names])
+    summed = prefix_sums(rows, ["_k"], [F.col("us").asc_nulls_first(), F.col("after"), F.col("_id"), F.col("kind")], names, "points").where("kind <> 'row'")
+    out = []
+    for suffix in spans_days:
+        for m in names:
+            at = {kind: F.sum(F.when(F.col("kind") == kind, F.col(f"_before_{m}"))) for kind in ("now", suffix)}
+            out.append((at["now"] - at[suffix]).alias(f"{m}_{suffix}"))
+    return summed.groupBy(F.col("_id").alias(row_id)).agg(*out)
+
+
+def running_ranged(df: DataFrame, key: str, order: list[str], row_id: str, measures: dict[str, tuple[Column, str]], include_current: bool) -> DataFrame:
+    """As ``running_sums`` (0 where the frame is empty), for keys of any number
+    of rows; with ``<measure>_all``, the key's total."""
     names = list(measures)
-    df = with_width(df, key, epoch_us(ts), bucket_us, target_rows)
-    pts = df.select(
-        F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.floor(epoch_us(ts) / F.col("_w")).alias("_b"),
-        *[measures[m][0].cast(measures[m][1]).alias(m) for m in names],
-    )
-    end = 0 if include_current else -1
-    part = Window.partitionBy("_k", "_b")
-    w_in = part.orderBy(*[f"_o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, end)
-    inside = pts.select("_k", "_b", "_id", *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in names],
-                        *[F.sum(m).over(part).alias(f"_tot_{m}") for m in names])
-    totals = inside.groupBy("_k", "_b").agg(*[F.max(f"_tot_{m}").alias(m) for m in names])
-    w_before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        "_k", "_b",
-        *[F.sum(m).over(w_before).alias(f"_pre_{m}") for m in names],
-        *[F.sum(m).over(Window.partitionBy("_k")).alias(f"_all_{m}") for m in names],
-    )
-    out = inside.join(before, ["_k", "_b"], "left")
-    cols = []
-    for m in names:
-        a, b = F.col(f"_in_{m}"), F.col(f"_pre_{m}")
-        # Both parts null means no rows in the frame (SQL sum of nothing).
-        cols.append(F.when(a.isNull() & b.isNull(), F.lit(None))
-                    .otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).alias(m))
-    if with_key_totals:
-        cols += [F.col(f"_all_{m}").alias(f"{m}_all") for m in names]
-    return out.select(F.col("_id").alias(row_id), *cols)
-
-
-def first_per_group(df: DataFrame, group: list[str], ts: str, row_id: str) -> DataFrame:
-    """Narrow ``(row_id, is_first)``: 1 for the earliest row (by ``ts`` then
-    ``row_id``) of each group. Partial aggregation keeps hot groups cheap; no
-    per-group sort."""
-    firsts = df.groupBy(*group).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(row_id).alias("i"))).alias("_m"))
-    return firsts.select(F.col("_m.i").alias(row_id), F.lit(1).alias("is_first"))
+    rows = df.select(F.col(key).alias("_k"), F.col(row_id).alias("_id"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                     *[measures[m][0].cast(measures[m][1]).alias(m) for m in names])
+    summed = prefix_sums(rows, ["_k"], [F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))], names, "running")
+    whole = rows.groupBy(F.col("_k").alias("_key")).agg(*[F.sum(m).alias(f"{m}_all") for m in names])
+    here = {m: F.col(f"_before_{m}") + (F.col(m) if include_current else F.lit(0).cast(measures[m][1])) for m in names}
+    return summed.join(whole, F.col("_k").eqNullSafe(F.col("_key"))).select(F.col("_id").alias(row_id), *[here[m].alias(m) for m in names], *[f"{m}_all" for m in names])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as D
 from .. import params as P
+from ..session import scratch_path
 from . import base
 from .registry import register, rounded
 from .sqlbase import with_scored
@@ -170,3 +171,19 @@ def consecutive_drift(spark, sf):
 def drift_status_empty(spark, sf):
     """Per cohort, ``no_data`` when it holds no scores (``holdout`` here)."""
     return rounded(D.drift_status(base.scored_table(spark, sf), ["baseline", "current", "holdout"]))
+
+
+@register("stored_drift", with_scored(
+    "select 1 as run, true as created, (select count(*) from scored where cohort = 'baseline' and score is not null) as n, cast(0.0 as double) as psi, "
+    "cast(0.0 as double) as kl_divergence, 'baseline_stored' as status union all "
+    "select 2, false, (select count(*) from scored where cohort = 'current' and score is not null), round(psi, 6), round(kl_divergence, 6), "
+    f"case when psi > 0.25 then 'drift' else 'ok' end from ({PSI_BODY}) cross join ({kl_body()}) union all "
+    "select 3, false, 0, null, null, 'no_data'", *PSI_CTES, *KL_CTES[1:]))
+def stored_drift(spark, sf):
+    """Three runs against one baseline store: the first stores the
+    baseline cohort, the second compares the current cohort with it, the third
+    has no scores."""
+    s = base.scored_table(spark, sf)
+    store = scratch_path(spark, "score-baseline")
+    runs = [D.drift_against_stored(s.where(F.col("cohort") == c), store).select(F.lit(i + 1).alias("run"), "*") for i, c in enumerate(("baseline", "current", "holdout"))]
+    return rounded(runs[0].unionByName(runs[1]).unionByName(runs[2]))

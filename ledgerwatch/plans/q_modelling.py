@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..operators import attribution as AT
+from ..operators import green as G
 from ..operators import modelling as M
+from ..session import ensure_checkpoint_dir, materialize
 from . import base
 from .registry import register, rounded
 from .sqlbase import with_features_and
@@ -43,23 +50,52 @@ def standard_scale(spark, sf):
     return rounded(M.apply_scaler(test.select("transaction_id", *P.MODEL_FEATURES), stats, P.MODEL_FEATURES))
 
 
-def _train_and_score(spark, sf):
-    s = split_features(spark, sf)
+def _store(spark, sf: str) -> str:
+    """This application's model store for the tables under ``sf``, in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{spark.sparkContext.applicationId}/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
+
+
+def train_and_publish(spark, sf: str):
+    """Train on the training rows, save the forest as the store's next version,
+    evaluate the saved one on the test rows and append the run to the register;
+    the metrics row."""
+    begun, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
+    s = materialize(split_features(spark, sf), "split")
     model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
-    return M.score_batch(model, s.where(F.col("split") == "test"))
+    version = M.publish_model(spark, model, _store(spark, sf))
+    metrics = materialize(M.evaluate(M.score_batch(model, s.where(F.col("split") == "test"))), "metrics")
+    run = G.training_run(metrics, f"fraud-model-v{version}", begun, time.monotonic() - clock, spark.sparkContext.defaultParallelism)
+    G.append_run(run, f"{_store(spark, sf)}/runs")
+    return metrics
 
 
 @register("train_forest")
 def train_forest(spark, sf):
-    """M3: forest of 200 trees, depth 15, balanced weights; test metrics."""
-    return rounded(M.evaluate(_train_and_score(spark, sf)))
+    """M3 + M11: forest of 200 trees, depth 15, balanced weights, published as
+    a version of the model store; test metrics, also appended to the run
+    register."""
+    return rounded(train_and_publish(spark, sf))
 
 
 @register("batch_scoring")
 def batch_scoring(spark, sf):
-    """M6: the trained forest scores the held-out rows: prediction,
+    """M6: the saved forest (the newest version of the store; trained and
+    published first where there is none) scores the held-out rows: prediction,
     probability to 4 places, tier and model version."""
-    return _train_and_score(spark, sf).drop("score")
+    if M.load_model(spark, _store(spark, sf)) is None:
+        train_and_publish(spark, sf)
+    model, version = M.load_model(spark, _store(spark, sf))
+    test = split_features(spark, sf).where(F.col("split") == "test")
+    return M.score_batch(model, test, version).drop("score")
+
+
+@register("trained_model_health")
+def trained_model_health(spark, sf):
+    """M11 + F17: health from the run register that training appends to."""
+    register_path = f"{_store(spark, sf)}/runs"
+    if G.read_runs(spark, register_path).isEmpty():
+        train_and_publish(spark, sf)
+    return rounded(G.model_health(G.read_runs(spark, register_path)))
 
 
 @register("model_comparison")
@@ -88,12 +124,11 @@ def bounded_sample(spark, sf):
 
 @register("tree_attribution")
 def tree_attribution(spark, sf):
-    """M7: exact tree attribution of the trained forest for a bounded
-    sample (200 held-out rows): one row per (transaction, feature) plus the
-    base value; Σ phi + base = predicted probability."""
-    from ..operators import attribution as AT
-
-    s = split_features(spark, sf)
-    model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
-    sample = M.bounded_sample(s.where(F.col("split") == "test"), 200)
-    return rounded(AT.forest_attribution(model.stages[-1], sample, P.MODEL_FEATURES))
+    """M7: exact tree attribution of the saved forest for every held-out row:
+    one row per (transaction, feature) plus the base value; the sum of phi and
+    base is the predicted probability."""
+    if M.load_model(spark, _store(spark, sf)) is None:
+        train_and_publish(spark, sf)
+    model, _ = M.load_model(spark, _store(spark, sf))
+    test = split_features(spark, sf).where(F.col("split") == "test")
+    return rounded(AT.forest_attribution(model.stages[-1], test, P.MODEL_FEATURES))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..operators import features as FE
 from ..operators import quality as Q
+from ..session import scratch_path
 from . import base
 from .registry import r6, register, rounded
 from .sqlbase import with_features, with_features_and, with_tx
@@ -139,6 +140,22 @@ def mean_shift(spark, sf):
     return rounded(Q.mean_shift(base.tx(spark, sf)))
 
 
+@register("stored_mean_shift", with_tx(
+    "select 1 as run, true as created, round(b.m, 6) as baseline_mean, round(b.s, 6) as baseline_std, round(b.m, 6) as current_mean, "
+    "cast(null as double) as shift, false as warning from b union all "
+    "select 2, false, round(b.m, 6), round(b.s, 6), round(c.m, 6), round(abs(c.m - b.m) / b.m, 6), abs(c.m - b.m) / b.m > 0.15 from b cross join c").replace(
+    "select 1 as run", ", b AS (select avg(transaction_amount) as m, stddev_samp(transaction_amount) as s from transactions where cohort = 'baseline'), "
+    "c AS (select avg(transaction_amount) as m from transactions where cohort = 'current') select 1 as run", 1))
+def stored_mean_shift(spark, sf):
+    """V4 + J5: two runs against one store: the first saves the baseline
+    cohort's statistics, the second compares the current cohort with them."""
+    t = base.tx(spark, sf)
+    store = scratch_path(spark, "amount-baseline")
+    first = Q.mean_shift_against_stored(t.where(F.col("cohort") == "baseline"), store)
+    second = Q.mean_shift_against_stored(t.where(F.col("cohort") == "current"), store)
+    return rounded(first.select(F.lit(1).alias("run"), "*").unionByName(second.select(F.lit(2).alias("run"), "*")))
+
+
 def _required_sql() -> str:
     policies = [("feature_schema", P.FEATURE_COLUMNS), ("governance", P.GOVERNANCE_REQUIRED_FEATURES),
                 ("local", P.LOCAL_REQUIRED_COLUMNS)]

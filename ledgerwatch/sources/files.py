@@ -4,6 +4,7 @@ store, the newest batch, and synthetic transactions."""
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.scalars import padded_id
+from . import versions as V
 
 WRITE_LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("written_at", T.TimestampType()),
@@ -65,7 +67,9 @@ def logged_write(df: DataFrame, path: str, mode: str, log_path: str, partition_b
                  merge_schema: bool = False) -> int:
     """Write ``df`` and append one row (version, time,
     operation, rows) to the write log. Rows are counted by an Observation
-    during the write itself — no second scan."""
+    during the write itself — no second scan. An entry is a file named by its
+    version that is only created if it doesn't exist; of two writers one gets
+    the version and the other the next."""
     spark = df.sparkSession
     obs = Observation("write")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
@@ -75,21 +79,18 @@ def logged_write(df: DataFrame, path: str, mode: str, log_path: str, partition_b
         w = w.option("mergeSchema", True)
     w.parquet(path)
     rows = int(obs.get["rows"])
-    try:
-        prev = spark.read.schema(WRITE_LOG_SCHEMA).parquet(log_path).agg(F.max("version")).first()[0]
-    except AnalysisException:
-        prev = None
-    version = 0 if prev is None else int(prev) + 1
-    entry = spark.createDataFrame(
-        [(version, datetime.now(timezone.utc), "WRITE" if mode == "overwrite" else "APPEND", path, rows)],
-        WRITE_LOG_SCHEMA)
-    entry.write.mode("append").parquet(log_path)
-    return rows
+    entry = {"timestamp": datetime.now(timezone.utc).isoformat(), "operation": "WRITE" if mode == "overwrite" else "APPEND", "path": path, "rows": rows}
+    while True:
+        known = V.versions(spark, log_path)
+        version = known[-1] + 1 if known else 0
+        if V.create_once(spark, f"{log_path}/{V.MARKS}/{version}.json", json.dumps(entry)):
+            return rows
 
 
 def write_history(spark: SparkSession, log_path: str, n: int = 5) -> DataFrame:
-    """S10 + K7: the newest ``n`` writes."""
-    return spark.read.schema(WRITE_LOG_SCHEMA).parquet(log_path).orderBy(F.col("version").desc()).limit(n)
+    """S10 + K7: the newest ``n`` writes; only their entries are read."""
+    notes = [(v, V.note(spark, log_path, v)) for v in reversed(V.versions(spark, log_path)[-n:])] if n > 0 else []
+    return spark.createDataFrame([(v, datetime.fromisoformat(e["timestamp"]), e["operation"], e["path"], e["rows"]) for v, e in notes], WRITE_LOG_SCHEMA)
 
 
 def read_feature_store(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:

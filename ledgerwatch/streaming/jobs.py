@@ -14,7 +14,7 @@ from .. import params as P
 from ..operators import drift as D
 from ..functions.numeric import round_to
 from ..operators import features as FE
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 
 def stage_batches(df: DataFrame, path: str, by: str, n_batches: int) -> None:
@@ -118,20 +118,17 @@ def run_scoring(spark: SparkSession, source_dir: str, schema: T.StructType, sink
 def run_drift_per_batch(spark: SparkSession, baseline: DataFrame, source_dir: str, schema: T.StructType,
                         reports_dir: str, checkpoint: str) -> DataFrame:
     """T4: for every micro-batch of arriving scores (all that has landed since
-    the last one), a drift report against the stored baseline scores, added to
-    the ``drift_reports`` table. A report's folder is named by its epoch, so a
-    replayed batch overwrites its own report."""
+    the last one), a drift report against the baseline scores, added to the
+    ``drift_reports`` table. The baseline is counted once, before the stream
+    starts; a batch reads its own rows and that one row. A report's folder is
+    named by its epoch, so a replayed batch overwrites its own report."""
+    base = materialize(D.baseline_counts(baseline), "baseline")
     src = spark.readStream.schema(schema).parquet(source_dir)
 
     def report(batch: DataFrame, epoch: int) -> None:
-        p = D.psi(baseline, batch)
-        k = D.kl_divergence(baseline, batch)
-        n = batch.agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("current_mean"))
-        out = p.crossJoin(k).crossJoin(n).select(
-            "n", "psi", "kl_divergence", "current_mean",
-            (F.col("psi") > P.PSI_DRIFT).alias("drift_detected"),
-            F.when(F.col("psi") > P.PSI_DRIFT, "HIGH").when(F.col("psi") > P.PSI_MEDIUM, "MEDIUM").otherwise("LOW")
-            .alias("severity"))
+        counts = D.bin_counts(batch, base.select("lo", "hi"), extra=[F.count(F.lit(1)).alias("n"), F.avg("score").alias("current_mean")])
+        out = D.with_drift(counts, base).select(
+            "n", "psi", "kl_divergence", "current_mean", (F.col("psi") > P.PSI_DRIFT).alias("drift_detected"), D.severity(F.col("psi")).alias("severity"))
         out.write.mode("overwrite").parquet(f"{reports_dir}/batch_id={epoch}")
 
     run_available(src.writeStream.foreachBatch(report), checkpoint)
