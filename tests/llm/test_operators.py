@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from ledgerwatch.llm import bpe, chat, embed_dedup, exact_dedup, langid, licenses, lm, minhash, mixing, packing
+from ledgerwatch.llm import bpe, chat, embed_dedup, exact_dedup, langid, licenses, minhash, mixing, packing, token_lm
 from ledgerwatch.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, key string, size long, bands string, ids string"
@@ -364,25 +364,9 @@ def test_code_switched_text_of_many_languages_stays(spark):
     assert scores[1] < 0.35 and {r.doc_id for r in langid.identified(docs, model=model).collect()} == {1, 2}
 
 
-def test_pseudo_likelihood(spark):
-    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    model = lm.fit(table, rounds=1)
-    natural = [r.text for r in table.limit(30).collect()]
-    shuffled = ["".join(random.Random(1).sample(t, len(t))) for t in natural]
-    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate([*natural, *shuffled, None, "", "é x中"])], "doc_id long, text string, n_tokens int")
-    got = {r.doc_id: r for r in lm.score_documents(df, model).collect()}
-    assert np.mean([got[i].mean_log_likelihood for i in range(30)]) > 1 + np.mean([got[i].mean_log_likelihood for i in range(30, 60)])
-    assert got[60].n_tokens == got[61].n_tokens == 0 and got[60].mean_log_likelihood is None and got[62].n_tokens == 4
-    # by hand: every token given two on either side
-    ids = [lm.LATIN, lm.SPACE, ord("x") - 97, lm.OTHER]
-    line = [lm.BORDER] * 2 + ids + [lm.BORDER] * 2
-    total = sum(lm.network(model, np.array([[line[i - 2], line[i - 1], line[i + 1], line[i + 2]]]))[1][0, line[i]] for i in range(2, 6))
-    assert abs(total - got[62].log_likelihood) < 1e-4
-
-
 def test_empty_tables(empty, spark):
     for out in (minhash.near_duplicates(empty), exact_dedup.duplicate_report(empty), exact_dedup.exact_dedup(empty), mixing.assign(empty), mixing.mixed(empty),
-                packing.pack_documents(empty), bpe.round_trip(empty), licenses.scan_licenses(empty), langid.predict(empty), langid.identified(empty), lm.score_documents(empty),
+                packing.pack_documents(empty), bpe.round_trip(empty), licenses.scan_licenses(empty), langid.predict(empty), langid.identified(empty), token_lm.score_documents(empty),
                 chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
                 embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>"))):
         assert out.count() == 0
@@ -401,3 +385,87 @@ def test_pipeline_on_odd_rows(spark, docs):
     assert len(at["language_id"]) == len(letters)
     assert len(at["exact_dedup"]) == len({lower(r[1]) for r in letters})
     assert all(r["round_trip"] for r in at["bpe_tokens"])
+
+
+def test_a_repeated_id_loses_no_other_text(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(9)
+    a, b = (" ".join(f"{c}{rng.randrange(900)}" for _ in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a, "x"), (2, a + " more", "y"), (2, b, "z"), (None, a, "n"), (None, b + " end", "m")], "doc_id long, text string, number string")
+    kept = p.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.text[0] for r in kept.collect()) == ["a", "b"]
+    assert p.drop_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_exact_dedup_keeps_a_settled_row_of_ties(spark):
+    rows = [(1, "Same", str(i)) for i in range(40)] + [(2, "other", "x")]
+    kept = [exact_dedup.exact_dedup(spark.createDataFrame(random.Random(i).sample(rows, len(rows)), "doc_id long, text string, extra string").repartition(3), share).collect() for i in range(3) for share in (1e-3, 0.9)]
+    assert all(sorted(map(tuple, k)) == sorted(map(tuple, kept[0])) and len(k) == 2 for k in kept)
+
+
+def test_packed_ids_as_wide_as_the_vocabulary():
+    assert packing.id_type(50_000, 0) is np.uint16 and packing.id_type(65_536, 65_535) is np.uint16
+    assert packing.id_type(65_537, 0) is np.int32 and packing.id_type(50_000, 70_000) is np.int32 and packing.id_type(10, -1) is np.int32
+    lines = list(packing._lines([(1, np.array([70_000, 5], np.int32))], 4, 0, packing.id_type(70_001, 0)))
+    assert np.frombuffer(lines[0].column("input_ids")[0].as_py(), np.int32).tolist() == [70_000, 5, 0, 0]
+
+
+def test_embeddings_of_any_size_and_length(spark):
+    base = [0.3, -0.7, 0.2, 0.9]
+    data = [(i, [x * size for x in base]) for i, size in enumerate((1e200, 2e200, 3e-100, 1e-200, 1.0))] + [(9, [float("inf"), 1.0, 0.0, 0.0]), (10, [1.0, 1.0]), (11, [1e-300, 1e-300]), (12, [-1.0, 1.0]), (13, [5e-324, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()}
+    assert all(got[i] == (4, 0) for i in range(5)) and got[9] == (0, 9) and got[10] == got[11] == (1, 10) and got[12] == (0, 12) and got[13] == (0, 13)
+
+
+def test_crf_gradient_equals_enumeration():
+    import itertools
+
+    rng, counts, k = np.random.default_rng(0), np.array([4, 1, 3]), 3
+    e, trans, prior, truth = rng.normal(size=(8, k)), 2 * rng.normal(size=(k, k)), rng.normal(size=k), rng.integers(0, k, 8)
+
+    def likelihood():
+        out, at = 0.0, 0
+        for c in counts.tolist():
+            def score(lab):
+                inner = sum(trans[lab[i], lab[i + 1]] for i in range(c - 1)) + sum(e[at + i, lab[i]] for i in range(c))
+                return np.log(np.exp(prior + trans[:, lab[0]]).sum()) + inner
+            out += score(truth[at: at + c]) - np.log(sum(np.exp(score(lab)) for lab in itertools.product(range(k), repeat=c)))
+            at += c
+        return out
+    grads = langid.chain_gradient(e, counts, truth, trans, prior)
+    for array, grad in zip((e, trans, prior), grads):
+        for i in np.ndindex(array.shape):
+            old, side = array[i], []
+            for by in (1e-5, -1e-5):
+                array[i] = old + by
+                side.append(likelihood())
+            array[i] = old
+            assert abs((side[0] - side[1]) / 2e-5 - grad[i]) < 1e-6
+    assert np.allclose(langid.posteriors(e, counts, trans, prior), langid.expectations(e, counts, trans, prior)[0])
+
+
+def test_words_of_no_language_go_and_missing_labels_are_filled(spark):
+    even = {"languages": ["aa", "bb"], "weights": np.zeros((1 << langid.TABLE_BITS, 2), np.float32), "trans": np.zeros((2, 2)), "prior": np.zeros(2)}
+    docs = spark.createDataFrame([(1, "one two", None, 7), (2, "drei vier", "bb", 8), (None, "one", None, 9), (4, None, "aa", 1), (5, "12", None, 2)], "doc_id long, text string, lang string, words int")
+    assert langid.identified(docs, model=even).count() == 0
+    model = langid.train([("aa", "one two")] * 40 + [("bb", "drei vier")] * 40, ["aa", "bb"])
+    got = sorted((r.words, r.doc_id, r.lang) for r in langid.identified(docs, model=model).collect())
+    assert got == [(7, 1, "aa"), (8, 2, "bb"), (9, None, "aa")]
+    many = spark.range(1200).selectExpr("id as doc_id", "concat('l', id) as lang", "'one' as text")
+    with pytest.raises(ValueError, match="512"):
+        langid.fit(many)
+
+
+def test_long_texts_are_scored_by_pieces(spark, monkeypatch):
+    texts = ["abc abd " * 300, "x", None, "", "abd " * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = token_lm.fit(docs)
+    whole = token_lm.Line([("", texts[0], "")], model.ids())
+    want = token_lm.log_probability(model, *whole.windows(whole.spot)).sum()
+    monkeypatch.setattr(token_lm, "SLICE", 100)
+    parts = [token_lm.Line([p], model.ids()) for p in token_lm._pieces(texts[0])]
+    assert len(parts) == 24 and abs(sum(token_lm.log_probability(model, *p.windows(p.spot)).sum() for p in parts) - want) < 1e-3
+    got = {r.doc_id: r for r in token_lm.score_documents(docs, model).collect()}
+    assert abs(got[0].log_likelihood - want) < 1e-2 and got[2].n_tokens == 0 and got[4].n_tokens == 2800
+    assert token_lm.score_documents(spark.createDataFrame([(None, "ab")], "doc_id long, text string"), model).first().doc_id is None
