@@ -142,7 +142,6 @@ def _packer(path: str, length: int, group_tokens: int, padding: int):
                         group, held, tokens = group + 1, [], 0
         if held:
             yield from flush()
-        bpe.forget(vocab)
     return run
 
 
