@@ -4,12 +4,12 @@ overlaid on defaults)."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import params as P
+from ..sources import versions as V
 from .evaluation import classification_metrics
 
 
@@ -57,10 +57,9 @@ def append_run(run: DataFrame, register: str) -> None:
 
 def read_runs(spark: SparkSession, register: str) -> DataFrame:
     """The run register; empty before the first run."""
-    try:
-        return spark.read.schema(RUN_SCHEMA).parquet(register)
-    except AnalysisException:
+    if not V.exists(spark, register):
         return spark.createDataFrame([], RUN_SCHEMA)
+    return spark.read.schema(RUN_SCHEMA).parquet(register)
 
 
 def green_run_metrics(runs: DataFrame) -> DataFrame:

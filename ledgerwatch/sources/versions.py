@@ -22,6 +22,11 @@ def _file_system(spark: SparkSession, path: str):
     return jvm, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    _, fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Create the file ``path`` with ``text`` unless it exists; whether this
     call created it. Local files are linked into place whole; other file systems
