@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from .. import params as P
 from ..functions.numeric import round_to
 from ..session import materialize
+from . import features as FE
 from .evaluation import confusion_counts, ratio
 
 
@@ -195,6 +196,16 @@ def live_feed(scored: DataFrame, n: int = 20, ts: str = "transaction_timestamp")
         round_to(F.col("score"), 4).alias("fraud_probability"), "processing_time_ms")
 
 
+def newest_scored(tx: DataFrame, n: int = 20, ts: str = "transaction_timestamp") -> DataFrame:
+    """Scored transactions that hold the newest ``n`` of all: these are picked
+    first, and features are computed over the history of their customers only
+    (at most ``n`` keys, broadcast), as a row's features depend on its own
+    customer alone."""
+    newest = materialize(tx.orderBy(F.col(ts).desc(), F.col("transaction_id")).limit(n).select(F.col("customer_id").alias("_customer")), "newest").distinct()
+    history = tx.join(F.broadcast(newest), F.col("customer_id").eqNullSafe(F.col("_customer")), "left_semi")
+    return FE.score(FE.engineer_features(history))
+
+
 def live_feed_summary(feed: DataFrame) -> DataFrame:
     """A29 + P12: counts by prediction and mean latency (0 when empty)."""
     return feed.agg(

@@ -83,6 +83,19 @@ def xai_report(attr: DataFrame) -> DataFrame:
         "explanation_stability", F.lit("exact linear attribution").alias("methodology"))
 
 
+def importance_report(attr: DataFrame, n: int = 5) -> DataFrame:
+    """M9 in full: one report row with the importance of every feature
+    (``feature_importance``, a map), the ``n`` largest in order
+    (``top_features``, structs; ties by name), explanation stability and
+    methodology. Built from one row per feature; with no rows the map is empty."""
+    pairs = F.collect_list(F.struct("feature", "importance"))       # one per feature
+    by_size = F.transform(F.array_sort(F.transform("_pairs", lambda p: F.struct((-p["importance"]).alias("k"), p["feature"].alias("feature")))),
+                          lambda p: F.struct(p["feature"].alias("feature"), (-p["k"]).alias("importance")))
+    return attribution_importance(attr).agg(pairs.alias("_pairs")).crossJoin(explanation_stability(attr)).select(
+        F.size("_pairs").alias("n_features"), F.map_from_entries("_pairs").alias("feature_importance"),
+        F.slice(by_size, 1, n).alias("top_features"), "explanation_stability", F.lit("exact linear attribution").alias("methodology"))
+
+
 def _sorted_factors() -> Column:
     """The factors of a row of ``rule_attribution_wide``, largest |phi| first,
     ties by name."""

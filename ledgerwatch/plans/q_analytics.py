@@ -134,7 +134,7 @@ FEED = ("select transaction_id, customer_id, transaction_timestamp, transaction_
 @register("live_feed", with_scored(FEED))
 def live_feed(spark, sf):
     """K5 (re-aimed): the 20 newest scored transactions."""
-    return A.live_feed(base.scored(spark, sf))
+    return A.live_feed(A.newest_scored(base.tx(spark, sf)))
 
 
 @register("live_feed_summary", with_scored(
@@ -143,7 +143,7 @@ def live_feed(spark, sf):
     f"as avg_processing_time_ms from ({FEED})"))
 def live_feed_summary(spark, sf):
     """A29 + P12: feed counts and mean latency."""
-    return A.live_feed_summary(A.live_feed(base.scored(spark, sf)))
+    return A.live_feed_summary(A.live_feed(A.newest_scored(base.tx(spark, sf))))
 
 
 @register("region_insights", with_scored(

@@ -9,7 +9,7 @@ from ..functions import text as TXT
 from ..operators import explain as X
 from ..sources.tables import read_table
 from . import base
-from .registry import register, rounded
+from .registry import r6, register, rounded
 from .sqlbase import with_features_and, with_scored, with_tx
 
 COMPS = [("amount_deviation_ratio", "amount_deviation_ratio", 0.3),
@@ -74,6 +74,24 @@ def xai_report(spark, sf):
     return rounded(X.xai_report(attr(spark, sf)))
 
 
+PAIR_SQL = "printf('%s=%.6f', feature, round(importance, 6))"
+
+
+@register("importance_report", _attr_sql(
+    f"select cast(count(*) as integer) as n_features, string_agg({PAIR_SQL}, '; ' order by feature) as feature_importance, "
+    f"(select string_agg({PAIR_SQL}, '; ' order by importance desc, feature) from (select * from ({IMPORTANCE}) order by "
+    f"importance desc, feature limit 5)) as top_features, (select round(explanation_stability, 6) from ({STABILITY})) as "
+    f"explanation_stability, 'exact linear attribution' as methodology from ({IMPORTANCE})"))
+def importance_report(spark, sf):
+    """M9: the whole report: every feature's importance (shown by name) and
+    the five largest in order."""
+    shown = lambda p: F.format_string("%s=%.6f", p["feature"], r6(p["importance"]))
+    r = X.importance_report(attr(spark, sf))
+    return rounded(r.select(
+        "n_features", F.array_join(F.transform(F.array_sort(F.map_entries("feature_importance")), lambda e: F.format_string("%s=%.6f", e["key"], r6(e["value"]))), "; ").alias("feature_importance"),
+        F.array_join(F.transform("top_features", shown), "; ").alias("top_features"), "explanation_stability", "methodology"))
+
+
 TOP3 = ("select transaction_id, cast(row_number() over (partition by transaction_id order by abs(phi) desc, feature) "
         "as integer) as rank, feature, phi from attr qualify rank <= 3")
 

@@ -74,8 +74,8 @@ def feature_store_versions(spark, sf):
                                                          F.col("is_cross_border"), F.col("tx_count_7d"), "local")) \
         .withColumn("feature_version", F.lit(P.FEATURE_VERSION_LOCAL))
     path, log = scratch_path(spark, "features"), scratch_path(spark, "features-log")
-    FS.logged_write(f, path, "append", log, partition_by=["feature_version"], merge_schema=True)
-    FS.logged_write(local, path, "append", log, partition_by=["feature_version"], merge_schema=True)
+    FS.write_features(f, path, log)
+    FS.write_features(local, path, log)
     out = None
     for v in (P.FEATURE_VERSION, P.FEATURE_VERSION_LOCAL):
         part = FS.read_feature_store(spark, path, v).agg(F.lit(v).alias("feature_version"),
@@ -85,16 +85,47 @@ def feature_store_versions(spark, sf):
     return rounded(out)
 
 
+@register("feature_schema_evolution", with_features(
+    "select 'v0.9' as feature_version, transaction_id, customer_id, is_fraud, cast(tx_count_7d as bigint) as tx_count_7d, "
+    "cast(null as double) as amount_deviation_ratio from features union all select 'v1.0', transaction_id, customer_id, "
+    "is_fraud, cast(tx_count_7d as bigint), round(amount_deviation_ratio, 6) from features union all select 'v1.1', "
+    "transaction_id, null, is_fraud, null, round(amount_deviation_ratio, 6) from features"))
+def feature_schema_evolution(spark, sf):
+    """Three feature versions with different columns in one table: the
+    first counts in 32 bits and lacks the deviation ratio, the second widens
+    the count, the third drops customer and count. All rows read back."""
+    f = base.features_table(spark, sf).select("transaction_id", "customer_id", "is_fraud", "tx_count_7d", "amount_deviation_ratio")
+    path, log = scratch_path(spark, "evolving"), scratch_path(spark, "evolving-log")
+    version = lambda df, v: df.withColumn("feature_version", F.lit(v))
+    FS.write_features(version(f.drop("amount_deviation_ratio").withColumn("tx_count_7d", F.col("tx_count_7d").cast("int")), "v0.9"), path, log)
+    FS.write_features(version(f.withColumn("tx_count_7d", F.col("tx_count_7d").cast("long")), "v1.0"), path, log)
+    FS.write_features(version(f.drop("customer_id", "tx_count_7d"), "v1.1"), path, log)
+    return rounded(FS.read_feature_store(spark, path))
+
+
 @register("latest_batch", with_tx(
     "select count(*) as rows, round(sum(transaction_amount), 6) as amount, max(cast(transaction_timestamp as date)) as batch_date "
     "from transactions where cast(transaction_timestamp as date) = (select max(cast(transaction_timestamp as date)) "
     "from transactions)"))
 def latest_batch(spark, sf):
-    """The newest batch by business date."""
-    b = FS.latest_batch(base.tx(spark, sf))
-    return b.agg(F.count(F.lit(1)).alias("rows"),
-                 F.sum(F.col("transaction_amount").cast("decimal(38,8)")).cast("double").alias("amount"),
-                 F.max(F.to_date("transaction_timestamp")).alias("batch_date")).transform(rounded)
+    """The newest batch by business date, from a raw zone partitioned by
+    date."""
+    path = scratch_path(spark, "dated")
+    FS.write_dated(base.tx(spark, sf), path)
+    return FS.latest_batch(spark, path).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("transaction_amount").cast("decimal(38,8)")).cast("double").alias("amount"),
+        F.max("batch_date").alias("batch_date")).transform(rounded)
+
+
+@register("newest_arrival", with_tx(f"select {TX_COLS} from transactions where transaction_id % 3 = 2"))
+def newest_arrival(spark, sf):
+    """Of three batches that arrived one after another, the last."""
+    t = base.tx(spark, sf)
+    path = scratch_path(spark, "arrived")
+    for i in range(3):
+        t.where(F.pmod("transaction_id", F.lit(3)) == i).write.parquet(f"{path}/batch-{i}")
+    return FS.newest_arrival(spark, path, t.schema)
 
 
 @register("report_json_roundtrip", with_scored(
@@ -110,10 +141,10 @@ def report_json_roundtrip(spark, sf):
 
 @register("catalog_table_scan", with_tx(f"select {TX_COLS} from transactions"))
 def catalog_table_scan(spark, sf):
-    """S4 + S5: the table registered in the catalog, read by name and by
+    """S4 + S5: the transactions saved as a table, read by its name and by
     ``SELECT *``."""
-    base.tx(spark, sf).createOrReplaceTempView("lw_transactions")
-    return spark.sql("SELECT * FROM lw_transactions")
+    FS.save_as_table(base.tx(spark, sf), "ledgerwatch_transactions", scratch_path(spark, "table"))
+    return spark.sql("SELECT * FROM ledgerwatch_transactions")
 
 
 @register("synthetic_transactions", (

@@ -20,20 +20,22 @@ from .sqlbase import with_scored, with_tx
 def stream_ingest(spark, sf):
     """Arriving batches ingested by a stream; equals the batch table."""
     src, out, ckpt = S.new_paths(spark, "ingest")
-    S.stage_batches(base.tx(spark, sf), src, "transaction_id", 4)
-    return S.stream_ingest(spark, src, TRANSACTIONS_SCHEMA, out, ckpt)
+    for _ in S.land(base.tx(spark, sf), src, "transaction_id", 4):
+        raw = S.stream_ingest(spark, src, TRANSACTIONS_SCHEMA, out, ckpt)
+    return raw
 
 
 @register("stream_hourly_volume", with_scored(
     "select hour_start, volume, round(latency_ms, 6) as latency_ms, fraud_detected, round(avg_amount, 6) as avg_amount "
     f"from ({HOURLY})"))
 def stream_hourly_volume(spark, sf):
-    """Hourly volume as a watermarked tumbling-window stream (complete mode)."""
-    scored = base.scored(spark, sf).select("transaction_id", "transaction_timestamp", "processing_time_ms",
-                                           "prediction", "transaction_amount")
+    """Hourly volume as a watermarked tumbling-window stream over four
+    arrivals in time order; an hour that two arrivals share is updated."""
+    scored = S.materialize(base.scored(spark, sf).select("transaction_timestamp", "processing_time_ms", "prediction", "transaction_amount"), "scored")
     src, out, ckpt = S.new_paths(spark, "hourly")
-    S.stage_batches(scored, src, "transaction_id", 4)
-    return rounded(S.run_hourly_volume(spark, src, scored.schema, out, ckpt))
+    for _ in S.land(scored, src, S.time_slices(scored, "transaction_timestamp", 4), 4):
+        table = S.run_hourly_volume(spark, src, scored.schema, out, ckpt)
+    return rounded(table)
 
 
 @register("stream_scoring", with_scored(
@@ -43,8 +45,9 @@ def stream_scoring(spark, sf):
     """Arriving feature rows scored by a stateless stream."""
     f = FE.engineer_features(base.tx(spark, sf))
     src, out, ckpt = S.new_paths(spark, "scoring")
-    S.stage_batches(f, src, "transaction_id", 4)
-    return rounded(S.run_scoring(spark, src, f.schema, out, ckpt))
+    for _ in S.land(f, src, "transaction_id", 4):
+        scores = S.run_scoring(spark, src, f.schema, out, ckpt)
+    return rounded(scores)
 
 
 BATCH_CTES = [EDGES, *hist_ctes(10, "'b'", "hb", "cohort = 'baseline'"), *hist_ctes(10, "transaction_id % 4", "hd", "cohort = 'current'"),

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MARKS = "_versions"
 
@@ -27,6 +28,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, time of modification) of the files and folders directly under
+    ``path``; a listing, nothing is opened."""
+    _, fs, folder = _file_system(spark, path)
+    if not fs.exists(folder):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(folder)]
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Create the file ``path`` with ``text`` unless it exists; whether this
     call created it. Local files are linked into place whole; other file systems
@@ -58,10 +68,7 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """The versions under ``root``, ascending."""
-    _, fs, folder = _file_system(spark, f"{root}/{MARKS}")
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    names = [name for name, _ in children(spark, f"{root}/{MARKS}")]
     return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
@@ -118,3 +125,48 @@ def read_or_create(spark: SparkSession, root: str, build: Callable[[], DataFrame
     if latest(spark, root) is None:
         created = save_table(build(), root, first_only=True) is not None
     return read_table(spark, root), created
+
+
+EPOCH = "_epoch"
+
+
+def save_epoch(df: DataFrame, root: str, epoch: int) -> bool:
+    """Publish ``df`` as what epoch ``epoch`` of a stream changed; whether this
+    call did. An epoch that is already published stays as it is, so a replay
+    changes nothing; readers see an epoch whole or not at all."""
+    spark = df.sparkSession
+    mark = f"{root}/{MARKS}/{epoch}.json"
+    if exists(spark, mark):
+        return False
+    folder = f"{root}/data-{uuid.uuid4().hex}"
+    df.withColumn(EPOCH, F.lit(epoch).cast("long")).write.parquet(folder)
+    return create_once(spark, mark, json.dumps({"folder": folder}))
+
+
+def _epoch_rows(spark: SparkSession, root: str, key: list[str]) -> tuple[DataFrame, int]:
+    """(the newest row of every key with its epoch, the newest epoch): the
+    folded table and the epochs published after it."""
+    folded = latest(spark, f"{root}/folded")
+    through = folded[1]["through"] if folded else -1
+    later = [e for e in versions(spark, root) if e > through]
+    folders = [note(spark, root, e)["folder"] for e in later] + ([folded[1]["folder"]] if folded else [])
+    if not folders:
+        raise FileNotFoundError(f"no epoch under {root}")
+    rows = spark.read.parquet(*folders)
+    rest = [c for c in rows.columns if c not in key]
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), EPOCH).alias("_row"))
+    return newest.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]), max([through, *later])
+
+
+def read_epochs(spark: SparkSession, root: str, key: list[str]) -> DataFrame:
+    """The table the epochs make: of each key the row of its newest epoch."""
+    return _epoch_rows(spark, root, key)[0].drop(EPOCH)
+
+
+def compact_epochs(spark: SparkSession, root: str, key: list[str]) -> int:
+    """Fold all published epochs into one table that readers take in their
+    place; the last epoch in it. The epochs' folders stay for those who are
+    reading them."""
+    rows, through = _epoch_rows(spark, root, key)
+    save_table(rows, f"{root}/folded", {"through": through})
+    return through

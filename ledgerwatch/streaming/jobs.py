@@ -15,39 +15,28 @@ from ..operators import drift as D
 from ..functions.numeric import round_to
 from ..operators import features as FE
 from ..session import materialize, scratch_path
+from ..sources import versions as V
 
 
-def stage_batches(df: DataFrame, path: str, by: str, n_batches: int) -> None:
-    """Land ``df`` as ``n_batches`` arriving files (hash of ``by``), so the
-    stream sees several micro-batches."""
-    df.withColumn("_batch", F.pmod(F.xxhash64(F.col(by)), F.lit(n_batches))) \
-        .repartition(n_batches, "_batch").drop("_batch").write.mode("overwrite").parquet(path)
-
-
-def stage_in_time_order(df: DataFrame, path: str, ts: str, n_batches: int) -> None:
-    """Land ``df`` as ``n_batches`` arrivals in event-time order: equal time
-    ranges, appended one after another (so a file's arrival order follows
-    event time, as in a live feed)."""
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+def time_slices(df: DataFrame, ts: str, n_batches: int) -> F.Column:
+    """The number of a row's slice when the time span of ``df`` is cut into
+    ``n_batches`` equal ranges; null times belong to the first."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi = df.agg(F.min(at), F.max(at)).first()
     if lo is None:
-        df.write.mode("append").parquet(path)
-        return
-    step = (hi - lo) / n_batches
-    col = F.col(ts)
-    for i in range(n_batches):
-        a = F.lit((lo + step * i).isoformat(sep=" ")).cast("timestamp_ntz")
-        b = F.lit((lo + step * (i + 1)).isoformat(sep=" ")).cast("timestamp_ntz")
-        upper = (col <= F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")) if i == n_batches - 1 else (col < b)
-        df.where((col >= a) & upper).write.mode("append").parquet(path)
+        return F.lit(0)
+    slice_no = F.floor((at - F.lit(lo)) / F.lit((hi - lo) / n_batches or 1.0))
+    return F.least(F.coalesce(slice_no, F.lit(0)), F.lit(n_batches - 1))
 
 
-def land(df: DataFrame, path: str, by: str, n_batches: int):
-    """Land ``df`` in ``path`` as ``n_batches`` arrivals (``by`` modulo
-    ``n_batches``, null in the first), each written by as many tasks as it
-    needs. Yields after every arrival, so that a stream run there sees each
-    arrival as one micro-batch."""
+def land(df: DataFrame, path: str, by: str | F.Column, n_batches: int):
+    """Land ``df`` in ``path`` as ``n_batches`` arrivals (the column ``by``
+    modulo ``n_batches``, or the number an expression gives; null in the
+    first), each written by as many tasks as it needs. Yields after every
+    arrival, so that a stream run there sees each arrival as one micro-batch."""
     staged = scratch_path(df.sparkSession, "arrivals")
-    batch = F.coalesce(F.pmod(F.col(by), F.lit(n_batches)), F.lit(0)).cast("int")
+    number = F.pmod(F.col(by), F.lit(n_batches)) if isinstance(by, str) else by
+    batch = F.coalesce(number, F.lit(0)).cast("int")
     df.withColumn("_batch", batch).write.partitionBy("_batch").parquet(staged)
     arrivals = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(staged)
     for i in range(n_batches):
@@ -63,11 +52,11 @@ def run_available(stream_writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def stream_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
-                  checkpoint: str, files_per_trigger: int = 1) -> DataFrame:
+def stream_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint: str) -> DataFrame:
     """Incremental ingest of arriving Parquet batches into the raw zone
-    (append). Returns the sink read back as a batch table."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
+    (append): what has landed since the last call is one micro-batch. Returns
+    the sink read back as a batch table."""
+    src = spark.readStream.schema(schema).parquet(source_dir)
     run_available(src.writeStream.format("parquet").option("path", sink_dir).outputMode("append"), checkpoint)
     return spark.read.schema(schema).parquet(sink_dir)
 
@@ -82,22 +71,26 @@ def hourly_volume_stream(events: DataFrame, ts: str = "transaction_timestamp", w
 
 
 def run_hourly_volume(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint: str,
-                      mode: str = "complete") -> DataFrame:
-    """T2 end to end. ``complete`` rewrites the whole (small, one row per
-    hour) result each batch; ``append`` emits a window once the watermark
-    passes it. Results land in a table through foreachBatch, never in
-    driver memory."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
-    agg = hourly_volume_stream(src)
+                      mode: str = "update", watermark: str = "1 hour", compact_every: int = 100) -> DataFrame:
+    """T2 end to end: what has landed since the last call is one micro-batch.
+
+    ``update`` publishes every hour a batch touched, ``append`` an hour once
+    the watermark has passed it. In both the state of an hour goes when the
+    watermark passes its end, and rows that come later are dropped. Each epoch
+    is published once and whole (a replayed one is left as it is), readers
+    take an hour from its newest epoch, and after ``compact_every`` epochs
+    these are folded into one table."""
+    src = spark.readStream.schema(schema).parquet(source_dir)
+    agg = hourly_volume_stream(src, watermark=watermark)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        out = batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "volume", "latency_ms",
-                           "fraud_detected", "avg_amount")
-        # append: one folder per epoch, overwritten when the epoch is replayed
-        out.write.mode("overwrite").parquet(sink_dir if mode == "complete" else f"{sink_dir}/epoch={epoch}")
+        out = batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "volume", "latency_ms", "fraud_detected", "avg_amount")
+        V.save_epoch(out, sink_dir, epoch)
+        if epoch % compact_every == compact_every - 1:
+            V.compact_epochs(spark, sink_dir, ["hour_start"])
 
     run_available(agg.writeStream.outputMode(mode).foreachBatch(sink), checkpoint)
-    return spark.read.parquet(sink_dir).drop("epoch")
+    return V.read_epochs(spark, sink_dir, ["hour_start"])
 
 
 def score_stream(features: DataFrame) -> DataFrame:
@@ -109,9 +102,8 @@ def score_stream(features: DataFrame) -> DataFrame:
 
 
 def run_scoring(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint: str) -> DataFrame:
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
-    run_available(score_stream(src).writeStream.format("parquet").option("path", sink_dir).outputMode("append"),
-                  checkpoint)
+    src = spark.readStream.schema(schema).parquet(source_dir)
+    run_available(score_stream(src).writeStream.format("parquet").option("path", sink_dir).outputMode("append"), checkpoint)
     return spark.read.parquet(sink_dir)
 
 

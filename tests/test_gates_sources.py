@@ -38,8 +38,8 @@ def test_partition_pruning_on_version(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     path, log = os.path.join(d, "fs"), os.path.join(d, "log")
     f = base.features(spark, SF_SMALL).withColumn("feature_version", F.lit("v1.0"))
-    FS.logged_write(f, path, "append", log, partition_by=["feature_version"], merge_schema=True)
-    FS.logged_write(f.withColumn("feature_version", F.lit("v2")), path, "append", log, partition_by=["feature_version"])
+    FS.write_features(f, path, log)
+    FS.write_features(f.withColumn("feature_version", F.lit("v2")), path, log)
     df = FS.read_feature_store(spark, path, "v1.0")
     plan = plan_text(df)
     assert "PartitionFilters" in plan and "v1.0" in plan
