@@ -22,6 +22,7 @@ WEIGHTS = (3.0, 1.0, 2.0)        # by source in order of code points, repeating
 FADES = (-0.5, 0.5, 0.0)         # schedule slope by source, repeating
 SHARE = 1.5                      # words of the mix, as a share of all words
 MOST = 2.0                       # a source, and a document, is taken at most this often
+RANGE_ROWS = 1 << 16             # rows of a hash range, on average
 
 
 def _cycle(values: tuple[float, ...], at: Column) -> Column:
@@ -66,16 +67,19 @@ def assign(docs: DataFrame, whole: bool = False, **mix) -> DataFrame:
     trained on; null if it isn't), again (when it is trained on for the second
     time; null if it isn't), sorted by position.
 
-    A source's documents line up in order of md5(doc_id) (ties: doc_id, size),
-    and again for the second pass; the mix takes words until the target is
+    A source's documents line up in order of md5(doc_id) (of the text where
+    doc_id is null; ties: doc_id, size), and again for the second pass; the mix takes words until the target is
     reached. The last document of a source is cut there, so taken sums to the
     target rounded down; with ``whole`` it is taken whole if the cut falls in
     its second half and else not at all.
 
     Running sums over a source add up (source, hash range) totals and a sum
-    inside each range, so a source with any share of the rows is spread over
-    4096 tasks. A null source is a source of its own, in the last place; a null
-    doc_id is an id like another; repeated rows are documents like others.
+    inside each range. There are at least 4096 ranges, and so many that
+    documents of different ids come to at most RANGE_ROWS a range on average
+    whatever the table's size; their number changes no result. Only rows of
+    one doc_id (or of none and one text) and source must meet in a task. A null
+    source is a source of its own, in the last place; repeated rows are
+    documents like others.
     Sources without words have target 0. An empty table gives an empty result."""
     out = _lined(docs, [], whole, mix)
     return out.orderBy("position", "doc_id", "size")
@@ -85,19 +89,27 @@ def _sized(docs: DataFrame, extra: list[Column]) -> DataFrame:
     """Size and place of every document; ``key`` is its source, never null."""
     sized = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("spot"), *extra)
-    return sized.withColumn("bucket", F.conv(F.substring("spot", 1, 3), 16, 10).cast("int")).withColumn(
-        "key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))).alias("spot"), *extra)
+    return sized.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+
+
+def _digits(rows: int, range_rows: int) -> int:
+    """Hexadecimal digits of the place that number the ranges."""
+    digits = 3
+    while rows > range_rows << 4 * digits:
+        digits += 1
+    return digits
 
 
 def _lined(docs: DataFrame, extra: list[Column], whole: bool, mix: dict) -> DataFrame:
     sized = materialize(_sized(docs, []), "sized")
+    bucket = F.substring("spot", 1, _digits(sized.count(), RANGE_ROWS)).alias("bucket")
     targets = source_targets(sized, **mix).withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).drop("source")
-    ranges = sized.groupBy("key", "bucket").agg(F.sum("size").alias("inside"))
+    ranges = sized.groupBy("key", bucket).agg(F.sum("size").alias("inside"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select("key", "bucket", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("base")).join(targets, "key")
     ranges = materialize(ranges, "ranges")
-    rows = _sized(docs, extra) if extra else sized
+    rows = (_sized(docs, extra) if extra else sized).select("*", bucket)
     # the running sum and the join below share one shuffle by (key, bucket)
     local = Window.partitionBy("key", "bucket").orderBy("spot", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     lined = rows.withColumn("ahead", F.coalesce(F.sum("size").over(local), F.lit(0))).join(ranges, ["key", "bucket"])
@@ -126,7 +138,7 @@ def mixed(docs: DataFrame, **mix) -> DataFrame:
 
 ORACLE = r"""with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-    md5(coalesce(cast(doc_id as varchar), '')) as spot from documents),
+    md5(coalesce(cast(doc_id as varchar), text, '')) as spot from documents),
 s as (
   select source, cast(sum(size) as bigint) as source_size from d group by source),
 r as (
@@ -144,7 +156,9 @@ p as (
   from d join t on d.source is not distinct from t.source),
 g as (
   select *, cast(greatest(0, least(size, floor(target) - ahead)) + greatest(0, least(size, floor(target) - ahead - source_size)) as bigint) as taken,
-    least(1.0, ahead / target) as y from p)
+    least(1.0, ahead / target) as y, floor(target) - ahead - source_size > 0 and size > 0 as twice,
+    least(1.0, (ahead + source_size) / target) as z from p)
 select doc_id, size, source_size, round(target, 6) as target, taken,
-  case when taken > 0 then round(2 * y / ((1 - fade) + sqrt((1 - fade) * (1 - fade) + 4 * fade * y)), 9) end as position
+  case when taken > 0 then round(2 * y / ((1 - fade) + sqrt((1 - fade) * (1 - fade) + 4 * fade * y)), 9) end as position,
+  case when twice then round(2 * z / ((1 - fade) + sqrt((1 - fade) * (1 - fade) + 4 * fade * z)), 9) end as again
 from g"""

@@ -56,7 +56,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.assign(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round("position", 9).alias("position"))
+    return plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round("position", 9).alias("position"), F.round("again", 9).alias("again"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

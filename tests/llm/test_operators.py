@@ -240,6 +240,20 @@ def test_mixing_reaches_targets(docs, spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in mixing.assign(docs.repartition(7)).collect()]
 
 
+def test_the_number_of_ranges_changes_no_result(spark, monkeypatch):
+    docs = spark.createDataFrame([(None if i % 3 == 0 else i, "a" if i % 4 else None, "w " * (i % 7) + str(i % 50)) for i in range(600)],
+                                 "doc_id long, source string, text string")
+    got = [tuple(r) for r in mixing.assign(docs).collect()]
+    monkeypatch.setattr(mixing, "_digits", lambda rows, range_rows: 5)
+    assert [tuple(r) for r in mixing.assign(docs).collect()] == got
+    ranges = mixing._sized(docs.where("doc_id is null"), []).select("spot").distinct().count()
+    assert ranges == docs.where("doc_id is null").select("text").distinct().count() > 100     # rows without id aren't one range
+
+
+def test_ranges_follow_the_rows():
+    assert [mixing._digits(n, 1 << 16) for n in (0, 1 << 28, (1 << 28) + 1, 1 << 32, 10**12)] == [3, 3, 4, 4, 6]
+
+
 def test_second_passes_keep_the_schedule(spark):
     size = {"a": 100, "b": 1000, "c": 300}
     docs = spark.createDataFrame([(1000 * i + j, s, "w " * 10) for i, (s, n) in enumerate(size.items()) for j in range(n)], "doc_id long, source string, text string")
