@@ -94,11 +94,23 @@ def forest(num_trees: int = 200, max_depth: int = 15, seed: int = 42) -> RandomF
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
+def without_summary(model):
+    """The fitted model without its training summary. The summary holds the
+    session, which can't go to tasks with the model once the session has
+    observed a write's metrics."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def fit_pipeline(train: DataFrame, estimator, features: list[str] = P.MODEL_FEATURES) -> PipelineModel:
     """Assemble the model features in their fixed order and fit. Trees do not
     need scaling; linear models standardise internally."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[asm, estimator]).fit(with_class_weight(train))
+    model = Pipeline(stages=[asm, estimator]).fit(with_class_weight(train))
+    for stage in model.stages:
+        without_summary(stage)
+    return model
 
 
 def score_batch(model: PipelineModel, df: DataFrame, version: str = "forest-v1") -> DataFrame:
@@ -172,7 +184,7 @@ def model_comparison(df: DataFrame, folds: int = 5, seed: int = 42, models: dict
 
     def run(job):
         name, k = job
-        model = models[name].copy().fit(d.where(F.col("_fold") != k))
+        model = without_summary(models[name].copy().fit(d.where(F.col("_fold") != k)))
         pred = model.transform(d.where(F.col("_fold") == k)).withColumn("prediction", F.col("prediction").cast("int"))
         m = classification_metrics(pred).first()
         return name, k, float(m["accuracy"]), float(m["f1_score"])

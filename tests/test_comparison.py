@@ -10,6 +10,8 @@ from ledgerwatch.operators import analytics as A
 from ledgerwatch.operators import explain as X
 from ledgerwatch.operators import modelling as M
 from ledgerwatch.plans import base
+from ledgerwatch.session import scratch_path
+from ledgerwatch.sources import files as FS
 
 
 def test_folds_hold_every_class_evenly_and_inputs_are_standardised(spark):
@@ -42,6 +44,7 @@ def test_logistic_regression_minimises_weighted_loss_plus_half_the_squares(spark
 def test_comparison_runs_every_fold_of_every_model(spark):
     from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 
+    FS.logged_write(spark.range(3), scratch_path(spark, "observed"), "append", scratch_path(spark, "log"))    # its metrics are observed
     models = {"tree": DecisionTreeClassifier(labelCol="is_fraud", maxDepth=2), "line": LogisticRegression(labelCol="is_fraud", maxIter=5)}
     r = {x["model"]: x for x in M.model_comparison(base.features_table(spark, SF_SMALL), folds=3, models=models).collect()}
     assert set(r) == {"tree", "line"} and all(x["folds"] == 3 and 0 <= x["f1_score"] <= 1 and 0.5 < x["accuracy"] <= 1 for x in r.values())
