@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
+from .groups import with_groups
 from .textops import U64, frugal, mix, seeds, shingle_sets, slices
 
 ROWS = 5             # sketch coordinates per band
@@ -203,6 +204,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     - Documents with equal sets collapse to their smallest doc_id first (a
       partial aggregation), so thousands of copies cost one representative.
+      Sets that a thousandth of all documents have or more take their class to
+      their documents by broadcast, the others by an ordinary join, so no task
+      gets all copies of one set.
     - Representatives meet in bands. Each bucket's members are verified against
       its pivot, the member that meets most others; what is then still in
       another component than the pivot is verified against every member of the
@@ -220,11 +224,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     signed = materialize(signatures(docs, k, percent / 100), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    sets = usable.groupBy("f1", "f2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
-    member = materialize(
-        usable.join(sets, ["f1", "f2"]).where("n = n_shingles")
-        .select("doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "member")
-    rows = member.where("bands is not null").select("doc_id", "n_shingles", F.explode("bands").alias("key"))
+    alike = ["f1", "f2", "n_shingles"]
+    sets = materialize(usable.groupBy(*alike).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
+    reps = usable.join(sets.select(*alike, F.col("rep").alias("doc_id")), [*alike, "doc_id"]).dropDuplicates([*alike, "doc_id"])
+    rows = reps.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
     met = materialize(rows.join(shared, "key"), "met")
     degree = met.groupBy("doc_id").agg(F.sum("met").alias("degree"))
@@ -244,7 +247,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if not further.isEmpty():
         found = materialize(components(links.unionByName(further)), "found")
 
-    grouped = member.select("doc_id", "n_shingles", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    classes = materialize(sets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        *alike, "copies", F.coalesce("component", "rep").alias("component_id")), "classes")
+    grouped = with_groups(usable.select("doc_id", *alike), classes, alike).select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
