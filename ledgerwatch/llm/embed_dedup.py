@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
+from .groups import with_groups
 from .hnsw import Graph
 from .textops import mix
 
 SHARD_ROWS = 65_536     # vectors in a shard at most (on average)
 MIN_SHARDS = 6          # shards of a small table
+SLICE_ROWS = 1 << 20    # vectors searched in one task's shard at most (on average)
 AUDITED = 1_024         # vectors of each length whose links are also found by brute force in every shard
 RECALL = 0.999          # share of them whose links the graph must find, all of each
 BEAM = 32               # first beam
@@ -131,9 +133,10 @@ def _work(threshold: float):
         return scaled(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A partition's rows come sorted by (dim, shard, kind): first the
-        shard's vectors (0), then audited ones (1), then all vectors (2), which
-        stream through."""
+        """A partition's rows come sorted by (dim, shard, slice, kind): first
+        the shard's vectors (0), then audited ones (1), then all vectors of the
+        slice (2), which stream through. Every slice builds the shard's graph,
+        the same each time; the first one returns the links inside the shard."""
         key, held, shard, name, audited = None, [], None, None, []
 
         def open_shard() -> Iterator[pa.RecordBatch]:
@@ -144,21 +147,21 @@ def _work(threshold: float):
                 shard.audit(np.concatenate(audited))
             inside = list(shard.join_inside())
             name = _names(shard)
-            for rows, links in inside:
+            for rows, links in inside if key[2] == 0 else []:
                 yield out(shard.ids[rows], name[rows], links)
             held, audited = [], []
 
         for batch in batches:
-            marks = np.stack([batch.column(c).to_numpy() for c in ("dim", "shard", "kind")], axis=1)
+            marks = np.stack([batch.column(c).to_numpy() for c in ("dim", "shard", "slice", "kind")], axis=1)
             cuts = [*(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
             at = 0
             for to in cuts:
                 if to == at:
                     continue
-                part, (dim, number, kind) = batch.slice(at, to - at), marks[at].tolist()
+                part, (*unit, kind) = batch.slice(at, to - at), marks[at].tolist()
                 at = to
-                if key != (dim, number):
-                    key, held, shard, audited = (dim, number), [], None, []
+                if key != unit:
+                    key, held, shard, audited = unit, [], None, []
                 if kind == 0:
                     held.append(part)
                 elif kind == 1:
@@ -185,11 +188,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     cosine at least ``threshold``, computed in double precision), component_id
     (smallest vec_id reachable, itself included), kept (vec_id = component_id).
 
-    - Equal vectors collapse to their smallest vec_id with a count first, so
-      copies are never expanded into pairs.
+    - Equal vectors collapse to one with a count first, so copies are never
+      expanded into pairs. Vectors that a thousandth of all rows have or more
+      take their result to their rows by broadcast.
     - Shards are dealt by hash; their number follows the table, so a shard's
       graph has bounded size. Every vector is sent to every shard and streams
-      past its graph. Beams double for a query whose beam is full of links, and
+      past its graph, a bounded slice of all vectors in a task, so a task's
+      time doesn't grow with the table. Beams double for a query whose beam is full of links, and
       for the shard until all links of 99.9 % of the audited vectors (a fixed
       number of each length, searched by brute force as well) are found.
     - A shard returns one row per query and component inside the shard, with
@@ -204,26 +209,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     columns, whatever their names, are ignored. Empty tables give empty results.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("vector"))
-    spark = rows.sparkSession
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     usable = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda v: v != 0), F.lit(False))
     good = rows.where(usable)
-    distinct = materialize(good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).select(
-        "id", "copies", F.size("vector").alias("dim"), "vector"), "vectors")
+    distinct = good.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies")).sortWithinPartitions("least", "vector")
+    # from here on a vector goes by a number of its own, as vec_ids may repeat
+    distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("id"), "least", "copies", F.size("vector").alias("dim"), "vector"), "vectors")
     shards = max(MIN_SHARDS, math.ceil(distinct.count() / SHARD_ROWS))
     place = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))       # the first of each length, picked before the shuffle
     audited = distinct.withColumn("place", place).where(F.col("place") <= AUDITED)
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    dealt = (distinct.select("dim", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "copies", "vector")
-             .unionByName(audited.select("dim", every, F.lit(1).alias("kind"), "id", "copies", "vector"))
-             .unionByName(distinct.select("dim", every, F.lit(2).alias("kind"), "id", "copies", "vector")))
-    dealt = dealt.repartition(max(shards, spark.sparkContext.defaultParallelism), "dim", "shard").sortWithinPartitions("dim", "shard", "kind", "id")
+    slices = max(1, math.ceil(distinct.count() / SLICE_ROWS))
+    units = shards * slices
+    of_id, every = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int"), lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    graph = distinct.withColumn("shard", of_id(shards, 1)).withColumn("slice", F.explode(every(slices))).withColumn("kind", F.lit(0))
+    checks = audited.withColumn("shard", F.explode(every(shards))).withColumn("slice", F.explode(every(slices))).withColumn("kind", F.lit(1))
+    queries = distinct.withColumn("shard", F.explode(every(shards))).withColumn("slice", of_id(slices, 2)).withColumn("kind", F.lit(2))
+    dealt = graph.unionByName(checks.drop("place")).unionByName(queries).drop("least")
+    # each (shard, slice) of one length gets a task of its own
+    task = F.pmod(F.pmod(F.xxhash64("dim"), F.lit(units)) + F.col("shard") * slices + F.col("slice"), F.lit(units)).cast("int")
+    dealt = dealt.repartitionById(units, task).sortWithinPartitions("dim", "shard", "slice", "kind", "id")
     links = materialize(dealt.mapInArrow(_work(threshold), "a long, b long, links long"), "links")
-    found = materialize(components(links.select("a", "b")), "found")
-    linked = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    copied = distinct.where("copies > 1").select("vector", F.col("id").alias("rep"), "copies")
-    named = good.join(copied, "vector", "left").select("vec_id", F.coalesce("rep", "vec_id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies"))
-    result = named.join(linked, "rep", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    found = components(links.select("a", "b")).select(F.col("node").alias("id"), "component")
+    members = materialize(found.join(distinct.select("id", "least"), "id"), "members")
+    united = materialize(members.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("copies")), "united")
+    counted = links.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    values = distinct.select("id", "least", "copies").join(counted, "id", "left").join(with_groups(members.select("id", "component"), united, ["component"]).select("id", "component_id"), "id", "left")
+    values = materialize(values.select("id", "least", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component_id", "least").alias("component_id")), "values")
+    copied = materialize(distinct.where("copies > 1").select("id", "vector").join(values, "id").select("vector", "copies", "n_links", "component_id"), "copied")
+    result = with_groups(good, copied, ["vector"]).select("vec_id", "n_links", "component_id").unionByName(
+        values.where("copies = 1").select(F.col("least").alias("vec_id"), "n_links", "component_id"))
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return result.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
