@@ -9,7 +9,9 @@ import re
 import numpy as np
 import pytest
 
-from ledgerwatch.llm import bpe, chat, embed_dedup, exact_dedup, langid, licenses, minhash, mixing, packing, token_lm
+from pyspark.sql import functions as F
+
+from ledgerwatch.llm import bpe, chat, embed_dedup, exact_dedup, groups, langid, licenses, minhash, mixing, packing, token_lm
 from ledgerwatch.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, key string, size long, bands string, ids string"
@@ -219,6 +221,46 @@ def test_embeddings_equal_brute_force(spark):
         assert (r.n_links, r.component_id) == (links.get(r.vec_id, 0), comp.get(r.vec_id, r.vec_id))
 
 
+def test_embedding_slices_of_many_shards(spark, monkeypatch):
+    """Small slices, so that several tasks search each shard, give the same
+    rows; a third of all vectors are copies of one."""
+    rng = np.random.default_rng(8)
+    center = rng.normal(size=(12, 8))
+    data = [(i, (center[i % 12] + 0.06 * rng.normal(size=8)).tolist()) for i in range(240)] + [(500 + i, center[0].tolist()) for i in range(120)]
+    data += [(900 + i, rng.normal(size=5).tolist()) for i in range(20)] + [(900, center[1].tolist())]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    want = sorted(tuple(r) for r in embed_dedup.near_duplicates(df).collect())
+    monkeypatch.setattr(embed_dedup, "SHARD_ROWS", 30)
+    monkeypatch.setattr(embed_dedup, "SLICE_ROWS", 60)
+    assert sorted(tuple(r) for r in embed_dedup.near_duplicates(df).collect()) == want
+    names = [(i, str(v)) for i, v in data]
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in data]
+    near = [[b for b in range(len(data)) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95] for a in range(len(data))]
+    comp = unite(range(len(data)), [(a, b) for a in range(len(data)) for b in near[a] if a < b])
+    least = {c: min(names[a][0] for a in comp if comp[a] == c) for c in set(comp.values())}
+    assert sorted((names[a][0], len(near[a]) - 1, least[comp[a]]) for a in comp) == [w[:3] for w in want]
+
+
+def test_hot_groups_are_joined_where_they_lie(spark):
+    rows = [(i, "hot") for i in range(300)] + [(1000 + i, f"g{i // 2}") for i in range(400)] + [(5000, None), (5001, "alone")]
+    df = spark.createDataFrame(rows, "id long, name string")
+    grouped = df.where("name is not null and name <> 'alone'").groupBy("name").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
+    got = groups.with_groups(df, grouped, ["name"], share=0.1)
+    least = {n: min(i for i, m in rows if m == n) for _, n in rows if n not in (None, "alone")}
+    want = {(i, n, least[n]) for i, n in rows if n in least}
+    assert {(r.id, r.name, r.least) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_minhash_third_of_one_text_and_repeated_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    data = [(i, text.upper() if i % 2 else text) for i in range(100, 200)] + [(300 + i, f"{text} number {i} and {i * 7} more {i * 11}") for i in range(150)]
+    data += [(100, text)] * 5 + [(100, "another text of this same identifier that nobody else in here has"), (None, text), (7, ""), (8, None)]
+    got = minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert len(got) == len(data)
+    assert {r.component_id for r in got if r.doc_id is not None and 100 <= r.doc_id < 200} == {100}
+    assert all(r.kept for r in got if r.doc_id in (None, 7, 8))
+
+
 def test_mixing_reaches_targets(docs, spark):
     got = mixing.assign(docs).collect()
     size = {}
