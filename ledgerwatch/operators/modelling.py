@@ -19,6 +19,7 @@ from ..functions.numeric import round_to
 from ..session import materialize, scratch_path
 from ..sources import versions as V
 from .evaluation import classification_metrics, roc_auc
+from .windows import prefix_sums
 
 SPLIT_MODULUS = 104729
 SPLIT_MULTIPLIER = 7919
@@ -32,25 +33,19 @@ def split_key(id_col: str) -> F.Column:
 
 def with_class_rank(df: DataFrame, y: str = "is_fraud", id_col: str = "transaction_id") -> DataFrame:
     """Adds ``_rank``, 1 to n_class within each class in key order (key, then
-    id), and ``_n``, the rows of the class.
+    id; rows without id, or that repeat one, by a hash of the row), and ``_n``,
+    the rows of the class. Rows without a class are a class of their own.
 
-    The rank is computed in two levels so that no task holds a
-    whole class: counts per (class, key value) — at most classes × 104,729
-    rows, a bounded table that is broadcast — give the rows before each key
-    value, and a running count by id inside each (class, key value), about
-    n / 104,729 rows, gives the rest.
+    The rank is a distributed prefix count over ranges of that order, written
+    once, so no task holds a class, a key value or all rows without id; the
+    class sizes, one row per class, are broadcast.
     """
-    d = df.withColumn("_b", split_key(id_col))
-    bc = d.groupBy(y, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    per_class = Window.partitionBy(y)
-    bc = bc.select(
-        y, "_b",
-        F.coalesce(F.sum("_cnt").over(per_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(per_class).alias("_n"))
-    within = F.row_number().over(Window.partitionBy(y, "_b").orderBy(id_col))
-    d = d.withColumn("_in", within).join(F.broadcast(bc), [y, "_b"])
-    return d.withColumn("_rank", F.col("_before") + F.col("_in")).drop("_b", "_before", "_in")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    d = df.withColumns({"_b": split_key(id_col), "_row": row, "_one": F.lit(1).cast("long")})
+    d = prefix_sums(d, [y], [F.col("_b"), F.col(id_col).asc_nulls_first(), F.col("_row")], ["_one"], "class-rank")
+    sizes = d.groupBy(F.col(y).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    d = d.join(F.broadcast(sizes), F.col(y).eqNullSafe(F.col("_class")))
+    return d.withColumn("_rank", F.col("_before__one") + 1).drop("_b", "_row", "_one", "_before__one", "_class")
 
 
 def stratified_split(df: DataFrame, y: str = "is_fraud", id_col: str = "transaction_id",

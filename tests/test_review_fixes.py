@@ -52,6 +52,21 @@ def test_wide_and_null_ids_are_split(spark):
         (0, "test"): 10, (0, "train"): 40, (1, "test"): 10, (1, "train"): 40}
 
 
+def test_class_rank_of_rows_without_id(spark):
+    """A third of the rows without id, some ids repeated, a null class."""
+    from ledgerwatch.operators.modelling import split_key, with_class_rank
+
+    rows = [(None if i % 3 == 0 else i // 2, None if i % 10 == 9 else i % 2, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "transaction_id long, is_fraud int, place int")
+    got = with_class_rank(df).withColumn("key", split_key("transaction_id")).collect()
+    assert len(got) == len(rows) and set(got[0].asDict()) == {"transaction_id", "is_fraud", "place", "_rank", "_n", "key"}
+    for y in (0, 1, None):
+        mine = sorted((r for r in got if r.is_fraud == y), key=lambda r: r["_rank"])
+        assert [r["_rank"] for r in mine] == list(range(1, len(mine) + 1)) and {r["_n"] for r in mine} == {len(mine)}
+        order = [(r["key"], -1 if r.transaction_id is None else r.transaction_id) for r in mine]
+        assert order == sorted(order)
+
+
 def test_consecutive_drift_rule(spark):
     from ledgerwatch.operators.drift import consecutive_drift
 
