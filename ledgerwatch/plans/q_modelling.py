@@ -56,6 +56,12 @@ def _store(spark, sf: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{spark.sparkContext.applicationId}/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
 
 
+def held_out(spark, sf: str):
+    """The test rows with the model features, written once."""
+    test = split_features(spark, sf).where(F.col("split") == "test")
+    return materialize(test.select("transaction_id", "is_fraud", *P.MODEL_FEATURES), "test")
+
+
 def train_and_publish(spark, sf: str):
     """Train on the training rows, save the forest as the store's next version,
     evaluate the saved one on the test rows and append the run to the register;
@@ -64,7 +70,8 @@ def train_and_publish(spark, sf: str):
     s = materialize(split_features(spark, sf), "split")
     model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
     version = M.publish_model(spark, model, _store(spark, sf))
-    metrics = materialize(M.evaluate(M.score_batch(model, s.where(F.col("split") == "test"))), "metrics")
+    scored = materialize(M.score_batch(model, M.spread(s.where(F.col("split") == "test"))), "scored")
+    metrics = materialize(M.evaluate(scored), "metrics")
     run = G.training_run(metrics, f"fraud-model-v{version}", begun, time.monotonic() - clock, spark.sparkContext.defaultParallelism)
     G.append_run(run, f"{_store(spark, sf)}/runs")
     return metrics
@@ -86,8 +93,7 @@ def batch_scoring(spark, sf):
     if M.load_model(spark, _store(spark, sf)) is None:
         train_and_publish(spark, sf)
     model, version = M.load_model(spark, _store(spark, sf))
-    test = split_features(spark, sf).where(F.col("split") == "test")
-    return M.score_batch(model, test, version).drop("score")
+    return M.score_batch(model, M.spread(held_out(spark, sf)), version).drop("score")
 
 
 @register("trained_model_health")
@@ -133,5 +139,4 @@ def tree_attribution(spark, sf):
     if M.load_model(spark, _store(spark, sf)) is None:
         train_and_publish(spark, sf)
     model, _ = M.load_model(spark, _store(spark, sf))
-    test = split_features(spark, sf).where(F.col("split") == "test")
-    return rounded(AT.forest_attribution(model.stages[-1], test, P.MODEL_FEATURES))
+    return rounded(AT.forest_attribution(model.stages[-1], M.spread(held_out(spark, sf)), P.MODEL_FEATURES))

@@ -76,3 +76,10 @@ def test_importance_report(spark):
     assert abs(r["explanation_stability"] - (1 - 0.5 / 3)) < 1e-12
     empty = X.importance_report(attr.limit(0)).first()
     assert empty["n_features"] == 0 and empty["feature_importance"] == {} and empty["top_features"] == []
+
+
+def test_held_out_rows_are_explained_and_scored_by_all_cores(spark):
+    test = M.stratified_split(base.features_table(spark, SF_SMALL)).where("split = 'test'")
+    sizes = [r["count"] for r in M.spread(test).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == test.count() and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes)
+    assert M.forest().getCacheNodeIds()
