@@ -10,7 +10,9 @@ features are known; written as an integral over the share t of known features,
 
 with in_j = 1 where the row's value lies in the leaf's interval. The integrand
 is a polynomial of lower degree than there are features, so a few Gauss-Legendre
-points give it exactly. All of it is products over (row, leaf, feature) arrays.
+points give it exactly. It depends on the row only by which features of the
+leaf's path are inside, so a leaf has a table of at most 2^features parts, and
+rows in one cell of a tree's thresholds are looked up once.
 
 The leaves of the forest are broadcast, in groups of bounded size, and rows are
 explained where they lie: the work is parallel over rows and no row reaches the
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_path
 
 GROUP_LEAVES = 1 << 17       # leaves broadcast together (about 150 bytes each per feature)
-CELLS = 1 << 21              # (row, leaf, feature) cells worked on at a time
+CELLS = 1 << 18              # (leaf, pattern, feature) cells of tables held at a time
+ROWS = 1 << 16               # rows explained together
 
 
 def _tree_arrays(pdf: pd.DataFrame):
@@ -78,26 +81,65 @@ class Leaves:
         self.low, self.high, self.share, self.value, weight = (np.array(x) for x in zip(*rows))
         self.expected = float((weight * self.value).sum())
 
-    def inside(self, x: np.ndarray) -> np.ndarray:
-        """[row, leaf, feature]; a missing value goes right, as in the forest."""
-        above = ~(x[:, None, :] <= self.low) | np.isneginf(self.low)
-        return above & ((x[:, None, :] <= self.high) | np.isposinf(self.high))
+        # per feature: thresholds, and by leaf the first and last bin between them that lies inside
+        self.cuts, self.first, self.last = [], np.zeros(self.low.shape, np.int64), np.zeros(self.low.shape, np.int64)
+        for f in range(features):
+            low, high = self.low[:, f], self.high[:, f]
+            cuts = np.unique(np.concatenate([low[np.isfinite(low)], high[np.isfinite(high)]]))
+            self.cuts.append(cuts)
+            self.first[:, f] = np.where(np.isneginf(low), 0, np.searchsorted(cuts, low) + 1)
+            self.last[:, f] = np.where(np.isposinf(high), len(cuts), np.searchsorted(cuts, high))
+        self.split = ~np.isneginf(self.low) | ~np.isposinf(self.high)       # features on a leaf's path
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        """Of each value, the interval between thresholds of the tree; a missing
+        value goes right, as in the forest."""
+        return np.stack([np.searchsorted(cuts, x[:, f]) for f, cuts in enumerate(self.cuts)], axis=1)
+
+    def tables(self, leaves: np.ndarray) -> np.ndarray:
+        """[leaf, which features of its path are inside (bits), feature of its
+        path]: the attribution at leaves whose paths have equally many features."""
+        k = int(self.split[leaves[0]].sum())
+        share = self.share[leaves][self.split[leaves]].reshape(len(leaves), 1, k)
+        inside = (np.arange(1 << k)[:, None] >> np.arange(k) & 1).astype(float)[None]
+        push = inside - share
+        points, weights = np.polynomial.legendre.leggauss(max(1, -(-k // 2)))
+        out = np.zeros(push.shape)
+        for t, w in zip((points + 1) / 2, weights / 2):
+            factor = share * (1 - t) + inside * t
+            # shares of 0 come from splits that no training weight passed; keep the division defined
+            safe = np.where(factor > 0, factor, 1e-300)
+            out += (safe.prod(axis=2) * (w * self.value[leaves])[:, None])[:, :, None] * push / safe
+        return out
 
     def phi(self, x: np.ndarray) -> np.ndarray:
-        features = x.shape[1]
-        points, weights = np.polynomial.legendre.leggauss(max(1, -(-features // 2)))
-        out = np.zeros(x.shape)
-        step = max(1, CELLS // (len(self.value) * features))
-        for at in range(0, len(x), step):
-            inside = self.inside(x[at: at + step])
-            push = inside - self.share
-            for t, w in zip((points + 1) / 2, weights / 2):
-                factor = self.share * (1 - t) + inside * t
-                # shares of 0 come from splits that no training weight passed; keep the division defined
-                safe = np.where(factor > 0, factor, 1e-300)
-                whole = safe.prod(axis=2) * (w * self.value)
-                out[at: at + step] += np.einsum("rl,rlf->rf", whole, push / safe)
-        return out
+        """A leaf's part depends only on which features of its path are inside
+        its interval, so it is looked up, once for rows in one cell of the
+        tree's thresholds."""
+        cell = np.zeros(len(x), np.int64)
+        bins = self.bins(x)
+        for f, cuts in enumerate(self.cuts):
+            if len(cuts):
+                cell = np.unique(cell, return_inverse=True)[1] * (len(cuts) + 1) + bins[:, f]
+        _, some, whole = np.unique(cell, return_index=True, return_inverse=True)
+        columns = np.ascontiguousarray(bins[some].T)
+        out = np.zeros((x.shape[1], len(some)))
+        used = self.split.sum(axis=1)
+        for k in np.unique(used[used > 0]).tolist():
+            alike = np.flatnonzero(used == k)
+            step = max(1, CELLS // (k << k))
+            for at in range(0, len(alike), step):
+                leaves = alike[at: at + step]
+                for leaf, table in zip(leaves.tolist(), self.tables(leaves)):
+                    path = np.flatnonzero(self.split[leaf]).tolist()
+                    pattern = np.zeros(len(some), np.intp)
+                    for bit, f in enumerate(path):
+                        inside = np.zeros(len(self.cuts[f]) + 1, np.intp)
+                        inside[self.first[leaf, f]: self.last[leaf, f] + 1] = 1 << bit
+                        pattern += inside[columns[f]]
+                    for f, values in zip(path, np.ascontiguousarray(table.T)):
+                        out[f] += values[pattern]
+        return out.T[whole]
 
 
 def tree_shap(left, right, feat, thr, cover, value, X: np.ndarray) -> tuple[np.ndarray, float]:
@@ -129,16 +171,29 @@ def forest_leaves(rf_model: RandomForestClassificationModel, spark, features: in
             held += r["n"]
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches, about ROWS rows at a time."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= ROWS:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 def _explain(shared, trees: int, features: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = shared.value
-        for batch in batches:
-            x = np.stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(len(features))], axis=1).astype(float)
+        for batch in _together(batches):
+            x = np.stack([batch.column(f"_x{i}").to_numpy() for i in range(len(features))], axis=1).astype(float)
             phi = sum(tree.phi(x) for tree in group) / trees
             base = sum(tree.expected for tree in group) / trees
             whole = np.concatenate([np.full((len(x), 1), base), phi], axis=1)
             values = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * whole.shape[1]), pa.array(whole.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), values], ["_row", "_id", "phi"])
+            yield from pa.table([batch.column("_row"), batch.column("_id"), values], ["_row", "_id", "phi"]).to_batches()
     return run
 
 

@@ -69,3 +69,32 @@ def test_forest_attribution_is_additive(spark):
     prob = model.transform(sample).select("transaction_id", vector_to_array("probability")[1].alias("p"))
     bad = total.join(prob, "transaction_id").where(F.abs(F.col("s") - F.col("p")) > 1e-9).count()
     assert total.count() == 40 and bad == 0
+
+
+def _by_boxes(leaves, x):
+    """The attribution formula written out over (row, leaf, feature)."""
+    above = ~(x[:, None, :] <= leaves.low) | np.isneginf(leaves.low)
+    inside = above & ((x[:, None, :] <= leaves.high) | np.isposinf(leaves.high))
+    points, weights = np.polynomial.legendre.leggauss(5)
+    out = np.zeros(x.shape)
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factor = leaves.share * (1 - t) + inside * t
+        for f in range(x.shape[1]):
+            rest = np.delete(factor, f, axis=2).prod(axis=2)
+            out[:, f] += (w * leaves.value * (inside[:, :, f] - leaves.share[:, f]) * rest).sum(axis=1)
+    return out
+
+
+def test_tables_equal_the_formula_on_edges_and_missing_values():
+    rng = np.random.default_rng(4)
+    left, right, feat, thr, cover = [-1], [-1], [-1], [0.0], [100.0]
+    for j in range(60):        # node j splits, every third time with no weight on one side
+        left[j], right[j], feat[j], thr[j] = len(left), len(left) + 1, int(rng.integers(0, 9)), float(rng.integers(0, 6))
+        part = 0.0 if j % 3 == 2 else rng.uniform(0.2, 0.8)
+        for c in (cover[j] * part, cover[j] * (1 - part)):
+            left.append(-1), right.append(-1), feat.append(-1), thr.append(0.0), cover.append(c)
+    leaves = AT.Leaves(left, right, feat, thr, cover, rng.uniform(0, 1, len(left)), 9)
+    x = rng.integers(-1, 7, (500, 9)).astype(float)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[0], x[1] = np.inf, -np.inf
+    assert np.allclose(leaves.phi(x), _by_boxes(leaves, x), atol=1e-12)
