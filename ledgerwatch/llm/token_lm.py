@@ -9,12 +9,12 @@ was fitted on other texts) shares one token evenly with all others outside it.
 A document's pseudo-log-likelihood is the sum over all its tokens of the
 log-probability given both sides.
 
-Counts of all code points come from all whole texts. A share of all windows of
-the corpus, so more with more text, is drawn where the texts lie, dealt at random
-over partitions in blocks, and checkpointed. Training is data-parallel over
-them: each round every partition runs NumPy steps on its windows of that round,
-and parameters are averaged by Spark aggregations in two levels, weighted by the
-windows seen. Only the averaged parameters (a fixed number for each token of the
+Counts of all code points come from all whole texts. The texts, long ones in
+pieces, are dealt at random over partitions and rounds and checkpointed.
+Training is data-parallel over them: each round every partition runs NumPy steps
+on all windows of its texts of that round, so every window of the corpus is
+learned from once, and parameters are averaged by Spark aggregations in two
+levels, weighted by the windows seen. Only the averaged parameters (a fixed number for each token of the
 vocabulary) reach the driver.
 """
 
@@ -38,9 +38,8 @@ HIDDEN = 48
 ROUNDS = 3
 BATCH = 4096
 LEAST_STEPS = 40                # of a partition in a round
-DRAWN = 1 / 16                  # windows drawn in all rounds, for each token of the corpus
-BLOCK = 1024                    # drawn windows dealt together
-MIXED = 16                      # batches of windows shuffled together
+DEALT = 1 << 14                 # code points dealt together at most
+MIXED = 1 << 18                 # bytes of text whose windows are shuffled together
 PARTS = 12                      # training partitions at least
 PART_TOKENS = 1 << 28           # tokens of the corpus for each training partition, on average
 CHUNK = 1 << 16                 # parameters sent in a row
@@ -169,10 +168,10 @@ class Learner:
             self.now[name][where] -= rate * mean / (np.sqrt(square / by) + np.float32(1e-8))
 
 
-def _pieces(text: str) -> list[tuple[str, str, str]]:
-    """A text as (before, piece, after): pieces of SLICE code points with the
+def _pieces(text: str, size: int = SLICE) -> list[tuple[str, str, str]]:
+    """A text as (before, piece, after): pieces of ``size`` code points with the
     SIDE code points around them."""
-    return [(text[max(0, at - SIDE): at], text[at: at + SLICE], text[at + SLICE: at + SLICE + SIDE]) for at in range(0, max(1, len(text)), SLICE)]
+    return [(text[max(0, at - SIDE): at], text[at: at + size], text[at + size: at + size + SIDE]) for at in range(0, max(1, len(text)), size)]
 
 
 class Line:
@@ -240,61 +239,43 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(point.astype(np.int32)), pa.array(seen[point])], ["point", "n"])
 
 
-def _width(size: int) -> type:
-    """The narrowest type that holds a token."""
-    return np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.int32
-
-
-def _draw(shared, share: float, rounds: int):
-    """Blocks of windows with their tokens (last), drawn evenly from a
-    partition's texts, each dealt to a round and a random place."""
+def _deal(rounds: int):
+    """All of a partition's texts in pieces, each dealt to a round and a random place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, rng = shared.value, np.random.default_rng([17, TaskContext.get().partitionId()])
-        ids = model.ids()
-        for _, line, _ in _lines(batches, ids):
-            window, token = line.windows(rng.permutation(line.spot[rng.random(len(line.spot)) < share]))
-            both = np.concatenate([window, token[:, None]], axis=1).astype(_width(model.size))
-            blocks = [both[at: at + BLOCK].tobytes() for at in range(0, len(both), BLOCK)]
-            yield pa.RecordBatch.from_arrays([pa.array(rng.integers(0, 1 << 62, len(blocks))), pa.array(rng.integers(0, rounds, len(blocks)).astype(np.int32)), pa.array(blocks, pa.binary())], ["place", "turn", "block"])
+        rng = np.random.default_rng([17, TaskContext.get().partitionId()])
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE):
+                pieces = [p for t in batch.column("text").to_pylist() if t for p in _pieces(t, DEALT)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rng.integers(0, 1 << 62, len(pieces))), pa.array(rng.integers(0, rounds, len(pieces)).astype(np.int32)),
+                     *[pa.array([p[i] for p in pieces], pa.string()) for i in range(3)]], ["place", "turn", "before", "text", "after"])
     return run
 
 
 def _round(shared, number: int):
-    """Train on a partition's windows, read in order and shuffled some batches at a time."""
+    """Train on all windows of a partition's pieces of text, read in order and shuffled some at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         learner, rng = Learner(shared.value), np.random.default_rng([number, part])
-        held, waiting, first, seen = [], 0, None, 0
-
-        def steps(last: bool) -> int:
-            """Whole batches of the windows held, in shuffled order; at the end the rest too."""
-            nonlocal held, first
-            rows = rng.permutation(np.concatenate(held))
-            if first is None:                      # kept for partitions with too few windows for LEAST_STEPS
-                first = rows[: LEAST_STEPS * BATCH]
-            ends = range(0, len(rows) if last else len(rows) - len(rows) % BATCH, BATCH)
-            for at in ends:
-                learner.learn(rows[at: at + BATCH, :-1], rows[at: at + BATCH, -1])
-            held = [rows[len(ends) * BATCH:]]
-            return len(held[0])
-
-        for batch in batches:
-            for block in batch.column("block"):
-                rows = np.frombuffer(block.as_buffer(), _width(shared.value.size)).reshape(-1, WINDOW + 1).astype(np.int32)
-                held.append(rows)
-                waiting, seen = waiting + len(rows), seen + len(rows)
-                if waiting >= MIXED * BATCH:
-                    waiting = steps(False)
+        ids, first, seen = shared.value.ids(), None, 0
+        for whole in batches:
+            for batch in slices(whole, "text", MIXED):
+                line = Line(list(zip(*(batch.column(c).to_pylist() for c in ("before", "text", "after")))), ids)
+                spot = rng.permutation(line.spot)
+                if first is None:                  # kept for partitions with too few windows for LEAST_STEPS
+                    first = line.windows(spot[: LEAST_STEPS * BATCH])
+                steps = max(1, -(-len(spot) // BATCH))
+                for some in np.array_split(spot, steps):
+                    learner.learn(*line.windows(some))
+                seen += len(spot)
         if seen:
-            if waiting:
-                steps(True)
             while learner.step < LEAST_STEPS:
-                some = first[rng.integers(0, len(first), BATCH)]
-                learner.learn(some[:, :-1], some[:, -1])
+                some = rng.integers(0, len(first[1]), BATCH)
+                learner.learn(first[0][some], first[1][some])
             at = range(0, len(learner.flat), CHUNK)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(at), dtype=np.int32)), pa.array(np.full(len(at), part // TOGETHER, np.int32)),
@@ -313,7 +294,7 @@ SUMMED = "place int, part binary, weight double"
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
-    """The network, learned from the windows of all of ``docs``."""
+    """The network, learned from every window of ``docs``."""
     spark = docs.sparkSession
     points = docs.select("text").mapInArrow(frugal(_points), "point int, n long").groupBy("point").agg(F.sum("n").alias("n")).collect()       # at most all code points
     points = sorted(((r["point"], r["n"]) for r in points), key=lambda r: (-r[1], r[0]))
@@ -322,13 +303,12 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
         return model
     tokens = sum(n for _, n in points)
     number = max(PARTS, tokens // PART_TOKENS + 1)
-    share = min(1.0, max(DRAWN, rounds * LEAST_STEPS * BATCH * number / tokens))
     ensure_checkpoint_dir(spark)
-    drawn = docs.select("text").mapInArrow(frugal(_draw(spark.sparkContext.broadcast(model), share, rounds)), "place long, turn int, block binary")
-    drawn = drawn.repartition(number, "place").checkpoint()
+    dealt = docs.select("text").mapInArrow(frugal(_deal(rounds)), "place long, turn int, before string, text string, after string")
+    dealt = dealt.repartition(number, "place").checkpoint()
     for i in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        new = drawn.where(F.col("turn") == i).mapInArrow(frugal(_round(shared, i)), "place int, level int, part binary, weight double")
+        new = dealt.where(F.col("turn") == i).mapInArrow(frugal(_round(shared, i)), "place int, level int, part binary, weight double")
         sums = new.groupBy("place", "level").applyInArrow(_sum, SUMMED).groupBy("place").applyInArrow(_sum, SUMMED)
         sums = sorted(sums.collect(), key=lambda r: r["place"])
         model.flat = np.concatenate([np.frombuffer(r["part"], np.float64) / r["weight"] for r in sums]).astype(np.float32)
@@ -350,10 +330,11 @@ def _score(shared):
                     yield out(open_batch, count, total)
                 open_batch, count, total = batch, np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             spot, where = _distinct(line, model.size)
-            upto = np.concatenate([[0.0], np.cumsum(log_probability(model, *line.windows(spot))[where])])
-            ends = np.cumsum(line.counts)
+            some = np.flatnonzero(line.counts)
+            begin = np.cumsum(line.counts) - line.counts
             count[row] += line.counts
-            total[row] += upto[ends] - upto[ends - line.counts]
+            if len(some):       # each piece's sum by itself, so that it doesn't depend on its neighbours
+                total[row[some]] += np.add.reduceat(log_probability(model, *line.windows(spot))[where], begin[some])
         if open_batch is not None:
             yield out(open_batch, count, total)
     return run

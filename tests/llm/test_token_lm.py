@@ -61,3 +61,17 @@ def test_a_large_vocabulary_keeps_windows_apart():
             key = tuple(ids[i - 3: i + 4])
             seen[key] = seen.get(key, 0) + 1
     assert {(*x[:3], t, *x[3:]): n for x, t, n in zip(window.tolist(), token.tolist(), count.tolist())} == seen and line.counts.sum() == len(where)
+
+
+def test_every_window_is_learned_from(spark):
+    texts = ["ab" * 50_000, "", None, "xyz", *["one text of many " * 20] * 40]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    pieces = docs.mapInArrow(token_lm._deal(3), "place long, turn int, before string, text string, after string").collect()
+    assert sum(len(p.text) for p in pieces) == sum(len(t or "") for t in texts) and {p.turn for p in pieces} == {0, 1, 2}
+    whole = texts[0]
+    longs = [p for p in pieces if set(p.text) <= set("ab")]
+    assert all(len(p.text) <= token_lm.DEALT and p.before + p.text + p.after in whole for p in longs) and sum(p.before == "" for p in longs) == 1
+    model = token_lm.Model(np.arange(32, 123), np.ones(91))
+    rows = spark.createDataFrame(pieces, "place long, turn int, before string, text string, after string")
+    parts = rows.mapInArrow(token_lm._round(spark.sparkContext.broadcast(model), 0), "place int, level int, part binary, weight double")
+    assert parts.where("place = 0").agg({"weight": "sum"}).first()[0] == sum(len(t or "") for t in texts)
