@@ -168,9 +168,10 @@ class Learner:
             self.now[name][where] -= rate * mean / (np.sqrt(square / by) + np.float32(1e-8))
 
 
-def _pieces(text: str, size: int = SLICE) -> list[tuple[str, str, str]]:
-    """A text as (before, piece, after): pieces of ``size`` code points with the
-    SIDE code points around them."""
+def _pieces(text: str, size: int | None = None) -> list[tuple[str, str, str]]:
+    """A text as (before, piece, after): pieces of ``size`` (else SLICE) code
+    points with the SIDE code points around them."""
+    size = size or SLICE
     return [(text[max(0, at - SIDE): at], text[at: at + size], text[at + size: at + size + SIDE]) for at in range(0, max(1, len(text)), size)]
 
 
@@ -311,7 +312,8 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
         new = dealt.where(F.col("turn") == i).mapInArrow(frugal(_round(shared, i)), "place int, level int, part binary, weight double")
         sums = new.groupBy("place", "level").applyInArrow(_sum, SUMMED).groupBy("place").applyInArrow(_sum, SUMMED)
         sums = sorted(sums.collect(), key=lambda r: r["place"])
-        model.flat = np.concatenate([np.frombuffer(r["part"], np.float64) / r["weight"] for r in sums]).astype(np.float32)
+        if sums:                # else no piece of a small corpus was dealt to this round
+            model.flat = np.concatenate([np.frombuffer(r["part"], np.float64) / r["weight"] for r in sums]).astype(np.float32)
     return model
 
 
