@@ -14,7 +14,9 @@ pieces, are dealt at random over partitions and rounds and checkpointed.
 Training is data-parallel over them: each round every partition runs NumPy steps
 on all windows of its texts of that round, so every window of the corpus is
 learned from once, and parameters are averaged by Spark aggregations in two
-levels, weighted by the windows seen. Only the averaged parameters (a fixed number for each token of the
+levels, weighted by the windows seen. A partition's first texts are learned from
+window by window; of the later ones, equal windows of some megabytes of text are
+put together and count by their number, so a step covers more of the corpus. Only the averaged parameters (a fixed number for each token of the
 vocabulary) reach the driver.
 """
 
@@ -37,14 +39,20 @@ POINTS = 0x110000
 HIDDEN = 48
 ROUNDS = 3
 BATCH = 4096
+LOTS = 4096                     # lots of equal windows in a step
 LEAST_STEPS = 40                # of a partition in a round
 DEALT = 1 << 14                 # code points dealt together at most
 MIXED = 1 << 18                 # bytes of text whose windows are shuffled together
+PLAIN = 1 << 20                 # code points of a partition in a round that are learned from window by window
+GROUPED = 4 << 20               # code points whose equal windows are put together after that
+HELD = 6 << 20                  # windows put together that are held, to be put together again, at most (about)
+LOT = 32                        # equal windows in a row that is learned from, at most
 PARTS = 12                      # training partitions at least
 PART_TOKENS = 1 << 28           # tokens of the corpus for each training partition, on average
 CHUNK = 1 << 16                 # parameters sent in a row
 TOGETHER = 64                   # models added up in one group of the first level
 SLICE = 2 << 20                 # bytes of text worked on at a time
+LINE = 4 << 20                  # bytes of text scored together
 
 BORDER = 0
 
@@ -88,17 +96,25 @@ class Model:
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
     """Log-probabilities by row."""
-    logits = logits - logits.max(axis=1, keepdims=True)
+    top = np.ascontiguousarray(logits.T).max(axis=0) if logits.shape[1] <= 32 else logits.max(axis=1)       # narrow rows are slow to reduce
+    logits = logits - top[:, None]
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
 def _hidden(p: dict, window: np.ndarray) -> np.ndarray:
-    total = p["embed"][0][window[:, 0]] + p["bias"]
+    total = np.take(p["embed"][0], window[:, 0], axis=0)
+    total += p["bias"]
+    more = np.empty_like(total)
     for i in range(1, WINDOW):
-        total += p["embed"][i][window[:, i]]
+        total += np.take(p["embed"][i], window[:, i], axis=0, out=more, mode="clip")       # clipping spares a buffer
     return np.tanh(total, out=total)
 
 
+def _sorted(key: np.ndarray, most: int) -> np.ndarray:
+    """The stable order of keys below ``most``; short integers sort by digits."""
+    return np.argsort(key.astype(np.uint16) if most <= 1 << 16 else key, kind="stable")
+
+
 def log_probability(model: Model, window: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Of every row's token in its window."""
     p, out = model.parts(model.flat), np.empty(len(token))
@@ -106,38 +122,45 @@ def log_probability(model: Model, window: np.ndarray, token: np.ndarray) -> np.n
         t = token[at: at + (1 << 13)]
         hidden, block = _hidden(p, window[at: at + (1 << 13)]), t // model.width
         logp = _softmax(hidden @ p["block"] + p["block_base"])[np.arange(len(t)), block].astype(np.float64)
-        for b in np.unique(block).tolist():
-            rows = np.flatnonzero(block == b)
+        order = _sorted(block, model.blocks)
+        for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+            b = int(block[rows[0]])
             logp[rows] += _softmax(hidden[rows] @ p["out"][b] + p["base"][b])[np.arange(len(rows)), t[rows] % model.width]
         out[at: at + (1 << 13)] = logp - np.where(t == model.size - 1, model.unseen, 0.0)
     return out
 
 
-def gradients(model: Model, p: dict, window: np.ndarray, token: np.ndarray) -> list[tuple[str, object, np.ndarray]]:
-    """Of the mean negative log-probability, as (parameter, where in it,
-    values): only rows of embeddings and blocks of the softmax that occur."""
+def gradients(model: Model, p: dict, window: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None) -> list[tuple[str, object, np.ndarray]]:
+    """Of the mean negative log-probability (rows count by ``weight``), as
+    (parameter, where in it, values): only rows of embeddings and blocks of the
+    softmax that occur."""
     n, every = len(token), np.arange(len(token))
+    part = np.full((n, 1), n, p["bias"].dtype) if weight is None else (weight.sum() / weight).astype(p["bias"].dtype)[:, None]
     hidden, block = _hidden(p, window), token // model.width
     delta = np.exp(_softmax(hidden @ p["block"] + p["block_base"]))
     delta[every, block] -= 1
-    delta /= n
+    delta /= part
     back = delta @ p["block"].T
     out = [("block", ..., hidden.T @ delta), ("block_base", ..., delta.sum(axis=0))]
-    order = np.argsort(block, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
-        b = int(block[rows[0]])
-        delta = np.exp(_softmax(hidden[rows] @ p["out"][b] + p["base"][b]))
-        delta[np.arange(len(rows)), token[rows] % model.width] -= 1
-        delta /= n
-        back[rows] += delta @ p["out"][b].T
-        out += [("out", b, hidden[rows].T @ delta), ("base", b, delta.sum(axis=0))]
+    order = _sorted(block, model.blocks)
+    cuts = [0, *(np.flatnonzero(np.diff(block[order])) + 1).tolist(), n]
+    near, place, part = hidden[order], token[order] % model.width, part[order]
+    more = np.empty_like(back)
+    for at, to in zip(cuts, cuts[1:]):
+        b = int(block[order[at]])
+        delta = np.exp(_softmax(near[at:to] @ p["out"][b] + p["base"][b]))
+        delta[every[: to - at], place[at:to]] -= 1
+        delta /= part[at:to]
+        np.matmul(delta, p["out"][b].T, out=more[at:to])
+        out += [("out", b, near[at:to].T @ delta), ("base", b, delta.sum(axis=0))]
+    back[order] += more
     back *= 1 - hidden ** 2
     out.append(("bias", ..., back.sum(axis=0)))
-    for i in range(WINDOW):
-        order = np.argsort(window[:, i], kind="stable")
-        seen = window[order, i]
-        first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
-        out.append(("embed", (i, seen[first]), np.add.reduceat(back[order], first, axis=0)))
+    key = (window.T + np.arange(WINDOW)[:, None] * model.size).ravel()       # rows of the embeddings of all places
+    order = _sorted(key, WINDOW * model.size)
+    seen = key[order]
+    first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+    out.append(("embed", np.divmod(seen[first], model.size), np.add.reduceat(np.take(back, order % n, axis=0), first, axis=0)))
     return out
 
 
@@ -158,10 +181,10 @@ class Learner:
         self.model, self.flat, self.step = model, model.flat.copy(), 0
         self.now, self.mean, self.square = (model.parts(x) for x in (self.flat, np.zeros_like(self.flat), np.zeros_like(self.flat)))
 
-    def learn(self, window: np.ndarray, token: np.ndarray) -> None:
+    def learn(self, window: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None) -> None:
         self.step += 1
         rate, by = np.float32(0.01 / (1 - 0.9 ** self.step)), np.float32(1 - 0.999 ** self.step)
-        for name, where, grad in gradients(self.model, self.now, window, token):
+        for name, where, grad in gradients(self.model, self.now, window, token, weight):
             mean = self.mean[name][where] * np.float32(0.9) + np.float32(0.1) * grad
             square = self.square[name][where] * np.float32(0.999) + np.float32(0.001) * grad * grad
             self.mean[name][where], self.square[name][where] = mean, square
@@ -197,29 +220,88 @@ class Line:
 
     def windows(self, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(windows, tokens) at some places."""
-        return np.stack([self.tokens[spot + j] for j in range(-SIDE, SIDE + 1) if j], axis=1), self.tokens[spot]
+        window = np.empty((WINDOW, len(spot)), np.intp)
+        for i, j in enumerate(j for j in range(-SIDE, SIDE + 1) if j):
+            window[i] = self.tokens[spot + j]
+        return window.T, self.tokens[spot]
 
 
-def _distinct(line: Line, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a place of each distinct window and token, which of them every token has)."""
+def _keys(line: Line, size: int) -> np.ndarray:
+    """A number for the window of every token and the token itself."""
     bits = U64(max(1, (size - 1).bit_length()))
     exact = (WINDOW + 1) * int(bits) <= 64       # else a 64-bit fingerprint
-    key = np.zeros(len(line.spot), U64)
-    for j in range(-SIDE, SIDE + 1):
-        part = line.tokens[line.spot + j].astype(U64)
-        key = (key << bits) | part if exact else mix(key * U64(0x9E3779B97F4A7C15) + part + U64(1))
+    n = max(0, len(line.tokens) - WINDOW)
+    key = np.zeros(n, U64)
+    for j in range(WINDOW + 1):
+        part = line.tokens[j: j + n].astype(U64)
+        if exact:
+            key <<= bits
+            key |= part
+        else:
+            key = mix(key * U64(0x9E3779B97F4A7C15) + part + U64(1))
+    return key[line.spot - SIDE]
+
+
+def _equal(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the keys' order, where in it each distinct key begins, how often it occurs)."""
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    where = np.empty(len(key), np.int32)
-    where[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
-    return line.spot[order[first]], where
+    return order, first, np.diff(np.append(first, len(key)))
+
+
+def _grouped(line: Line, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the keys of the distinct windows and tokens, ascending, a place of each, which of them every token has)."""
+    key = _keys(line, size)
+    every, bits = np.arange(len(key), dtype=np.int32), max(1, (len(key) - 1).bit_length())
+    slot = (key * U64(0x9E3779B97F4A7C15) >> U64(64 - bits)).astype(np.intp)
+    last = np.empty(1 << bits, np.int32)
+    last[slot] = every                           # a slot stands for the last window in it
+    same = last[slot]
+    other = np.flatnonzero(key[same] != key)     # the other windows of a slot
+    order, first, copies = _equal(key[other])
+    same[other[order]] = np.repeat(other[order[first]], copies)
+    at = np.flatnonzero(same == every)
+    at = at[np.argsort(key[at])]
+    last[at] = every[: len(at)]
+    return key[at], line.spot[at], last[same]
+
+
+def _distinct(line: Line, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct window and token, which of them every token has)."""
+    return _grouped(line, size)[1:]
+
+
+class Counts:
+    """Windows and their tokens, equal ones put together: first those of some
+    megabytes of text, then those of all that is held."""
+
+    def __init__(self, model: Model, ids: np.ndarray):
+        self.size, self.ids, self.kind = model.size, ids, np.uint16 if model.size <= 1 << 16 else np.int32
+        self.parts, self.rows, self.tokens = [], 0, 0
+
+    def add(self, pieces: list[tuple[str, str, str]]) -> None:
+        line = Line(pieces, self.ids)
+        key, spot, where = _grouped(line, self.size)
+        window, token = line.windows(spot)
+        self.parts.append((key, np.concatenate([window.T, token[None]]).astype(self.kind), np.bincount(where)))
+        self.rows, self.tokens = self.rows + len(spot), self.tokens + len(where)
+
+    def lots(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(windows and tokens by column, which of them each lot is of, its
+        number of equal windows, at most LOT); nothing is held after that."""
+        key, column, copies = (np.concatenate(x, axis=-1) for x in zip(*self.parts))
+        self.parts, self.rows, self.tokens = [], 0, 0
+        order, first, _ = _equal(key)
+        copies = np.add.reduceat(copies[order], first)
+        lots = -(-copies // LOT)
+        return column, np.repeat(order[first], lots), np.repeat((copies / lots).astype(np.float32), lots)
 
 
 def _lines(batches: Iterator[pa.RecordBatch], ids: np.ndarray) -> Iterator[tuple[pa.RecordBatch, Line, np.ndarray]]:
     """(rows, a line of them, the row of each of its pieces): some rows at a time, and a longer text's pieces one at a time."""
     for whole in batches:
-        for batch in slices(whole, "text", SLICE):
+        for batch in slices(whole, "text", LINE):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             if len(texts) == 1:
                 for piece in _pieces(texts[0]):
@@ -256,16 +338,35 @@ def _deal(rounds: int):
 
 
 def _round(shared, number: int):
-    """Train on all windows of a partition's pieces of text, read in order and shuffled some at a time."""
+    """Train on all windows of a partition's pieces of text, read in order and
+    shuffled some at a time, equal ones together after the first PLAIN code points."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         learner, rng = Learner(shared.value), np.random.default_rng([number, part])
-        ids, first, seen = shared.value.ids(), None, 0
+        ids, first, seen, held = shared.value.ids(), None, 0, []
+        counts = Counts(shared.value, ids)
+
+        def learn_counts() -> int:
+            tokens, (column, lot, copies) = counts.tokens, counts.lots()
+            for some in np.array_split(rng.permutation(len(lot)), -(-len(lot) // LOTS)):
+                rows = column[:, lot[some]].astype(np.intp)
+                learner.learn(rows[:-1].T, rows[-1], copies[some])
+            return tokens
+
         for whole in batches:
             for batch in slices(whole, "text", MIXED):
-                line = Line(list(zip(*(batch.column(c).to_pylist() for c in ("before", "text", "after")))), ids)
+                pieces = list(zip(*(batch.column(c).to_pylist() for c in ("before", "text", "after"))))
+                if seen >= PLAIN:
+                    held += pieces
+                    if sum(len(p[1]) for p in held) >= GROUPED:
+                        counts.add(held)
+                        held = []
+                        if counts.rows >= HELD:
+                            seen += learn_counts()
+                    continue
+                line = Line(pieces, ids)
                 spot = rng.permutation(line.spot)
                 if first is None:                  # kept for partitions with too few windows for LEAST_STEPS
                     first = line.windows(spot[: LEAST_STEPS * BATCH])
@@ -273,6 +374,10 @@ def _round(shared, number: int):
                 for some in np.array_split(spot, steps):
                     learner.learn(*line.windows(some))
                 seen += len(spot)
+        if held:
+            counts.add(held)
+        if counts.rows:
+            seen += learn_counts()
         if seen:
             while learner.step < LEAST_STEPS:
                 some = rng.integers(0, len(first[1]), BATCH)
