@@ -39,7 +39,6 @@ POINTS = 0x110000
 HIDDEN = 48
 ROUNDS = 3
 BATCH = 4096
-LOTS = 4096                     # lots of equal windows in a step
 LEAST_STEPS = 40                # of a partition in a round
 DEALT = 1 << 14                 # code points dealt together at most
 MIXED = 1 << 18                 # bytes of text whose windows are shuffled together
@@ -115,17 +114,29 @@ def _sorted(key: np.ndarray, most: int) -> np.ndarray:
     return np.argsort(key.astype(np.uint16) if most <= 1 << 16 else key, kind="stable")
 
 
+def _picked(logits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of each row's log-probabilities the one at its place; ``logits`` is used up."""
+    top = np.ascontiguousarray(logits.T).max(axis=0) if logits.shape[1] <= 32 else logits.max(axis=1)
+    logits -= top[:, None]
+    out = logits[np.arange(len(place)), place]
+    np.exp(logits, out=logits)
+    return out - np.log(logits.sum(axis=1))
+
+
 def log_probability(model: Model, window: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Of every row's token in its window."""
     p, out = model.parts(model.flat), np.empty(len(token))
     for at in range(0, len(token), 1 << 13):
         t = token[at: at + (1 << 13)]
         hidden, block = _hidden(p, window[at: at + (1 << 13)]), t // model.width
-        logp = _softmax(hidden @ p["block"] + p["block_base"])[np.arange(len(t)), block].astype(np.float64)
+        logp = _picked(hidden @ p["block"] + p["block_base"], block).astype(np.float64)
         order = _sorted(block, model.blocks)
-        for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
-            b = int(block[rows[0]])
-            logp[rows] += _softmax(hidden[rows] @ p["out"][b] + p["base"][b])[np.arange(len(rows)), t[rows] % model.width]
+        near, place, inside = hidden[order], (t % model.width)[order], np.empty(len(t), hidden.dtype)
+        cuts = [0, *(np.flatnonzero(np.diff(block[order])) + 1).tolist(), len(t)]
+        for a, z in zip(cuts, cuts[1:]):
+            b = int(block[order[a]])
+            inside[a:z] = _picked(near[a:z] @ p["out"][b] + p["base"][b], place[a:z])
+        logp[order] += inside
         out[at: at + (1 << 13)] = logp - np.where(t == model.size - 1, model.unseen, 0.0)
     return out
 
@@ -350,7 +361,7 @@ def _round(shared, number: int):
 
         def learn_counts() -> int:
             tokens, (column, lot, copies) = counts.tokens, counts.lots()
-            for some in np.array_split(rng.permutation(len(lot)), -(-len(lot) // LOTS)):
+            for some in np.array_split(rng.permutation(len(lot)), -(-len(lot) // BATCH)):
                 rows = column[:, lot[some]].astype(np.intp)
                 learner.learn(rows[:-1].T, rows[-1], copies[some])
             return tokens

@@ -4,6 +4,7 @@ in their order, digits or punctuation."""
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerwatch.llm import queries, token_lm
 
@@ -75,3 +76,51 @@ def test_every_window_is_learned_from(spark):
     rows = spark.createDataFrame(pieces, "place long, turn int, before string, text string, after string")
     parts = rows.mapInArrow(token_lm._round(spark.sparkContext.broadcast(model), 0), "place int, level int, part binary, weight double")
     assert parts.where("place = 0").agg({"weight": "sum"}).first()[0] == sum(len(t or "") for t in texts)
+
+
+def test_equal_windows_learned_together_count_by_their_number():
+    texts = ["so it is and so it was, " * 40, "x", *["a line of many, " * 9] * 30]
+    for vocabulary in (np.arange(32, 123), np.arange(32, 932)):         # whole windows as keys, and fingerprints
+        model = token_lm.Model(vocabulary, np.ones(len(vocabulary)))
+        ids, counts = model.ids(), token_lm.Counts(model, model.ids())
+        pieces = [("", t, "") for t in texts]
+        counts.add(pieces[:20])
+        counts.add(pieces[20:])
+        tokens, (column, lot, copies) = counts.tokens, counts.lots()
+        line = token_lm.Line(pieces, ids)
+        assert tokens == round(float(copies.sum())) == len(line.spot) and copies.max() <= token_lm.LOT and len(lot) < tokens / 8 and not counts.rows
+        rows, p = column[:, lot].astype(np.intp), model.parts(model.flat.astype(np.float64))
+        together, apart = np.zeros(len(model.flat)), token_lm.gradient(model, model.flat.astype(np.float64), *line.windows(line.spot))
+        d = model.parts(together)
+        for name, where, values in token_lm.gradients(model, p, rows[:-1].T, rows[-1], copies):
+            d[name][where] = values
+        assert np.allclose(together, apart, rtol=0, atol=1e-6) and np.abs(apart).max() > 1e-3
+
+
+def test_a_large_partition_is_learned_from_whole_in_fewer_steps(spark, monkeypatch):
+    monkeypatch.setattr(token_lm, "LEAST_STEPS", 1)
+    monkeypatch.setattr(token_lm, "PLAIN", 1 << 12)
+    monkeypatch.setattr(token_lm, "MIXED", 1 << 12)
+    monkeypatch.setattr(token_lm, "GROUPED", 1 << 15)
+    monkeypatch.setattr(token_lm, "HELD", 40)
+    monkeypatch.setattr(token_lm, "BATCH", 64)
+    steps = []
+
+    class Counted(token_lm.Learner):
+        def learn(self, *rows):
+            super().learn(*rows)
+            steps.append(len(rows[1]))
+
+    class Shared:
+        value = token_lm.Model(np.arange(32, 123), np.ones(91))
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(token_lm, "Learner", Counted)
+    monkeypatch.setattr("pyspark.TaskContext", Task)
+    texts = ["one text of many " * 20] * 400
+    batch = pa.RecordBatch.from_arrays([pa.array([""] * 400), pa.array(texts), pa.array([""] * 400)], ["before", "text", "after"])
+    got = list(token_lm._round(Shared, 0)(iter([batch])))
+    assert got[0].column("weight").to_pylist()[0] == sum(map(len, texts)) and len(steps) < sum(map(len, texts)) / token_lm.BATCH / 4
