@@ -171,7 +171,7 @@ def forest_leaves(rf_model: RandomForestClassificationModel, spark, features: in
             held += r["n"]
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The batches, about ROWS rows at a time."""
     held, rows = [], 0
     for batch in batches:
@@ -187,7 +187,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _explain(shared, trees: int, features: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = shared.value
-        for batch in _together(batches):
+        for batch in together(batches):
             x = np.stack([batch.column(f"_x{i}").to_numpy() for i in range(len(features))], axis=1).astype(float)
             phi = sum(tree.phi(x) for tree in group) / trees
             base = sum(tree.expected for tree in group) / trees

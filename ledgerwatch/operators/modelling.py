@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +18,7 @@ from .. import params as P
 from ..functions.numeric import round_to
 from ..session import materialize, scratch_path
 from ..sources import versions as V
+from . import forest as FO
 from .evaluation import classification_metrics, roc_auc
 from .windows import prefix_sums
 
@@ -113,10 +114,7 @@ def fit_pipeline(train: DataFrame, estimator, features: list[str] = P.MODEL_FEAT
     """Assemble the model features in their fixed order and fit. Trees do not
     need scaling; linear models standardise internally."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    model = Pipeline(stages=[asm, estimator]).fit(with_class_weight(train))
-    for stage in model.stages:
-        without_summary(stage)
-    return model
+    return PipelineModel([asm, without_summary(FO.fit(estimator, with_class_weight(train), features, asm.transform))])
 
 
 def score_batch(model: PipelineModel, df: DataFrame, version: str = "forest-v1") -> DataFrame:
