@@ -11,8 +11,11 @@ features are known; written as an integral over the share t of known features,
 with in_j = 1 where the row's value lies in the leaf's interval. The integrand
 is a polynomial of lower degree than there are features, so a few Gauss-Legendre
 points give it exactly. It depends on the row only by which features of the
-leaf's path are inside, so a leaf has a table of at most 2^features parts, and
-rows in one cell of a tree's thresholds are looked up once.
+leaf's path are inside, so a leaf has a table of at most 2^features parts. The
+leaves below one node share most of their bounds: their tables are added up
+over the cells of the thresholds they have between them, and a row looks up one
+cell for all of them. Rows in one cell of a whole tree's thresholds are looked
+up once.
 
 The leaves of the forest are broadcast, in groups of bounded size, and rows are
 explained where they lie: the work is parallel over rows and no row reaches the
@@ -21,6 +24,7 @@ driver. Sum of phi + base value = the forest's class-1 probability.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +38,10 @@ from ..session import materialize, scratch_path
 
 GROUP_LEAVES = 1 << 17       # leaves broadcast together (about 150 bytes each per feature)
 CELLS = 1 << 18              # (leaf, pattern, feature) cells of tables held at a time
-ROWS = 1 << 16               # rows explained together
+ROWS = 1 << 17               # rows explained together
+LEAVES = 64                  # leaves whose tables are added up at most
+JOINED = 1 << 12             # bins of features that are looked up together
+SHARE = 8                    # rows to a cell of such a sum at least
 
 
 def _tree_arrays(pdf: pd.DataFrame):
@@ -61,12 +68,14 @@ class Leaves:
     """The leaves of one tree: bounds and shares by feature, and values."""
 
     def __init__(self, left, right, feat, thr, cover, value, features: int):
-        rows = []
+        rows, spans = [], []          # of each node: its first leaf, the one after its last, its children's places here or -1
 
-        def walk(j: int, low: np.ndarray, high: np.ndarray, share: np.ndarray) -> None:
+        def walk(j: int, low: np.ndarray, high: np.ndarray, share: np.ndarray) -> int:
+            place, children = len(spans), []
+            spans.append((len(rows), len(rows) + 1, -1, -1))
             if left[j] < 0:
                 rows.append((low, high, share, value[j], cover[j] / cover[0] if cover[0] > 0 else 0.0))
-                return
+                return place
             f = feat[j]
             for child, below in ((left[j], True), (right[j], False)):
                 lo, hi, part = low.copy(), high.copy(), share.copy()
@@ -75,7 +84,9 @@ class Leaves:
                 else:
                     lo[f] = max(lo[f], thr[j])
                 part[f] *= cover[child] / cover[j] if cover[j] > 0 else 0.0
-                walk(child, lo, hi, part)
+                children.append(walk(child, lo, hi, part))
+            spans[place] = (spans[place][0], len(rows), *children)
+            return place
 
         walk(0, np.full(features, -np.inf), np.full(features, np.inf), np.ones(features))
         self.low, self.high, self.share, self.value, weight = (np.array(x) for x in zip(*rows))
@@ -90,6 +101,22 @@ class Leaves:
             self.first[:, f] = np.where(np.isneginf(low), 0, np.searchsorted(cuts, low) + 1)
             self.last[:, f] = np.where(np.isposinf(high), len(cuts), np.searchsorted(cuts, high))
         self.split = ~np.isneginf(self.low) | ~np.isposinf(self.high)       # features on a leaf's path
+        self.bit = self.split.cumsum(axis=1) - 1
+        self.spans, self.cells = np.array(spans), self._cells(spans)
+
+    def _cells(self, spans: list[tuple[int, int, int, int]]) -> np.ndarray:
+        """Of each node, how many cells ``edges`` of its leaves cut the features into."""
+        bounds = np.where(self.split[:, :, None], np.stack([self.first, self.last + 1], axis=2), -1).tolist()
+        masks, cells = {}, np.ones(len(spans))
+        for place in range(len(spans) - 1, -1, -1):
+            a, _, below, above = spans[place]
+            if below < 0:
+                masks[place] = [1 << x | 1 << y if x >= 0 else 1 for x, y in bounds[a]]
+            else:
+                # a feature on some path only has bin 0 as its edge elsewhere, which edges() leaves out
+                masks[place] = [x if y == 1 else y if x == 1 else x | y for x, y in zip(masks.pop(below), masks.pop(above))]
+            cells[place] = math.prod(float(m.bit_count()) for m in masks[place])
+        return cells
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         """Of each value, the interval between thresholds of the tree; a missing
@@ -112,34 +139,104 @@ class Leaves:
             out += (safe.prod(axis=2) * (w * self.value[leaves])[:, None])[:, :, None] * push / safe
         return out
 
+    def parts(self, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+        """The tables of leaves ``at`` to ``to`` below each other, by feature,
+        and where each leaf's begins."""
+        used = self.split[at:to].sum(axis=1)
+        begin = np.concatenate([[0], np.cumsum(1 << used)])
+        out = np.zeros((begin[-1], self.split.shape[1]))
+        for k in np.unique(used[used > 0]).tolist():
+            alike = np.flatnonzero(used == k)
+            path = np.nonzero(self.split[at + alike])[1].reshape(-1, 1, k)
+            out[(begin[alike][:, None] + np.arange(1 << k))[:, :, None], path] = self.tables(at + alike)
+        return out, begin
+
+    def joined(self) -> list[list[int]]:
+        """The features in groups with at most JOINED cells between them."""
+        groups, size = [], JOINED + 1
+        for f, cuts in enumerate(self.cuts):
+            if size * (len(cuts) + 1) > JOINED:
+                groups.append([])
+                size = 1
+            groups[-1].append(f)
+            size *= len(cuts) + 1
+        return groups
+
+    def edges(self, a: int, b: int) -> list[np.ndarray]:
+        """By feature, the bins where one of the leaves ``a`` to ``b`` with the
+        feature on its path begins or has ended; bin 0 where there is none."""
+        out = []
+        for f in range(self.split.shape[1]):
+            on = np.flatnonzero(self.split[a:b, f]) + a
+            out.append(np.unique(np.concatenate([self.first[on, f], self.last[on, f] + 1])) if len(on) else np.zeros(1, np.int64))
+        return out
+
+    def blocks(self, cells: int) -> Iterator[tuple[int, int]]:
+        """(first leaf, the one after the last) of runs of leaves below one
+        node, as long as their edges cut the features into at most ``cells``
+        cells."""
+        stack = [0]
+        while stack:
+            place = stack.pop()
+            a, b, below, above = self.spans[place].tolist()
+            if below < 0 or b - a <= LEAVES and self.cells[place] <= cells:
+                yield a, b
+            else:
+                stack += above, below
+
+    def lots(self, cells: int) -> Iterator[list[tuple[int, int]]]:
+        """The blocks, as many together as have CELLS cells in their leaves' tables."""
+        lot, held, used = [], 0, self.split.sum(axis=1)
+        for block in self.blocks(cells):
+            size = int((used[block[0]: block[1]] << used[block[0]: block[1]]).sum())
+            if lot and held + size > CELLS:
+                yield lot
+                lot, held = [], 0
+            lot.append(block)
+            held += size
+        yield lot
+
     def phi(self, x: np.ndarray) -> np.ndarray:
         """A leaf's part depends only on which features of its path are inside
-        its interval, so it is looked up, once for rows in one cell of the
-        tree's thresholds."""
+        its interval, so the parts of a block of leaves are summed for each
+        cell between their edges and looked up, once for rows in one cell of
+        the tree's thresholds."""
         cell = np.zeros(len(x), np.int64)
         bins = self.bins(x)
         for f, cuts in enumerate(self.cuts):
             if len(cuts):
                 cell = np.unique(cell, return_inverse=True)[1] * (len(cuts) + 1) + bins[:, f]
         _, some, whole = np.unique(cell, return_index=True, return_inverse=True)
-        columns = np.ascontiguousarray(bins[some].T)
-        out = np.zeros((x.shape[1], len(some)))
-        used = self.split.sum(axis=1)
-        for k in np.unique(used[used > 0]).tolist():
-            alike = np.flatnonzero(used == k)
-            step = max(1, CELLS // (k << k))
-            for at in range(0, len(alike), step):
-                leaves = alike[at: at + step]
-                for leaf, table in zip(leaves.tolist(), self.tables(leaves)):
-                    path = np.flatnonzero(self.split[leaf]).tolist()
-                    pattern = np.zeros(len(some), np.intp)
-                    for bit, f in enumerate(path):
-                        inside = np.zeros(len(self.cuts[f]) + 1, np.intp)
-                        inside[self.first[leaf, f]: self.last[leaf, f] + 1] = 1 << bit
-                        pattern += inside[columns[f]]
-                    for f, values in zip(path, np.ascontiguousarray(table.T)):
-                        out[f] += values[pattern]
-        return out.T[whole]
+        together = self.joined()
+        columns = [np.ravel_multi_index(bins[some][:, fs].T, [len(self.cuts[f]) + 1 for f in fs]) for fs in together]
+        out = np.zeros((len(some), x.shape[1]))
+        for lot in self.lots(len(some) // SHARE):
+            parts, begin = self.parts(lot[0][0], lot[-1][1])
+            for a, b in lot:
+                edges = self.edges(a, b)
+                which = begin[a - lot[0][0]: b - lot[0][0], None]       # [leaf, cell]: its row of parts
+                cells, step = {}, 1
+                for f, e in reversed([*enumerate(edges)]):
+                    # before the first edge and after the last, no leaf has the value inside
+                    cells[f] = np.searchsorted(e, np.arange(len(self.cuts[f]) + 1), "right") % len(e) * step
+                    step *= len(e)
+                for f, e in enumerate(edges):
+                    if len(e) > 1:
+                        low, high = (np.searchsorted(e, v[a:b, f], "right")[:, None] for v in (self.first, self.last))
+                        inside = (np.arange(len(e)) >= low) & (np.arange(len(e)) <= high) & self.split[a:b, f, None]
+                        which = (which[:, :, None] + (inside.astype(np.int64) << self.bit[a:b, f, None].clip(0))[:, None, :]).reshape(b - a, -1)
+                place = 0
+                for fs, column in zip(together, columns):
+                    if any(len(edges[f]) > 1 for f in fs):
+                        found = cells[fs[0]]
+                        for f in fs[1:]:
+                            found = np.add.outer(found, cells[f]).ravel()
+                        place = place + found.take(column)
+                table = parts.take(which[0], axis=0)
+                for rows in which[1:]:
+                    table += parts.take(rows, axis=0)
+                out += table.take(place, axis=0)
+        return out[whole]
 
 
 def tree_shap(left, right, feat, thr, cover, value, X: np.ndarray) -> tuple[np.ndarray, float]:

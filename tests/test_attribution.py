@@ -98,3 +98,24 @@ def test_tables_equal_the_formula_on_edges_and_missing_values():
     x[rng.random(x.shape) < 0.1] = np.nan
     x[0], x[1] = np.inf, -np.inf
     assert np.allclose(leaves.phi(x), _by_boxes(leaves, x), atol=1e-12)
+
+
+def test_leaves_below_one_node_are_looked_up_together():
+    """As exact as leaf by leaf, with far fewer lookups: a row's time must not
+    grow with every leaf of the forest."""
+    rng = np.random.default_rng(7)
+    left, right, feat, thr, cover = [-1], [-1], [-1], [0.0], [1000.0]
+    for j in range(150):
+        left[j], right[j], feat[j], thr[j] = len(left), len(left) + 1, int(rng.integers(0, 4)) * 2, float(rng.integers(0, 12))
+        part = rng.uniform(0.0, 1.0)
+        for c in (cover[j] * part, cover[j] * (1 - part)):
+            left.append(-1), right.append(-1), feat.append(-1), thr.append(0.0), cover.append(c)
+    leaves = AT.Leaves(left, right, feat, thr, cover, rng.uniform(0, 1, len(left)), 8)
+    x = rng.integers(-1, 13, (5000, 8)).astype(float)
+    x[::50, 2] = np.nan
+    assert np.allclose(leaves.phi(x), _by_boxes(leaves, x), atol=1e-12)
+    blocks = list(leaves.blocks(1000))
+    assert [a for a, _ in blocks] + [len(leaves.value)] == [0] + [b for _, b in blocks] and 3 * len(blocks) < len(leaves.value) == 151
+    for place, (a, b, *_) in enumerate(leaves.spans.tolist()):
+        assert leaves.cells[place] == np.prod([len(e) for e in leaves.edges(a, b)])
+    assert [b - a for a, b in leaves.blocks(0)] == [1] * 151
