@@ -58,20 +58,30 @@ def takes(estimator) -> bool:
         and estimator.getMaxBins() <= 256
 
 
+def prepared(estimator, data: DataFrame, features: list[str]) -> tuple[DataFrame, list] | None:
+    """Of a large table: class ``_y`` and values ``_x0``, ``_x1``..., dealt
+    evenly and written once, and by class the rows, the weight of one and the
+    quantiles of each feature. None for small tables and where weights differ
+    within a class or values aren't finite."""
+    if (rows := data.count()) < MIN_ROWS:
+        return None
+    weight = F.col(estimator.getWeightCol()) if estimator.isSet("weightCol") else F.lit(1.0)
+    values = [F.when(F.abs(F.col(f).cast("double")) < float("inf"), F.col(f).cast("double")).alias(f"_x{i}") for i, f in enumerate(features)]
+    dealt = data.select(F.col(estimator.getLabelCol()).cast("int").alias("_y"), weight.alias("_w"), *values)
+    dealt = materialize(dealt.repartition(max(data.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))), "dealt")
+    points = [F.percentile_approx(f"_x{i}", F.array(*[F.lit(p / POINTS) for p in range(POINTS + 1)]), F.lit(10 * POINTS)) for i in range(len(features))]
+    classes = dealt.groupBy("_y").agg(F.count(F.lit(1)).alias("n"), F.min("_w").alias("low"), F.max("_w").alias("high"), F.array(*points).alias("points"),
+                                      F.array(*[F.count(f"_x{i}") for i in range(len(features))]).alias("known")).collect()
+    if 1 < len(classes) and all(c["_y"] in range(16) and c["low"] == c["high"] > 0 and set(c["known"]) == {c["n"]} for c in classes):
+        return dealt, sorted(classes, key=lambda c: c["_y"])
+    return None
+
+
 def fit(estimator, data: DataFrame, features: list[str], assembled):
-    """``estimator`` fitted to ``data``: large tables by ``grow``, others by
-    the estimator itself on ``assembled(data)``; also where weights differ
-    within a class or values aren't finite, which it refuses."""
-    if takes(estimator) and (rows := data.count()) >= MIN_ROWS:
-        values = [F.when(F.abs(F.col(f).cast("double")) < float("inf"), F.col(f).cast("double")).alias(f"_x{i}") for i, f in enumerate(features)]
-        dealt = data.select(F.col(estimator.getLabelCol()).cast("int").alias("_y"), F.col(estimator.getWeightCol()).alias("_w"), *values)
-        dealt = materialize(dealt.repartition(max(data.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))), "dealt")
-        points = [F.percentile_approx(f"_x{i}", F.array(*[F.lit(p / POINTS) for p in range(POINTS + 1)]), F.lit(10 * POINTS)) for i in range(len(features))]
-        classes = dealt.groupBy("_y").agg(F.count(F.lit(1)).alias("n"), F.min("_w").alias("low"), F.max("_w").alias("high"), F.array(*points).alias("points"),
-                                          F.array(*[F.count(f"_x{i}") for i in range(len(features))]).alias("known")).collect()
-        if 1 < len(classes) and all(c["_y"] in range(16) and c["low"] == c["high"] > 0 and set(c["known"]) == {c["n"]} for c in classes):
-            return grow(estimator, dealt, len(features), classes)
-    return estimator.fit(assembled(data))
+    """``estimator`` fitted to ``data``: large tables by ``grow``, others and
+    what it refuses by the estimator itself on ``assembled(data)``."""
+    found = prepared(estimator, data, features) if takes(estimator) else None
+    return estimator.fit(assembled(data)) if found is None else grow(estimator, *found, len(features))
 
 
 def thresholds(points: list[tuple[np.ndarray, float]], bins: int) -> np.ndarray:
@@ -191,6 +201,14 @@ def _bin(cuts: list[np.ndarray]):
     return run
 
 
+def blocks_of(dealt: DataFrame, cuts: list[np.ndarray], tasks: int = 3) -> DataFrame:
+    """The rows binned, in blocks that are kept at hand, dealt evenly to
+    ``tasks`` tasks a core."""
+    binned = materialize(dealt.mapInArrow(_bin(cuts), "block long, bins binary, labels binary"), "binned")
+    cores = dealt.sparkSession.sparkContext.defaultParallelism
+    return binned.repartition(max(cores, min(tasks * cores, binned.count()))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for block, bins, labels in zip(batch.column("block"), batch.column("bins"), batch.column("labels")):
@@ -355,10 +373,8 @@ def _rows_of_nodes(class_weight: np.ndarray, cuts: list[np.ndarray]):
     return run
 
 
-def grow(estimator: RandomForestClassifier, dealt: DataFrame, features: int, classes: list) -> RandomForestClassificationModel:
-    """The forest that ``estimator`` describes, from class ``_y`` and values
-    ``_x0``, ``_x1``...; ``classes`` has, by class, the rows, the weight of
-    one and the quantiles of each feature."""
+def grow(estimator: RandomForestClassifier, dealt: DataFrame, classes: list, features: int) -> RandomForestClassificationModel:
+    """The forest that ``estimator`` describes, from what ``prepared`` gives."""
     spark, bins, max_depth, seed = dealt.sparkSession, estimator.getMaxBins(), estimator.getMaxDepth(), estimator.getSeed() % (1 << 63)
     n_classes = max(c["_y"] for c in classes) + 1
     class_weight = np.zeros(n_classes)
@@ -367,9 +383,7 @@ def grow(estimator: RandomForestClassifier, dealt: DataFrame, features: int, cla
     cuts = [thresholds([(np.array(c["points"][i], float), c["low"] * c["n"]) for c in classes], bins) for i in range(features)]
     tried = features if estimator.getNumTrees() == 1 else int(np.ceil(np.sqrt(features)))
 
-    binned = materialize(dealt.mapInArrow(_bin(cuts), "block long, bins binary, labels binary"), "binned")
-    cores = spark.sparkContext.defaultParallelism
-    blocks = binned.repartition(max(cores, min(3 * cores, binned.count()))).persist(StorageLevel.MEMORY_AND_DISK)
+    cores, blocks = spark.sparkContext.defaultParallelism, blocks_of(dealt, cuts)
 
     trees = [Tree(n_classes) for _ in range(estimator.getNumTrees())]
     level = 0
@@ -423,19 +437,19 @@ def grow(estimator: RandomForestClassifier, dealt: DataFrame, features: int, cla
     whole = spark.createDataFrame(tops, "tree int, nodes binary, top int, base int").unionByName(moved)
     saved = whole.mapInArrow(_rows_of_nodes(class_weight, cuts), "tree int, id int, prediction double, impurity double, stats array<double>, n long, gain double, "
                              "left int, right int, feature int, threshold double")
-    return _loaded(estimator, saved, features, n_classes)
+    return loaded(estimator, RandomForestClassificationModel, saved, features, n_classes)
 
 
-def _loaded(estimator, nodes: DataFrame, features: int, classes: int) -> RandomForestClassificationModel:
-    """A model with these nodes, by way of a saved one: a forest fitted to one
-    row a class, whose nodes are replaced."""
+def loaded(estimator, kind, nodes: DataFrame, features: int, classes: int):
+    """A model of the class ``kind`` with these nodes, by way of a saved one: a
+    model fitted to one row a class, whose nodes are replaced."""
     spark, path = nodes.sparkSession, scratch_path(nodes.sparkSession, "grown")
     rows = spark.createDataFrame([(Vectors.dense([float(c)] * features), c, 1.0) for c in range(classes)],
-                                 [estimator.getFeaturesCol(), estimator.getLabelCol(), estimator.getWeightCol()])
+                                 [estimator.getFeaturesCol(), estimator.getLabelCol(), estimator.getWeightCol() if estimator.isSet("weightCol") else "_w"]).coalesce(1)
     estimator.fit(rows).write().save(path)
     split = F.struct("feature", F.when(F.col("feature") < 0, F.array().cast("array<double>")).otherwise(F.array("threshold")), F.lit(-1))
     data = F.struct("id", "prediction", "impurity", "stats", "n", "gain", "left", "right", split)
-    kind = ("struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,gain:double,leftChild:int,rightChild:int,"
+    saved = ("struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,gain:double,leftChild:int,rightChild:int,"
             "split:struct<featureIndex:int,leftCategoriesOrThreshold:array<double>,numCategories:int>>")
-    nodes.select(F.col("tree").alias("treeID"), data.cast(kind).alias("nodeData")).write.mode("overwrite").parquet(f"{path}/data")
-    return RandomForestClassificationModel.load(path)
+    nodes.select(F.col("tree").alias("treeID"), data.cast(saved).alias("nodeData")).write.mode("overwrite").parquet(f"{path}/data")
+    return kind.load(path)

@@ -18,6 +18,7 @@ from .. import params as P
 from ..functions.numeric import round_to
 from ..session import materialize, scratch_path
 from ..sources import versions as V
+from . import boosting as BO
 from . import forest as FO
 from .evaluation import classification_metrics, roc_auc
 from .windows import prefix_sums
@@ -110,11 +111,18 @@ def without_summary(model):
     return model
 
 
+def fit_estimator(estimator, train: DataFrame, features: list[str], assembler: VectorAssembler):
+    """The fitted estimator; forests and boosted trees of large tables are
+    grown over binned rows."""
+    grower = next((g for g in (FO, BO) if g.takes(estimator)), None)
+    return without_summary(grower.fit(estimator, train, features, assembler.transform) if grower else estimator.fit(assembler.transform(train)))
+
+
 def fit_pipeline(train: DataFrame, estimator, features: list[str] = P.MODEL_FEATURES) -> PipelineModel:
     """Assemble the model features in their fixed order and fit. Trees do not
     need scaling; linear models standardise internally."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return PipelineModel([asm, without_summary(FO.fit(estimator, with_class_weight(train), features, asm.transform))])
+    return PipelineModel([asm, fit_estimator(estimator, with_class_weight(train), features, asm)])
 
 
 def score_batch(model: PipelineModel, df: DataFrame, version: str = "forest-v1") -> DataFrame:
@@ -183,13 +191,13 @@ def model_comparison(df: DataFrame, folds: int = 5, seed: int = 42, models: dict
     column by a Python function on every row and knows one metric a fit.)"""
     table = comparison_table(df, folds)
     models = models or comparison_models(table.count() * (folds - 1) / folds, seed)
-    d = VectorAssembler(inputCols=P.MODEL_FEATURES, outputCol="features", handleInvalid="keep").transform(table)
+    asm = VectorAssembler(inputCols=P.MODEL_FEATURES, outputCol="features", handleInvalid="keep")
     jobs = [(name, k) for name in models for k in range(folds)]
 
     def run(job):
         name, k = job
-        model = without_summary(models[name].copy().fit(d.where(F.col("_fold") != k)))
-        pred = model.transform(d.where(F.col("_fold") == k)).withColumn("prediction", F.col("prediction").cast("int"))
+        model = fit_estimator(models[name].copy(), table.where(F.col("_fold") != k), P.MODEL_FEATURES, asm)
+        pred = model.transform(asm.transform(table.where(F.col("_fold") == k))).withColumn("prediction", F.col("prediction").cast("int"))
         m = classification_metrics(pred).first()
         return name, k, float(m["accuracy"]), float(m["f1_score"])
 

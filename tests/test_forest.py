@@ -74,3 +74,25 @@ def test_bootstrap_draws_follow_poisson():
     w = FO.weights_of(42, 3, 7, 1_000_000)
     assert abs(w.mean() - 1) < 0.005 and abs(w.var() - 1) < 0.01 and abs((w == 0).mean() - np.exp(-1)) < 0.002 and w.max() < 16
     assert (w[:1000] != FO.weights_of(42, 4, 7, 1000)).any()
+
+
+def test_boosted_trees_are_those_of_the_estimator(spark, monkeypatch):
+    """Few values a feature, so that both have the same thresholds."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from ledgerwatch.operators import boosting as BO
+
+    d = _rows(spark, 4000).select("id", "is_fraud", *[F.floor(F.col(f) * 2).cast("double").alias(f) for f in P.MODEL_FEATURES])
+    asm = VectorAssembler(inputCols=P.MODEL_FEATURES, outputCol="features")
+    gbt = GBTClassifier(labelCol="is_fraud", maxIter=8, maxDepth=3, stepSize=0.1, seed=1)
+    plain = M.fit_estimator(gbt.copy(), d, P.MODEL_FEATURES, asm)
+    monkeypatch.setattr(FO, "MIN_ROWS", 1)
+    monkeypatch.setattr(BO, "KEPT", 3)
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows, fit=GBTClassifier.fit: fit(self, rows) if rows.count() == 2 else pytest.fail("not grown"))
+    grown = M.fit_estimator(gbt.copy(), d, P.MODEL_FEATURES, asm)
+    assert grown.treeWeights == plain.treeWeights == [1.0] + [0.1] * 7
+    raw = [{r["id"]: r["rawPrediction"][1] for r in m.transform(asm.transform(d)).collect()} for m in (plain, grown)]
+    assert max(abs(raw[0][i] - raw[1][i]) for i in raw[0]) < 1e-9 and len(raw[1]) == 4000
+    assert grown.totalNumNodes == plain.totalNumNodes
+    assert np.allclose(grown.featureImportances.toArray(), plain.featureImportances.toArray(), atol=1e-6)
+    assert not BO.takes(gbt.copy().setSubsamplingRate(0.5)) and BO.takes(M.comparison_models(10)["GradientBoosting"])
