@@ -9,8 +9,8 @@ merged). What differs is how rows travel:
   row's weight in a tree is drawn from (seed, tree, block), never stored;
 - while a node has many rows, its counts by (feature, bin, class) are summed
   over all blocks, a pass a level; a tree's counts meet in one task;
-- the rows of a node with at most LOCAL_ROWS are brought together, and the
-  tree below it is grown in one task. Rows of pure nodes travel no further.
+- the rows of a node with few of them (LOCAL_ROWS) are brought together, and
+  the tree below it is grown in one task. Rows of pure nodes travel no further.
 
 The driver holds the nodes above those trees, and the finished forest, as it
 does for Spark's estimator.
@@ -32,7 +32,9 @@ from ..session import materialize, scratch_path
 from .attribution import together
 
 MIN_ROWS = 1 << 18           # smaller tables are left to Spark's estimator
-LOCAL_ROWS = 300_000         # weighted rows of a node whose tree is grown in one task
+LOCAL_ROWS = 300_000         # weighted rows of a node whose tree is grown in one task; of large
+LOCAL_SHARE = 16             # tables this part of them, so that the passes stay as many,
+LOCAL_MOST = 2_000_000       # up to these
 OPEN_NODES = 1 << 15         # nodes whose counts are summed in one pass
 HELD = 1 << 26               # bytes of rows a task holds before it sends them on
 PART_ROWS = 500_000          # rows of a partition at most
@@ -152,7 +154,8 @@ class Tree:
     """The nodes of one tree as far as it has grown from the root; the right
     child follows the left one."""
 
-    def __init__(self, classes: int):
+    def __init__(self, classes: int, local_rows: int):
+        self.local_rows = local_rows
         self.kind, self.depth = [OPEN], [0]
         self.feature, self.cut, self.left, self.gain = [-1], [0], [-1], [-1.0]
         self.counts = [np.zeros(classes)]
@@ -162,7 +165,7 @@ class Tree:
         for counts in (left, right):
             depth = self.depth[node] + 1
             done = depth >= max_depth or np.count_nonzero(counts) < 2
-            self.kind.append(LEAF if done else LOCAL if counts.sum() <= LOCAL_ROWS else OPEN)
+            self.kind.append(LEAF if done else LOCAL if counts.sum() <= self.local_rows else OPEN)
             self.depth.append(depth), self.counts.append(counts)
             self.feature.append(-1), self.cut.append(0), self.left.append(-1), self.gain.append(-1.0)
 
@@ -385,7 +388,8 @@ def grow(estimator: RandomForestClassifier, dealt: DataFrame, classes: list, fea
 
     cores, blocks = spark.sparkContext.defaultParallelism, blocks_of(dealt, cuts)
 
-    trees = [Tree(n_classes) for _ in range(estimator.getNumTrees())]
+    local_rows = max(LOCAL_ROWS, min(sum(c["n"] for c in classes) // LOCAL_SHARE, LOCAL_MOST))
+    trees = [Tree(n_classes, local_rows) for _ in range(estimator.getNumTrees())]
     level = 0
     while growing := [t for t, tree in enumerate(trees) if len(tree.opened())]:
         while growing:

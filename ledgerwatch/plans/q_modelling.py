@@ -56,16 +56,17 @@ def _store(spark, sf: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{spark.sparkContext.applicationId}/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
 
 
-def held_out(spark, sf: str):
-    """The test rows with the model features, written once."""
-    test = split_features(spark, sf).where(F.col("split") == "test")
+def held_out(spark, sf: str, split=None):
+    """The test rows with the model features, written once; of a ``split``
+    that is written already."""
+    test = (split_features(spark, sf) if split is None else split).where(F.col("split") == "test")
     return materialize(test.select("transaction_id", "is_fraud", *P.MODEL_FEATURES), "test")
 
 
 def train_and_publish(spark, sf: str):
     """Train on the training rows, save the forest as the store's next version,
     evaluate the saved one on the test rows and append the run to the register;
-    the metrics row."""
+    the metrics row and the split."""
     begun, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
     s = materialize(split_features(spark, sf), "split")
     model = M.fit_pipeline(s.where(F.col("split") == "train"), M.forest())
@@ -74,7 +75,7 @@ def train_and_publish(spark, sf: str):
     metrics = materialize(M.evaluate(scored), "metrics")
     run = G.training_run(metrics, f"fraud-model-v{version}", begun, time.monotonic() - clock, spark.sparkContext.defaultParallelism)
     G.append_run(run, f"{_store(spark, sf)}/runs")
-    return metrics
+    return metrics, s
 
 
 @register("train_forest")
@@ -82,7 +83,7 @@ def train_forest(spark, sf):
     """M3 + M11: forest of 200 trees, depth 15, balanced weights, published as
     a version of the model store; test metrics, also appended to the run
     register."""
-    return rounded(train_and_publish(spark, sf))
+    return rounded(train_and_publish(spark, sf)[0])
 
 
 @register("batch_scoring")
@@ -90,10 +91,9 @@ def batch_scoring(spark, sf):
     """M6: the saved forest (the newest version of the store; trained and
     published first where there is none) scores the held-out rows: prediction,
     probability to 4 places, tier and model version."""
-    if M.load_model(spark, _store(spark, sf)) is None:
-        train_and_publish(spark, sf)
+    split = train_and_publish(spark, sf)[1] if M.load_model(spark, _store(spark, sf)) is None else None
     model, version = M.load_model(spark, _store(spark, sf))
-    return M.score_batch(model, M.spread(held_out(spark, sf)), version).drop("score")
+    return M.score_batch(model, M.spread(held_out(spark, sf, split)), version).drop("score")
 
 
 @register("trained_model_health")
@@ -136,7 +136,6 @@ def tree_attribution(spark, sf):
     """M7: exact tree attribution of the saved forest for every held-out row:
     one row per (transaction, feature) plus the base value; the sum of phi and
     base is the predicted probability."""
-    if M.load_model(spark, _store(spark, sf)) is None:
-        train_and_publish(spark, sf)
+    split = train_and_publish(spark, sf)[1] if M.load_model(spark, _store(spark, sf)) is None else None
     model, _ = M.load_model(spark, _store(spark, sf))
-    return rounded(AT.forest_attribution(model.stages[-1], M.spread(held_out(spark, sf)), P.MODEL_FEATURES))
+    return rounded(AT.forest_attribution(model.stages[-1], M.spread(held_out(spark, sf, split)), P.MODEL_FEATURES))
